@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.columns import epoch_micros, slot_index
-from voltframe.operators.sequence import UNB_FOLL, UNB_PREC, key_window
+from voltframe.operators.sequence import UNB_FOLL, UNB_PREC, key_window, last_row
 
 
 def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (),
@@ -47,28 +47,27 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
         "_prev_ts": F.lag(F.col(ts)).over(w),
     })
 
-    # Per-chunk summary (one row per key and chunk).
-    valid_pair = F.when(v.isNotNull(), F.struct(F.col("_rn").alias("rn"), v.alias("v")))
+    # Per-chunk summary (one row per key and chunk); scalar aggregates keep it a hash aggregate.
+    vrn = F.when(v.isNotNull(), F.col("_rn"))
     summ = d.groupBy(*part).agg(
-        F.max("_rn").alias("_n"),
-        F.max(valid_pair).alias("_lastv"),
-        F.min(valid_pair).alias("_firstv"),
-        F.max(F.col(ts)).alias("_last_ts"),
-    )
+        last_row(d, F.col("_rn")).alias("_last"),
+        F.max(vrn).alias("_lv_rn"), F.max_by(v, vrn).alias("_lv_v"),
+        F.min(vrn).alias("_fv_rn"), F.min_by(v, vrn).alias("_fv_v"),
+    ).withColumns({"_n": F.col("_last._rn"), "_last_ts": F.col(f"_last.{ts}")}).drop("_last")
     kw = key_window(keys).orderBy("_ch")
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(kw.rowsBetween(UNB_PREC, -1)),
                                               F.lit(0)).cast("long"))
-    last_abs = F.when(F.col("_lastv").isNotNull(), F.struct(
-        (F.col("_off") + F.col("_lastv.rn") - 1).alias("pos"), F.col("_lastv.v").alias("v")))
-    first_abs = F.when(F.col("_firstv").isNotNull(), F.struct(
-        (F.col("_off") + F.col("_firstv.rn") - 1).alias("pos"), F.col("_firstv.v").alias("v")))
+    last_abs = F.when(F.col("_lv_rn").isNotNull(), F.struct(
+        (F.col("_off") + F.col("_lv_rn") - 1).alias("pos"), F.col("_lv_v").alias("v")))
+    first_abs = F.when(F.col("_fv_rn").isNotNull(), F.struct(
+        (F.col("_off") + F.col("_fv_rn") - 1).alias("pos"), F.col("_fv_v").alias("v")))
     summ = summ.withColumns({
         "_cin": F.last(last_abs, ignorenulls=True).over(kw.rowsBetween(UNB_PREC, -1)),
         "_cout": F.first(first_abs, ignorenulls=True).over(kw.rowsBetween(1, UNB_FOLL)),
         "_cts": F.lag("_last_ts").over(kw),
     }).select(*part, "_off", "_cin", "_cout", "_cts")
 
-    d = d.join(summ, on=part, how="inner")
+    d = d.join(summ, on=part, how="left")
     off = F.col("_off")
     pos = off + F.col("_rn") - 1
     has_pv = F.col("_pv_rn").isNotNull()
@@ -104,10 +103,11 @@ def time_gaps(df: DataFrame, *, ts: str, keys: Sequence[str] = (), order: Sequen
     order = list(order) if order else [ts]
     d = df.withColumn("_ch", slot_index(ts, chunk_seconds))
     part = keys + ["_ch"]
-    d = d.withColumn("_prev_ts", F.lag(F.col(ts)).over(Window.partitionBy(*part).orderBy(*order)))
-    last = d.groupBy(*part).agg(F.max(F.col(ts)).alias("_last_ts"))
+    w = Window.partitionBy(*part).orderBy(*order)
+    d = d.withColumns({"_prev_ts": F.lag(F.col(ts)).over(w), "_rn": F.row_number().over(w)})
+    last = d.groupBy(*part).agg(last_row(d, F.col("_rn"))[ts].alias("_last_ts"))
     last = last.withColumn("_cts", F.lag("_last_ts").over(key_window(keys).orderBy("_ch")))
-    d = d.join(last.select(*part, "_cts"), on=part, how="inner")
+    d = d.join(last.select(*part, "_cts"), on=part, how="left")
     prev_ts = F.coalesce(F.col("_prev_ts"), F.col("_cts"))
     return (d.withColumn(out, (epoch_micros(ts) - epoch_micros(prev_ts)) / F.lit(1e6))
              .select(*df.columns, out))

@@ -30,6 +30,18 @@ UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
 
+def last_row(df: DataFrame, order: Column) -> Column:
+    """The whole last row (by ``order``) of a group, as a struct.
+
+    Chunk summaries aggregate the same windowed rows the main branch uses. If the
+    summary read fewer columns, column pruning would give it a different
+    projection and Spark would scan and shuffle the rows a second time; taking a
+    field of the whole last row keeps both branches identical so AQE reuses the
+    shuffle stage.
+    """
+    return F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), order)
+
+
 def key_window(keys: Sequence[str]) -> Window:
     """Window over a chunk table. Without keys the chunk table is global but small."""
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -59,11 +71,11 @@ def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Colum
     d = df.withColumn("_chunk", chunk)
     part = keys + ["_chunk"]
     d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    counts = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_cn"))
+    counts = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_rn"].alias("_cn"))
     counts = counts.withColumn(
         "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy("_chunk")
                                              .rowsBetween(UNB_PREC, -1)), F.lit(0)).cast("long"))
-    d = d.join(counts.select(*part, "_off"), on=part, how="inner")
+    d = d.join(counts.select(*part, "_off"), on=part, how="left")
     return (d.withColumn(pos, (F.col("_off") + F.col("_rn") - 1).cast("long"))
              .drop("_off", "_rn", "_chunk"))
 
@@ -94,13 +106,13 @@ def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column |
     keys = list(keys)
     d = df.withColumn("_chunk", chunk)
     part = keys + ["_chunk"]
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(UNB_PREC, 0)
-    d = d.withColumn("_in", F.sum(value).over(w))
-    tot = d.groupBy(*part).agg(F.sum(value).alias("_ct"))
+    w = Window.partitionBy(*part).orderBy(*order)
+    d = d.withColumns({"_in": F.sum(value).over(w.rowsBetween(UNB_PREC, 0)), "_rn": F.row_number().over(w)})
+    tot = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_in"].alias("_ct"))
     tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy("_chunk")
                                                       .rowsBetween(UNB_PREC, -1)))
-    d = d.join(tot.select(*part, "_before"), on=part, how="inner")
+    d = d.join(tot.select(*part, "_before"), on=part, how="left")
     run = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(
         F.coalesce(F.col("_before"), F.lit(0.0)) + F.col("_in"))
     return (d.withColumn(out, F.when(F.col(value).isNotNull(), run))
-             .drop("_in", "_before", "_chunk"))
+             .drop("_in", "_before", "_chunk", "_rn"))
