@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.columns import epoch_micros, floor_div
-from voltframe.operators.sequence import UNB_FOLL, UNB_PREC
+from voltframe.operators.sequence import UNB_PREC
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequence[str],
@@ -67,10 +67,13 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequ
     u = lft.unionByName(r, allowMissingColumns=True)
     part = [*by, "_b"] + (["_salt"] if salt > 1 else [])
     w = Window.partitionBy(*part).orderBy("_t", "_side", "_o")
+    # Forward match = last candidate in descending order (running frames only; a
+    # frame to UNBOUNDED FOLLOWING would be quadratic per partition).
+    w_rev = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_side").desc(), F.col("_o").desc())
     cand = F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_r").alias("r")))
     u = u.withColumns({
         "_bk": F.last(cand, ignorenulls=True).over(w.rowsBetween(UNB_PREC, 0)),
-        "_fw": F.first(cand, ignorenulls=True).over(w.rowsBetween(0, UNB_FOLL)),
+        "_fw": F.last(cand, ignorenulls=True).over(w_rev.rowsBetween(UNB_PREC, 0)),
     }).where(F.col("_side") == 1)
     db = F.col("_t") - F.col("_bk.t")
     df_ = F.col("_fw.t") - F.col("_t")

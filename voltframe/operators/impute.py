@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.columns import epoch_micros, slot_index
-from voltframe.operators.sequence import UNB_FOLL, UNB_PREC, key_window, last_row
+from voltframe.operators.sequence import UNB_PREC, key_window, last_row
 
 
 def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (),
@@ -37,13 +37,16 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     d = df.withColumn("_ch", slot_index(ts, chunk_seconds))
     part = keys + ["_ch"]
     w = Window.partitionBy(*part).orderBy(*order)
+    # "Next valid" is the last valid value in descending order: a running frame,
+    # evaluated incrementally (a frame to UNBOUNDED FOLLOWING is quadratic in Spark).
+    w_rev = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(UNB_PREC, 0)
     d = d.withColumn("_rn", F.row_number().over(w))
     valid_rn = F.when(v.isNotNull(), F.col("_rn"))
     d = d.withColumns({
         "_pv_rn": F.last(valid_rn, ignorenulls=True).over(w.rowsBetween(UNB_PREC, 0)),
         "_pv_v": F.last(v, ignorenulls=True).over(w.rowsBetween(UNB_PREC, 0)),
-        "_nv_rn": F.first(valid_rn, ignorenulls=True).over(w.rowsBetween(0, UNB_FOLL)),
-        "_nv_v": F.first(v, ignorenulls=True).over(w.rowsBetween(0, UNB_FOLL)),
+        "_nv_rn": F.last(valid_rn, ignorenulls=True).over(w_rev),
+        "_nv_v": F.last(v, ignorenulls=True).over(w_rev),
         "_prev_ts": F.lag(F.col(ts)).over(w),
     })
 
@@ -63,7 +66,8 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
         (F.col("_off") + F.col("_fv_rn") - 1).alias("pos"), F.col("_fv_v").alias("v")))
     summ = summ.withColumns({
         "_cin": F.last(last_abs, ignorenulls=True).over(kw.rowsBetween(UNB_PREC, -1)),
-        "_cout": F.first(first_abs, ignorenulls=True).over(kw.rowsBetween(1, UNB_FOLL)),
+        "_cout": F.last(first_abs, ignorenulls=True).over(
+            key_window(keys).orderBy(F.col("_ch").desc()).rowsBetween(UNB_PREC, -1)),
         "_cts": F.lag("_last_ts").over(kw),
     }).select(*part, "_off", "_cin", "_cout", "_cts")
 

@@ -25,6 +25,7 @@ from voltframe.operators.impute import handle_missing
 from voltframe.operators.outliers import cap_outliers, impossible_to_null
 from voltframe.operators.report import cleaning_metrics
 from voltframe.operators.resample import resample_mean
+from voltframe.session import cut_lineage
 
 
 @dataclass
@@ -50,14 +51,23 @@ def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts:
                  min_val: float | None = None, max_val: float | None = None,
                  method: str = "iqr", threshold: float = 3.0, quantile_method: str = "exact",
                  step_seconds: int = 900, windows_hours: Sequence[int] = (24, 168),
-                 lags: Sequence[int] = (4, 24, 96), chunk_seconds: int = 86_400) -> Cleaned:
-    """A1 -> W4 -> P22 -> A4 -> A5 -> P18 -> W5 -> W6 for one series table."""
+                 lags: Sequence[int] = (4, 24, 96), chunk_seconds: int = 86_400,
+                 checkpoint: bool = True) -> Cleaned:
+    """A1 -> W4 -> P22 -> A4 -> A5 -> P18 -> W5 -> W6 for one series table.
+
+    With ``checkpoint`` the corrected rows are written once (reliable checkpoint in
+    the session's checkpoint folder) before the steps that read them several
+    times: the outlier bounds and their application, the grid span and the grid
+    means. Without it each of those branches would recompute dedupe + imputation.
+    """
     keys = list(keys)
     order = list(order)
     dd = dedupe_first(raw, subset=dedupe_keys, order=order)
     imp = handle_missing(dd, ts=ts, value=value, keys=keys, order=[ts, *order],
                          chunk_seconds=chunk_seconds)
     cor = impossible_to_null(imp, value, min_val, max_val, flag="_impossible")
+    if checkpoint:
+        cor = cut_lineage(cor)
     cap = cap_outliers(cor, value, method=method, threshold=threshold, keys=keys,
                        quantile_method=quantile_method)
     value_cols = [value, f"{value}_ffill", f"{value}_is_interpolated", f"{value}_original",
