@@ -290,6 +290,26 @@ QQ_SRC = f"""qs AS (SELECT 'All Periods' AS subset, value FROM e UNION ALL
   SELECT 'Heat Wave' AS subset, value FROM e WHERE "timestamp" >= {S} AND "timestamp" < {E})"""
 
 
+def _kde_tail(group, gridsize=200, cut=3.0):
+    """KDE over a CTE ``m(variable, <group>, x)`` of non-null values."""
+    return with_(
+        f"st0 AS (SELECT variable, {group}, count(*) AS n, stddev_samp(x) AS _sd, min(x) AS _mn, max(x) AS _mx FROM m GROUP BY 1, 2)",
+        "tot AS (SELECT variable, sum(n) AS _ntot FROM st0 GROUP BY 1)",
+        "st AS (SELECT st0.*, _ntot, _sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM st0 JOIN tot USING (variable))",
+        f"st2 AS (SELECT *, _mn - {cut} * bw AS _glo, _mx + {cut} * bw AS _ghi FROM st)",
+        f"st3 AS (SELECT *, (_ghi - _glo) / CAST({gridsize - 1} AS DOUBLE) AS _gstep FROM st2)",
+        f"g AS (SELECT variable, {group}, unnest(range(0, {gridsize})) AS i FROM st3)",
+        f"sums AS (SELECT g.variable, g.{group}, g.i, sum(exp(-0.5 * ((CAST(g.i AS DOUBLE) * st3._gstep + st3._glo - m.x) / st3.bw) "
+        f"* ((CAST(g.i AS DOUBLE) * st3._gstep + st3._glo - m.x) / st3.bw))) AS _s "
+        f"FROM g JOIN st3 USING (variable, {group}) JOIN m ON m.variable = g.variable AND m.{group} = g.{group} "
+        f"GROUP BY 1, 2, 3)") + (
+        f"SELECT variable, {group}, CAST(i AS INTEGER) AS i, "
+        f"CASE WHEN i = {gridsize - 1} THEN _ghi ELSE CAST(i AS DOUBLE) * _gstep + _glo END AS x, "
+        f"_s * (1.0 / sqrt(2.0 * pi())) / (n * bw) AS density, "
+        f"(_s * (1.0 / sqrt(2.0 * pi())) / (n * bw)) * n / _ntot AS density_common, CAST(n AS BIGINT) AS n, bw "
+        f"FROM sums JOIN st3 USING (variable, {group})")
+
+
 def kde_sql(gridsize=200, cut=3.0):
     melt = " UNION ALL ".join(f"SELECT '{c}' AS variable, period, CAST({c} AS DOUBLE) AS x FROM pd"
                               for c in PAIR_COLS)
@@ -520,6 +540,32 @@ def _q():
     q["pair_bins"] = pair_bins_sql()
     q["kde_by_period"] = rnd(["x", "density", "density_common", "bw"], kde_sql(),
                              fine={"density": 40, "density_common": 40})
+    q["kde_by_region"] = rnd(["x", "density", "density_common", "bw"], with_(
+        EM_RAW, "m AS (SELECT 'value' AS variable, region, CAST(value AS DOUBLE) AS x FROM em_raw WHERE value IS NOT NULL)")
+        .rstrip() + ", " + _kde_tail("region")[5:], fine={"density": 40, "density_common": 40})
+    pcols = ["value", "hour", "day_of_week"]
+    bx = {k: (f"CAST(CASE WHEN _mx_{k} > _mn_{k} THEN least(floor((CAST({c} AS DOUBLE) - _mn_{k}) / (_mx_{k} - _mn_{k}) "
+              f"* CAST(12 AS DOUBLE)), 11) ELSE 0 END AS INTEGER)") for k, c in enumerate(pcols)}
+    q["pair_bins_by_region"] = with_(
+        *grid_r, f"gf AS (SELECT *, {CALENDAR} FROM g)",
+        "pd AS (SELECT * FROM gf WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in pcols) + ")",
+        "pst AS (SELECT " + ", ".join(f"CAST(min({c}) AS DOUBLE) AS _mn_{k}, CAST(max({c}) AS DOUBLE) AS _mx_{k}"
+                                    for k, c in enumerate(pcols)) + " FROM pd)",
+        "pb AS (" + " UNION ALL ".join(
+            f"SELECT '{pcols[j]}' AS x_var, '{pcols[i]}' AS y_var, region, {bx[j]} AS x_bin, {bx[i]} AS y_bin FROM pd, pst"
+            for i in range(len(pcols)) for j in range(i)) + ")") + \
+        "SELECT x_var, y_var, region, x_bin, y_bin, count(*) AS count FROM pb GROUP BY ALL"
+    fcols = ["value", "value_original", "hour", "day_of_week", "value_lag_4", "value_lag_96"]
+    aggs = ", ".join(f"{safe_corr(f'CAST({fcols[i]} AS DOUBLE)', f'CAST({fcols[j]} AS DOUBLE)')} AS r_{i}_{j}"
+                     for i in range(len(fcols)) for j in range(i, len(fcols)))
+    sel = " UNION ALL ".join(
+        f"SELECT region, {i} AS i, {j} AS j, '{fcols[i]}' AS row_label, '{fcols[j]}' AS col_label, "
+        f"r_{min(i, j)}_{max(i, j)} AS r, {i} > {j} AS shown FROM cm"
+        for i in range(len(fcols)) for j in range(len(fcols)))
+    q["feature_corr_by_region"] = rnd(["r"], with_(
+        *E_CHAIN(["region"]), f"cm AS (SELECT region, {aggs} FROM e WHERE "
+        + " AND ".join(f"{c} IS NOT NULL" for c in fcols) + " GROUP BY region)") + sel)
+    q["src_csv_roundtrip"] = rnd(["value"], with_(EM_RAW) + 'SELECT row_id, "timestamp", region, value FROM em_raw')
     return q
 
 

@@ -24,6 +24,7 @@ from voltframe.functions.columns import parse_utc, safe_corr
 from voltframe.plans import analysis as an
 from voltframe.plans import pipelines as pl
 from voltframe.plans.stage import stage_key, staged
+from voltframe.session import cut_lineage
 from voltframe.sources import testdata as td
 from voltframe.sources.landing import parse_demand_pages, parse_emissions_responses
 
@@ -137,12 +138,15 @@ def q_impossible_to_null(spark, sf):
 
 
 def q_outliers_iqr(spark, sf):
-    c = cap_outliers(_em_corrected_by_region(spark, sf).drop("corrected"), "value", "iqr", 3.0, keys=["region"])
+    # The bounds and their application both read the corrected rows: cut the lineage once.
+    cor = cut_lineage(_em_corrected_by_region(spark, sf).drop("corrected"))
+    c = cap_outliers(cor, "value", "iqr", 3.0, keys=["region"])
     return c.select("row_id", "timestamp", "region", "value", "value_original", "value_is_outlier")
 
 
 def q_outliers_zscore(spark, sf):
-    c = cap_outliers(_em_corrected_by_region(spark, sf).drop("corrected"), "value", "zscore", 3.0, keys=["region"])
+    cor = cut_lineage(_em_corrected_by_region(spark, sf).drop("corrected"))
+    c = cap_outliers(cor, "value", "zscore", 3.0, keys=["region"])
     return c.select("row_id", "timestamp", "region", "value", "value_original", "value_is_outlier")
 
 
@@ -366,7 +370,40 @@ def q_kde_by_period(spark, sf):
     return an.pair_kde(_merged(spark, sf), S, E)
 
 
-_FINE = {"kde_by_period": {"density": 40, "density_common": 40}}
+def q_kde_by_region(spark, sf):
+    """A22 on the raw emissions values, one curve per region."""
+    from voltframe.operators.stats import kde_curves
+    return kde_curves(_em_raw(spark, sf), ["value"], "region")
+
+
+def q_pair_bins_by_region(spark, sf):
+    """A21 on the per-region grid: value against calendar features, one panel set per region."""
+    from voltframe.operators.stats import pair_bins
+    g = temporal_features(_em_grid_by_region(spark, sf), "timestamp")
+    return pair_bins(g, ["value", "hour", "day_of_week"], "region", bins=12)
+
+
+def q_feature_corr_by_region(spark, sf):
+    """A12 with a series key: correlation of the cleaned value with its lags and calendar, per region."""
+    from voltframe.operators.stats import corr_matrix
+    c = pl.emissions_pipeline(_em_raw(spark, sf), keys=["region"]).clean
+    return corr_matrix(c, ["value", "value_original", "hour", "day_of_week", "value_lag_4", "value_lag_96"],
+                       keys=["region"])
+
+
+def q_src_csv_roundtrip(spark, sf):
+    """The emissions rows written as header CSV (overwrite) and read back with a typed schema."""
+    from voltframe.plans.stage import stage_path
+    from voltframe.sources.files import read_csv_typed, write_table
+    em = _em_raw(spark, sf)
+    path = stage_path(spark, stage_key("emissions_raw_csv", sf))
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    write_table(em, path, fmt="csv", timestamp_format=fmt)
+    return read_csv_typed(spark, path, em.schema, timestamp_format=fmt)
+
+
+_FINE = {"kde_by_period": {"density": 40, "density_common": 40},
+         "kde_by_region": {"density": 40, "density_common": 40}}
 
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)

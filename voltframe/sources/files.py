@@ -18,11 +18,13 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", timestamp_format: str | None = None) -> None:
     """Overwrite sink; Parquet by default, partitioned by e.g. key and month."""
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         w = w.option("header", True)
+    if timestamp_format:
+        w = w.option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
