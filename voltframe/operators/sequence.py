@@ -47,6 +47,30 @@ def key_window(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
+def auto_chunk_seconds(df: DataFrame, ts: str, keys: Sequence[str] = (), target_rows: int = 2_000_000,
+                       min_seconds: int = 60, max_seconds: int = 7 * 86_400) -> int:
+    """Chunk width for order-dependent scans, sized from the densest series.
+
+    Runs one small aggregate (rows and time span per key, reading only the key
+    and time columns) and returns the width in seconds that gives the densest key
+    about ``target_rows`` rows per chunk on average, rounded down to a power-of-two
+    number of minutes and clamped to [min_seconds, max_seconds].
+    """
+    from voltframe.functions.columns import epoch_micros
+    keys = list(keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                    ((F.max(epoch_micros(ts)) - F.min(epoch_micros(ts))) / 1e6).alias("span"))
+    row = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1.0)))).first()
+    rate = row[0] if row and row[0] else 0.0
+    if rate <= 0:
+        return max_seconds
+    width = target_rows / rate
+    minutes = 1
+    while minutes * 2 * 60 <= width and minutes * 2 * 60 <= max_seconds:
+        minutes *= 2
+    return int(min(max(minutes * 60, min_seconds), max_seconds))
+
+
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Attach per-key statistics.
 

@@ -159,12 +159,12 @@ def kde_curves(df: DataFrame, columns: Sequence[str], group: str, gridsize: int
     st = m.groupBy("variable", group).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("_sd"),
                                           F.min("x").alias("_mn"), F.max("x").alias("_mx"))
     tot = st.groupBy("variable").agg(F.sum("n").alias("_ntot"))
-    st = st.join(F.broadcast(tot), "variable").withColumn("bw", F.col("_sd") * F.pow(F.col("n").cast("double"), -0.2))
+    st = st.join(tot, "variable").withColumn("bw", F.col("_sd") * F.pow(F.col("n").cast("double"), -0.2))
     st = st.withColumns({"_glo": F.col("_mn") - F.lit(cut) * F.col("bw"),
                          "_ghi": F.col("_mx") + F.lit(cut) * F.col("bw")})
     st = st.withColumn("_gstep", (F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1)))
-    # One row per (variable, group): the broadcast is bounded by the number of columns x groups.
-    d = m.join(F.broadcast(st.select("variable", group, "bw", "_glo", "_gstep")), ["variable", group])
+    # One row per (variable, group): a plain join, so AQE broadcasts it only when it is small.
+    d = m.join(st.select("variable", group, "bw", "_glo", "_gstep"), ["variable", group])
     d = d.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
     gx = F.col("i").cast("double") * F.col("_gstep") + F.col("_glo")
     u = (gx - F.col("x")) / F.col("bw")

@@ -25,6 +25,7 @@ from voltframe.operators.impute import handle_missing
 from voltframe.operators.outliers import cap_outliers, impossible_to_null
 from voltframe.operators.report import cleaning_metrics
 from voltframe.operators.resample import resample_mean
+from voltframe.operators.sequence import auto_chunk_seconds
 from voltframe.session import cut_lineage
 
 
@@ -39,9 +40,11 @@ class Cleaned:
     value: str
 
     def metrics(self, name: str = "all") -> DataFrame:
+        """Cleaning counters, read from the (checkpointed) corrected rows where possible:
+        imputation and nulling keep one row per de-duplicated record."""
         v = self.value
-        return cleaning_metrics(raw=self.raw, deduped=self.deduped,
-                                imputed_flag=(self.imputed, f"{v}_is_interpolated"),
+        return cleaning_metrics(raw=self.raw, deduped=self.corrected,
+                                imputed_flag=(self.corrected, f"{v}_is_interpolated"),
                                 impossible_flag=(self.corrected, "_impossible"),
                                 outlier_flag=(self.capped, f"{v}_is_outlier"), name=name)
 
@@ -51,7 +54,7 @@ def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts:
                  min_val: float | None = None, max_val: float | None = None,
                  method: str = "iqr", threshold: float = 3.0, quantile_method: str = "exact",
                  step_seconds: int = 900, windows_hours: Sequence[int] = (24, 168),
-                 lags: Sequence[int] = (4, 24, 96), chunk_seconds: int = 86_400,
+                 lags: Sequence[int] = (4, 24, 96), chunk_seconds: int | None = None,
                  checkpoint: bool = True) -> Cleaned:
     """A1 -> W4 -> P22 -> A4 -> A5 -> P18 -> W5 -> W6 for one series table.
 
@@ -59,10 +62,13 @@ def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts:
     the session's checkpoint folder) before the steps that read them several
     times: the outlier bounds and their application, the grid span and the grid
     means. Without it each of those branches would recompute dedupe + imputation.
+    ``chunk_seconds=None`` sizes the imputation's time chunks from the data.
     """
     keys = list(keys)
     order = list(order)
     dd = dedupe_first(raw, subset=dedupe_keys, order=order)
+    if chunk_seconds is None:
+        chunk_seconds = auto_chunk_seconds(raw, ts, keys)
     imp = handle_missing(dd, ts=ts, value=value, keys=keys, order=[ts, *order],
                          chunk_seconds=chunk_seconds)
     cor = impossible_to_null(imp, value, min_val, max_val, flag="_impossible")
