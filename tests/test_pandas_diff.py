@@ -108,7 +108,7 @@ def test_quantiles_match_pandas(spark):
     for key, g in pdf.groupby("region"):
         pass
     got = quantiles(to_spark(spark, pdf), "value", {"q1": 0.25, "med": 0.5, "q3": 0.75, "p9": 0.9},
-                    keys=["region"], buckets=7).toPandas().set_index("region")
+                    keys=["region"], per_octave=1).toPandas().set_index("region")
     for reg, g in pdf.groupby("region"):
         for name, p in {"q1": 0.25, "med": 0.5, "q3": 0.75, "p9": 0.9}.items():
             assert abs(got.loc[reg, name] - g["value"].quantile(p)) < 1e-9

@@ -5,9 +5,11 @@ the number of smaller values in the same group (``_below``). It is the base of
 exact quantiles (A2, A11, A17) and of Q-Q positions (A20).
 
 Plan: (1) partial+final aggregate to distinct (key, value) counts - a hot value
-collapses inside each map task; (2) per key min/max; (3) equal-width value
-buckets, per-bucket totals and their exclusive prefix - a table of at most
-keys x ``buckets`` rows; (4) a running count inside each (key, bucket).
+collapses inside each map task; (2) log-scale value buckets (``per_octave``
+per power of two, sign-aware, so heavy tails and outliers do not pile the
+distinct values into a few buckets), per-bucket totals and their exclusive
+prefix - a table of at most keys x ~(octaves x per_octave) rows; (3) a running
+count inside each (key, bucket).
 Spark's ``percentile`` instead keeps every distinct value of a group in one
 hash map in the final task; it is offered as ``method="in_memory"``, and
 ``percentile_approx`` as ``method="approx"``.
@@ -20,25 +22,38 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.operators.sequence import UNB_PREC, join_small, key_window
+from voltframe.operators.sequence import UNB_PREC, key_window
 
 
-def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+def log_bucket(v, per_octave: int = 64):
+    """Monotone integer bucket of a double: 0 for 0, +/-(offset + floor(log2|v| * per_octave)).
+
+    ``log2`` is semi-monotonic (StrictMath), so the bucket never decreases as v grows.
+    Infinities take the outermost buckets.
+    """
+    v = F.col(v) if isinstance(v, str) else v
+    off = 1100 * per_octave  # > |log2| of every finite double times per_octave
+    inf = float("inf")
+    mag = F.floor(F.log2(F.abs(v)) * F.lit(float(per_octave))) + F.lit(off)
+    top = F.lit(2 * off + 1)
+    return (F.when(v == 0, F.lit(0))
+            .when(v == F.lit(inf), top).when(v == F.lit(-inf), -top)
+            .when(v > 0, mag).otherwise(-mag)).cast("long")
+
+
+def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = (), per_octave: int = 64) -> DataFrame:
     """Distinct (keys, value) rows with ``_cnt``, ``_n`` (group size) and ``_below``."""
     keys = list(keys)
     v = F.col(value)
     vc = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    rng = vc.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"),
-                                F.sum("_cnt").alias("_n"))
-    vc = join_small(vc, rng, keys)
-    lo, hi = F.col("_lo"), F.col("_hi")
-    b = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(buckets))),
-                                F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
-    vc = vc.withColumn("_b", b).drop("_lo", "_hi")
+    vc = vc.withColumn("_b", log_bucket(v, per_octave))
     bt = vc.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bn"))
-    bt = bt.withColumn("_boff", F.coalesce(
-        F.sum("_bn").over(key_window(keys).orderBy("_b").rowsBetween(UNB_PREC, -1)), F.lit(0)))
-    vc = vc.join(bt.select(*keys, "_b", "_boff"), on=[*keys, "_b"], how="inner")
+    kw = key_window(keys)
+    bt = bt.withColumns({
+        "_boff": F.coalesce(F.sum("_bn").over(kw.orderBy("_b").rowsBetween(UNB_PREC, -1)), F.lit(0)),
+        "_n": F.sum("_bn").over(kw),
+    })
+    vc = vc.join(bt.select(*keys, "_b", "_boff", "_n"), on=[*keys, "_b"], how="inner")
     w = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(UNB_PREC, -1)
     vc = vc.withColumn("_below", (F.col("_boff") + F.coalesce(F.sum("_cnt").over(w), F.lit(0))).cast("long"))
     return vc.drop("_b", "_boff")
@@ -51,7 +66,7 @@ def value_at_rank(ranked: DataFrame, k, value: str):
 
 
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], keys: Sequence[str] = (),
-              method: str = "exact", buckets: int = 1024) -> DataFrame:
+              method: str = "exact", per_octave: int = 64) -> DataFrame:
     """Linear-interpolated quantiles (pandas / numpy 'linear' rule) per key.
 
     Returns ``keys + list(probs)`` columns plus ``n`` (non-null count).
@@ -66,7 +81,7 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], keys: Seque
         return df.groupBy(*keys).agg(*aggs, F.count(value).alias("n"))
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    r = ranked_values(df, value, keys, buckets)
+    r = ranked_values(df, value, keys, per_octave)
     n = F.col("_n")
     aggs = [F.first("_n").alias("n")]
     for name, p in probs.items():
