@@ -49,22 +49,23 @@ def key_window(keys: Sequence[str]) -> Window:
 
 def auto_chunk_seconds(df: DataFrame, ts: str, keys: Sequence[str] = (), target_rows: int = 2_000_000,
                        min_seconds: int = 60, max_seconds: int = 7 * 86_400) -> int:
-    """Chunk width for order-dependent scans, sized from the densest series.
-
-    Runs one small aggregate (rows and time span per key, reading only the key
-    and time columns) and returns the width in seconds that gives the densest key
-    about ``target_rows`` rows per chunk on average, rounded down to a power-of-two
-    number of minutes and clamped to [min_seconds, max_seconds].
+    """Chunk width for order-dependent scans, sized from the peak hourly rate of any key.
+
+    One small aggregate (rows per key and hour, reading only the key and time
+    columns; partial aggregation map-side) gives the busiest hour of any series;
+    the width is chosen so that even that rate yields about ``target_rows`` rows
+    per chunk, rounded down to a power-of-two number of minutes and clamped to
+    [min_seconds, max_seconds]. Bursts therefore shrink the chunks instead of
+    overloading one task.
     """
-    from voltframe.functions.columns import epoch_micros
+    from voltframe.functions.columns import slot_index
     keys = list(keys)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    ((F.max(epoch_micros(ts)) - F.min(epoch_micros(ts))) / 1e6).alias("span"))
-    row = per_key.agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1.0)))).first()
-    rate = row[0] if row and row[0] else 0.0
-    if rate <= 0:
+    per_hour = df.groupBy(*keys, slot_index(ts, 3600).alias("_h")).agg(F.count(F.lit(1)).alias("n"))
+    row = per_hour.agg(F.max("n")).first()
+    peak = (row[0] or 0) / 3600.0 if row else 0.0
+    if peak <= 0:
         return max_seconds
-    width = target_rows / rate
+    width = target_rows / peak
     minutes = 1
     while minutes * 2 * 60 <= width and minutes * 2 * 60 <= max_seconds:
         minutes *= 2
