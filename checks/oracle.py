@@ -440,12 +440,12 @@ def _q():
     q["demand_pipeline"] = rnd(CLEAN_D_DOUBLES, with_(*DC) + "SELECT * FROM d")
     q["cleaning_metrics"] = with_(*EC, *DC) + (
         "SELECT 'emissions' AS dataset, (SELECT count(*) FROM em_raw) - (SELECT count(*) FROM em_dd) AS duplicates_removed, "
-        "(SELECT count_if(value_is_interpolated) FROM e_imp) AS missing_imputed, "
-        "(SELECT count_if(_impossible) FROM e_cor) + (SELECT count_if(value_is_outlier) FROM e_cap) AS outliers_corrected, "
+        "CAST((SELECT count_if(value_is_interpolated) FROM e_imp) AS BIGINT) AS missing_imputed, "
+        "CAST((SELECT count_if(_impossible) FROM e_cor) + (SELECT count_if(value_is_outlier) FROM e_cap) AS BIGINT) AS outliers_corrected, "
         "CAST(0 AS BIGINT) AS records_flagged UNION ALL "
         "SELECT 'demand', (SELECT count(*) FROM dm_raw) - (SELECT count(*) FROM dm_dd), "
-        "(SELECT count_if(demand_MW_is_interpolated) FROM d_imp), "
-        "(SELECT count_if(_impossible) FROM d_cor) + (SELECT count_if(demand_MW_is_outlier) FROM d_cap), CAST(0 AS BIGINT)")
+        "CAST((SELECT count_if(demand_MW_is_interpolated) FROM d_imp) AS BIGINT), "
+        "CAST((SELECT count_if(_impossible) FROM d_cor) + (SELECT count_if(demand_MW_is_outlier) FROM d_cap) AS BIGINT), CAST(0 AS BIGINT)")
     qr = ("SELECT '{n}' AS dataset, count(*) AS total_records, strftime(min(\"timestamp\"), '%Y-%m-%d %H:%M:%S') || '+00:00 to ' "
           "|| strftime(max(\"timestamp\"), '%Y-%m-%d %H:%M:%S') || '+00:00' AS date_range, avg({v}) AS mean, "
           "stddev_samp({v}) AS std, (count(*) - count({v})) * 100.0 / NULLIF(count(*), 0) AS missing_pct FROM {t}")
