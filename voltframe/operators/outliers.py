@@ -31,7 +31,7 @@ def impossible_to_null(df: DataFrame, value: str, min_val: float | None = None,
 
 
 def outlier_bounds(df: DataFrame, value: str, method: str = "iqr", threshold: float = 3.0,
-                   keys: Sequence[str] = (), quantile_method: str = "exact") -> DataFrame:
+                   keys: Sequence[str] = (), quantile_method: str = "auto") -> DataFrame:
     """Per-key ``(_lo, _hi)``: [Q1 - k*IQR, Q3 + k*IQR] or mean -/+ k*std (sample std)."""
     keys = list(keys)
     k = F.lit(float(threshold))
@@ -47,7 +47,7 @@ def outlier_bounds(df: DataFrame, value: str, method: str = "iqr", threshold: fl
 
 
 def cap_outliers(df: DataFrame, value: str, method: str = "iqr", threshold: float = 3.0,
-                 keys: Sequence[str] = (), quantile_method: str = "exact") -> DataFrame:
+                 keys: Sequence[str] = (), quantile_method: str = "auto") -> DataFrame:
     """Cap values outside the bounds to the bounds.
 
     Adds ``{value}_original`` (value before capping) and ``{value}_is_outlier``.

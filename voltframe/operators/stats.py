@@ -18,7 +18,7 @@ from voltframe.operators.sequence import join_small
 
 
 def distribution_summary(df: DataFrame, value: str, keys: Sequence[str] = (),
-                         quantile_method: str = "exact") -> DataFrame:
+                         quantile_method: str = "auto") -> DataFrame:
     """n, mean, sample std, median, min, max of non-null values per key."""
     keys = list(keys)
     basic = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
@@ -72,7 +72,7 @@ def histogram(df: DataFrame, value: str, bins: int = 40, keys: Sequence[str] = (
 
 
 def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float = 1.5,
-              quantile_method: str = "exact") -> DataFrame:
+              quantile_method: str = "auto") -> DataFrame:
     """Box-plot statistics per group: quartiles, whiskers at the most extreme data
     inside ``whis * IQR`` (never inside the box), flier count, n, mean."""
     keys = list(keys)

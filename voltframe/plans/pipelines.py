@@ -52,7 +52,7 @@ class Cleaned:
 def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts: str = "timestamp",
                  keys: Sequence[str] = (), order: Sequence[str] = ("row_id",),
                  min_val: float | None = None, max_val: float | None = None,
-                 method: str = "iqr", threshold: float = 3.0, quantile_method: str = "exact",
+                 method: str = "iqr", threshold: float = 3.0, quantile_method: str = "auto",
                  step_seconds: int = 900, windows_hours: Sequence[int] = (24, 168),
                  lags: Sequence[int] = (4, 24, 96), chunk_seconds: int | None = None,
                  checkpoint: bool = True) -> Cleaned:
