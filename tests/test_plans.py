@@ -63,3 +63,22 @@ def test_event_catalog_broadcast_is_guarded(spark):
     big = attach_events(td.emissions_raw(td.load(spark, SF001, "events")), cat, ts="timestamp",
                         series_key="region", window_key="region", broadcast_max_rows=1)
     assert "ResolvedHint (strategy=broadcast)" not in big._jdf.queryExecution().analyzed().toString()
+
+
+def test_dedupe_reduces_hot_keys_before_the_shuffle(spark):
+    from voltframe.operators import dedupe_first
+    raw = td.emissions_raw(td.load(spark, SF001, "events"))
+    p = plan(dedupe_first(raw, ["timestamp", "region"], ["row_id"]))
+    lines = p.splitlines()
+    ex = next(i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln)
+    assert any("partial_min_by" in ln for ln in lines[ex:])  # map-side partial aggregate under the exchange
+
+
+def test_asof_is_one_window_shuffle_without_join(spark):
+    from voltframe.operators import asof_nearest
+    ev = td.load(spark, SF001, "events")
+    left = td.emissions_raw(ev)
+    right = td.demand_raw(ev).select("timestamp", "demand_MW", "row_id")
+    p = plan(asof_nearest(left, right, on="timestamp", right_cols=["demand_MW"], right_order=["row_id"]))
+    assert "Join" not in p and "CartesianProduct" not in p
+    assert p.count("Exchange hashpartitioning") == 2  # right-duplicate collapse + the (bucket) window

@@ -45,14 +45,24 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session (no driver-side context)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     return spark.conf.get("spark.checkpoint.dir", None)
@@ -64,8 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if d is None:
         d = tempfile.mkdtemp(prefix="voltframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    sc = _context(spark)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
