@@ -80,7 +80,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the session's checkpoint folder (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the session's checkpoint folder and read it back.
+
+    This is the "written table" form of a reliable checkpoint: one pass over the
+    plan (``Dataset.checkpoint`` evaluates an unpersisted plan twice), columnar
+    storage with filter push-down on the way back, and a lost executor re-reads
+    the table instead of recomputing the lineage. Never a machine-local folder on
+    a cluster: the folder is ``spark.checkpoint.dir`` from the session.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/voltframe-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
