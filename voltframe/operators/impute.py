@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, slot_index
 from voltframe.operators.sequence import UNB_PREC, key_window, last_row
@@ -34,12 +35,14 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     if order[0] != ts:
         order = [ts] + [c for c in order if c != ts]
     v = F.col(value)
-    d = df.withColumn("_ch", slot_index(ts, chunk_seconds))
+    # NaN is missing (as in pandas); NULL times sort last (pandas puts NaT last).
+    d = df.withColumn(value, F.when(~F.isnan(v), v)) if isinstance(df.schema[value].dataType, T.DoubleType) else df
+    d = d.withColumn("_ch", slot_index(ts, chunk_seconds))
     part = keys + ["_ch"]
-    w = Window.partitionBy(*part).orderBy(*order)
+    w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     # "Next valid" is the last valid value in descending order: a running frame,
     # evaluated incrementally (a frame to UNBOUNDED FOLLOWING is quadratic in Spark).
-    w_rev = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(UNB_PREC, 0)
+    w_rev = Window.partitionBy(*part).orderBy(*[F.col(c).desc_nulls_first() for c in order]).rowsBetween(UNB_PREC, 0)
     d = d.withColumn("_rn", F.row_number().over(w))
     valid_rn = F.when(v.isNotNull(), F.col("_rn"))
     d = d.withColumns({
@@ -57,7 +60,7 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
         F.max(vrn).alias("_lv_rn"), F.max_by(v, vrn).alias("_lv_v"),
         F.min(vrn).alias("_fv_rn"), F.min_by(v, vrn).alias("_fv_v"),
     ).withColumns({"_n": F.col("_last._rn"), "_last_ts": F.col(f"_last.{ts}")}).drop("_last")
-    kw = key_window(keys).orderBy("_ch")
+    kw = key_window(keys).orderBy(F.col("_ch").asc_nulls_last())
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(kw.rowsBetween(UNB_PREC, -1)),
                                               F.lit(0)).cast("long"))
     last_abs = F.when(F.col("_lv_rn").isNotNull(), F.struct(
@@ -67,7 +70,7 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     summ = summ.withColumns({
         "_cin": F.last(last_abs, ignorenulls=True).over(kw.rowsBetween(UNB_PREC, -1)),
         "_cout": F.last(first_abs, ignorenulls=True).over(
-            key_window(keys).orderBy(F.col("_ch").desc()).rowsBetween(UNB_PREC, -1)),
+            key_window(keys).orderBy(F.col("_ch").desc_nulls_first()).rowsBetween(UNB_PREC, -1)),
         "_cts": F.lag("_last_ts").over(kw),
     }).select(*part, "_off", "_cin", "_cout", "_cts")
 
@@ -107,10 +110,10 @@ def time_gaps(df: DataFrame, *, ts: str, keys: Sequence[str] = (), order: Sequen
     order = list(order) if order else [ts]
     d = df.withColumn("_ch", slot_index(ts, chunk_seconds))
     part = keys + ["_ch"]
-    w = Window.partitionBy(*part).orderBy(*order)
+    w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     d = d.withColumns({"_prev_ts": F.lag(F.col(ts)).over(w), "_rn": F.row_number().over(w)})
     last = d.groupBy(*part).agg(last_row(d, F.col("_rn"))[ts].alias("_last_ts"))
-    last = last.withColumn("_cts", F.lag("_last_ts").over(key_window(keys).orderBy("_ch")))
+    last = last.withColumn("_cts", F.lag("_last_ts").over(key_window(keys).orderBy(F.col("_ch").asc_nulls_last())))
     d = d.join(last.select(*part, "_cts"), on=part, how="left")
     prev_ts = F.coalesce(F.col("_prev_ts"), F.col("_cts"))
     return (d.withColumn(out, (epoch_micros(ts) - epoch_micros(prev_ts)) / F.lit(1e6))

@@ -30,6 +30,11 @@ UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
 
 
+def _nulls_last(order: Sequence[Column | str]) -> list[Column]:
+    """Ascending order with NULLs last (pandas' sort order; Spark's default puts them first)."""
+    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
+
+
 def last_row(df: DataFrame, order: Column) -> Column:
     """The whole last row (by ``order``) of a group, as a struct.
 
@@ -95,10 +100,10 @@ def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Colum
     keys = list(keys)
     d = df.withColumn("_chunk", chunk)
     part = keys + ["_chunk"]
-    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*_nulls_last(order))))
     counts = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_rn"].alias("_cn"))
     counts = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy("_chunk")
+        "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
                                              .rowsBetween(UNB_PREC, -1)), F.lit(0)).cast("long"))
     d = d.join(counts.select(*part, "_off"), on=part, how="left")
     return (d.withColumn(pos, (F.col("_off") + F.col("_rn") - 1).cast("long"))
@@ -131,10 +136,10 @@ def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column |
     keys = list(keys)
     d = df.withColumn("_chunk", chunk)
     part = keys + ["_chunk"]
-    w = Window.partitionBy(*part).orderBy(*order)
+    w = Window.partitionBy(*part).orderBy(*_nulls_last(order))
     d = d.withColumns({"_in": F.sum(value).over(w.rowsBetween(UNB_PREC, 0)), "_rn": F.row_number().over(w)})
     tot = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_in"].alias("_ct"))
-    tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy("_chunk")
+    tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
                                                       .rowsBetween(UNB_PREC, -1)))
     d = d.join(tot.select(*part, "_before"), on=part, how="left")
     run = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(
