@@ -159,3 +159,15 @@ def test_outlier_method_is_validated(spark):
     from voltframe.operators import cap_outliers
     with pytest.raises(ValueError):
         cap_outliers(series_df(spark, [1, 2]), "value", method="mad")
+
+
+def test_null_series_key_is_its_own_group(spark):
+    from datetime import timedelta
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=15 * i), None if i % 2 else "a",
+             None if i % 3 == 1 else float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "row_id long, timestamp timestamp_ntz, region string, value double")
+    out = handle_missing(df, ts="timestamp", value="value", keys=["region"], order=["timestamp", "row_id"],
+                         chunk_seconds=1800).where("region is null").orderBy("row_id")
+    same(col_list(out, "value"), [_, 3, 5, 7, 9, 11])
+    q = {r.region: r.q1 for r in quantiles(df, "value", {"q1": 0.25}, keys=["region"], method="exact").collect()}
+    assert q == {"a": 1.5, None: 4.5}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, slot_index
-from voltframe.operators.sequence import UNB_PREC, key_window, last_row
+from voltframe.operators.sequence import UNB_PREC, join_keys, key_window, last_row
 
 
 def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (),
@@ -74,7 +74,7 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
         "_cts": F.lag("_last_ts").over(kw),
     }).select(*part, "_off", "_cin", "_cout", "_cts")
 
-    d = d.join(summ, on=part, how="left")
+    d = join_keys(d, summ, part, "left")
     off = F.col("_off")
     pos = off + F.col("_rn") - 1
     has_pv = F.col("_pv_rn").isNotNull()
@@ -114,7 +114,7 @@ def time_gaps(df: DataFrame, *, ts: str, keys: Sequence[str] = (), order: Sequen
     d = d.withColumns({"_prev_ts": F.lag(F.col(ts)).over(w), "_rn": F.row_number().over(w)})
     last = d.groupBy(*part).agg(last_row(d, F.col("_rn"))[ts].alias("_last_ts"))
     last = last.withColumn("_cts", F.lag("_last_ts").over(key_window(keys).orderBy(F.col("_ch").asc_nulls_last())))
-    d = d.join(last.select(*part, "_cts"), on=part, how="left")
+    d = join_keys(d, last.select(*part, "_cts"), part, "left")
     prev_ts = F.coalesce(F.col("_prev_ts"), F.col("_cts"))
     return (d.withColumn(out, (epoch_micros(ts) - epoch_micros(prev_ts)) / F.lit(1e6))
              .select(*df.columns, out))

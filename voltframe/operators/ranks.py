@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.operators.sequence import UNB_PREC, key_window
+from voltframe.operators.sequence import UNB_PREC, join_keys, key_window
 
 
 def log_bucket(v, per_octave: int = 64):
@@ -56,7 +56,7 @@ def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = (), per_octav
         "_boff": F.coalesce(F.sum("_bn").over(kw.orderBy("_b").rowsBetween(UNB_PREC, -1)), F.lit(0)),
         "_n": F.sum("_bn").over(kw),
     })
-    vc = vc.join(bt.select(*keys, "_b", "_boff", "_n"), on=[*keys, "_b"], how="inner")
+    vc = join_keys(vc, bt.select(*keys, "_b", "_boff", "_n"), [*keys, "_b"])
     w = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(UNB_PREC, -1)
     vc = vc.withColumn("_below", (F.col("_boff") + F.coalesce(F.sum("_cnt").over(w), F.lit(0))).cast("long"))
     return vc.drop("_b", "_boff")

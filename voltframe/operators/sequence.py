@@ -77,6 +77,21 @@ def auto_chunk_seconds(df: DataFrame, ts: str, keys: Sequence[str] = (), target_
     return int(min(max(minutes * 60, min_seconds), max_seconds))
 
 
+def join_keys(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` where NULL matches NULL (as ``groupBy`` groups them).
+
+    Planned as an ordinary hash / sort-merge equi-join (null-safe equality is a
+    join key for Spark). The right side's copies of ``cols`` are dropped.
+    """
+    cols = list(cols)
+    if not cols:
+        return left.crossJoin(right)
+    r = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}") for c in cols],
+                     *[F.col(f"`{c}`") for c in right.columns if c not in cols])
+    cond = [left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols]
+    return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
+
+
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Attach per-key statistics.
 
@@ -87,7 +102,7 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     """
     if not keys:
         return df.crossJoin(F.broadcast(small))
-    return df.join(small, on=list(keys), how=how)
+    return join_keys(df, small, keys, how)
 
 
 def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column | str],
@@ -105,7 +120,7 @@ def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Colum
     counts = counts.withColumn(
         "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
                                              .rowsBetween(UNB_PREC, -1)), F.lit(0)).cast("long"))
-    d = d.join(counts.select(*part, "_off"), on=part, how="left")
+    d = join_keys(d, counts.select(*part, "_off"), part, "left")
     return (d.withColumn(pos, (F.col("_off") + F.col("_rn") - 1).cast("long"))
              .drop("_off", "_rn", "_chunk"))
 
@@ -141,7 +156,7 @@ def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column |
     tot = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_in"].alias("_ct"))
     tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
                                                       .rowsBetween(UNB_PREC, -1)))
-    d = d.join(tot.select(*part, "_before"), on=part, how="left")
+    d = join_keys(d, tot.select(*part, "_before"), part, "left")
     run = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(
         F.coalesce(F.col("_before"), F.lit(0.0)) + F.col("_in"))
     return (d.withColumn(out, F.when(F.col(value).isNotNull(), run))

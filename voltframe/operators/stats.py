@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions.columns import safe_corr
 from voltframe.operators.ranks import quantiles
-from voltframe.operators.sequence import join_small
+from voltframe.operators.sequence import join_keys, join_small
 
 
 def distribution_summary(df: DataFrame, value: str, keys: Sequence[str] = (),
@@ -26,7 +26,7 @@ def distribution_summary(df: DataFrame, value: str, keys: Sequence[str] = (),
                                   F.min(value).cast("double").alias("min"),
                                   F.max(value).cast("double").alias("max"))
     med = quantiles(df, value, {"median": 0.5}, keys, method=quantile_method).drop("n")
-    return basic.join(med, on=keys, how="left") if keys else basic.crossJoin(med)
+    return join_keys(basic, med, keys, "left")
 
 
 def _bin_index(v, lo, hi, bins: int):
@@ -61,7 +61,7 @@ def histogram(df: DataFrame, value: str, bins: int = 40, keys: Sequence[str] = (
         .agg(F.count(F.lit(1)).alias("count"))
     allbins = st.select(*keys, "n", "_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                        F.lit(bins - 1).cast("long"))).alias("bin"))
-    out = allbins.join(counts, on=[*keys, "bin"], how="left")
+    out = join_keys(allbins, counts, [*keys, "bin"], "left")
     edge = lambda k: F.when(k >= bins, hi).otherwise(lo + k.cast("double") * step)
     cols = [*keys, F.col("bin").cast("int").alias("bin"), edge(F.col("bin")).alias("bin_lo"),
             edge(F.col("bin") + 1).alias("bin_hi"),
@@ -85,13 +85,13 @@ def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float =
     w = d.groupBy(*keys).agg(F.max(F.when(v <= F.col("_hiv"), v)).alias("_wh"),
                              F.min(F.when(v >= F.col("_lov"), v)).alias("_wl"),
                              F.avg(v).alias("mean"))
-    out = q.join(w, on=keys, how="left") if keys else q.crossJoin(w)
+    out = join_keys(q, w, keys, "left")
     whishi = F.when(F.col("_wh").isNull() | (F.col("_wh") < F.col("q3")), F.col("q3")).otherwise(F.col("_wh"))
     whislo = F.when(F.col("_wl").isNull() | (F.col("_wl") > F.col("q1")), F.col("q1")).otherwise(F.col("_wl"))
     out = out.withColumns({"whislo": whislo.cast("double"), "whishi": whishi.cast("double")})
     fl = join_small(df.where(v.isNotNull()), out.select(*keys, "whislo", "whishi"), keys) \
         .groupBy(*keys).agg(F.count(F.when((v < F.col("whislo")) | (v > F.col("whishi")), F.lit(1))).alias("n_fliers"))
-    out = out.join(fl, on=keys, how="left") if keys else out.crossJoin(fl)
+    out = join_keys(out, fl, keys, "left")
     return out.select(*keys, "n", "mean", "q1", "median", "q3", "iqr", "whislo", "whishi",
                       F.coalesce(F.col("n_fliers"), F.lit(0)).cast("long").alias("n_fliers"))
 
@@ -164,12 +164,12 @@ def kde_curves(df: DataFrame, columns: Sequence[str], group: str, gridsize: int
                          "_ghi": F.col("_mx") + F.lit(cut) * F.col("bw")})
     st = st.withColumn("_gstep", (F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1)))
     # One row per (variable, group): a plain join, so AQE broadcasts it only when it is small.
-    d = m.join(st.select("variable", group, "bw", "_glo", "_gstep"), ["variable", group])
+    d = join_keys(m, st.select("variable", group, "bw", "_glo", "_gstep"), ["variable", group])
     d = d.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
     gx = F.col("i").cast("double") * F.col("_gstep") + F.col("_glo")
     u = (gx - F.col("x")) / F.col("bw")
     sums = d.groupBy("variable", group, "i").agg(F.sum(F.exp(F.lit(-0.5) * u * u)).alias("_s"))
-    out = sums.join(st, ["variable", group])
+    out = join_keys(sums, st, ["variable", group])
     grid_x = F.when(F.col("i") == gridsize - 1, F.col("_ghi")).otherwise(
         F.col("i").cast("double") * F.col("_gstep") + F.col("_glo"))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi))
