@@ -489,6 +489,11 @@ def _q():
         *EC, f"ep AS (SELECT {PHASE} AS phase, value FROM e)").rstrip() + ", " + hist_sql("ep", "value", ["phase"], 30, True)[5:])
     q["box_stats"] = rnd(["mean", "q1", "median", "q3", "iqr", "whislo", "whishi"], with_(
         *EC, f"ebp AS (SELECT {PERIOD} AS period, value FROM e)").rstrip() + ", " + box_sql("ebp", "value", ["period"])[5:])
+    q["box_fliers"] = rnd(["value"], with_(
+        *EC, f"ebp AS (SELECT \"timestamp\", value, {PERIOD} AS period FROM e)",
+        f"bstat AS ({box_sql('ebp', 'value', ['period'])})") + (
+        'SELECT x."timestamp", x.value, x.period FROM ebp x JOIN bstat b USING (period) '
+        "WHERE x.value IS NOT NULL AND (x.value < b.whislo OR x.value > b.whishi)"))
     q["regional_box_stats"] = rnd(["mean", "q1", "median", "q3", "iqr", "whislo", "whishi"],
                                   with_(EM_RAW).rstrip() + ", " + box_sql("em_raw", "value", ["region"])[5:])
     q["distribution_summary"] = rnd(["mean", "std", "min", "max", "median"], with_(*EC) + (

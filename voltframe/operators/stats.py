@@ -96,6 +96,16 @@ def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float =
                       F.coalesce(F.col("n_fliers"), F.lit(0)).cast("long").alias("n_fliers"))
 
 
+def box_fliers(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float = 1.5,
+               quantile_method: str = "auto") -> DataFrame:
+    """The data rows drawn as fliers: outside the whiskers of their group."""
+    keys = list(keys)
+    b = box_stats(df, value, keys, whis, quantile_method).select(*keys, "whislo", "whishi")
+    v = F.col(value)
+    d = join_small(df.where(v.isNotNull()), b, keys)
+    return d.where((v < F.col("whislo")) | (v > F.col("whishi"))).drop("whislo", "whishi")
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str], labels: Sequence[str] | None = None,
                 keys: Sequence[str] = ()) -> DataFrame:
     """Pearson matrix on listwise-complete rows, long form: one aggregate for all pairs.

@@ -39,6 +39,11 @@ def box_by_period(e: DataFrame, start: str, end: str) -> DataFrame:
     return box_stats(with_period(e, start, end), "value", keys=["period"])
 
 
+def box_fliers_by_period(e: DataFrame, start: str, end: str) -> DataFrame:
+    from voltframe.operators.stats import box_fliers
+    return box_fliers(with_period(e, start, end).select("timestamp", "value", "period"), "value", keys=["period"])
+
+
 def histogram_by_phase(e: DataFrame, start: str, end: str, bins: int = 30) -> DataFrame:
     p = e.withColumn("phase", phase_label("timestamp", start, end))
     return histogram(p, "value", bins=bins, keys=["phase"], density=True)

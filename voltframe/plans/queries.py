@@ -294,6 +294,10 @@ def q_box_stats(spark, sf):
     return an.box_by_period(_e(spark, sf), S, E)
 
 
+def q_box_fliers(spark, sf):
+    return an.box_fliers_by_period(_e(spark, sf), S, E)
+
+
 def q_regional_box_stats(spark, sf):
     return box_stats(_em_raw(spark, sf), "value", keys=["region"])
 
