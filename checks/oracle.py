@@ -297,7 +297,7 @@ def _kde_tail(group, gridsize=200, cut=3.0):
         "tot AS (SELECT variable, sum(n) AS _ntot FROM st0 GROUP BY 1)",
         "st AS (SELECT st0.*, _ntot, _sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM st0 JOIN tot USING (variable))",
         f"st2 AS (SELECT *, _mn - {cut} * bw AS _glo, _mx + {cut} * bw AS _ghi FROM st)",
-        f"st3 AS (SELECT *, (_ghi - _glo) / CAST({gridsize - 1} AS DOUBLE) AS _gstep FROM st2)",
+        f"st3 AS (SELECT *, (_ghi - _glo) / CAST({gridsize - 1} AS DOUBLE) AS _gstep FROM st2 WHERE bw > 0)",
         f"g AS (SELECT variable, {group}, unnest(range(0, {gridsize})) AS i FROM st3)",
         f"sums AS (SELECT g.variable, g.{group}, g.i, sum(exp(-0.5 * ((CAST(g.i AS DOUBLE) * st3._gstep + st3._glo - m.x) / st3.bw) "
         f"* ((CAST(g.i AS DOUBLE) * st3._gstep + st3._glo - m.x) / st3.bw))) AS _s "
@@ -321,7 +321,7 @@ def kde_sql(gridsize=200, cut=3.0):
                  "tot AS (SELECT variable, sum(n) AS _ntot FROM st0 GROUP BY 1)",
                  f"st AS (SELECT st0.*, _ntot, _sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM st0 JOIN tot USING (variable))",
                  f"st2 AS (SELECT *, _mn - {cut} * bw AS _glo, _mx + {cut} * bw AS _ghi FROM st)",
-                 f"st3 AS (SELECT *, (_ghi - _glo) / CAST({gridsize - 1} AS DOUBLE) AS _gstep FROM st2)",
+                 f"st3 AS (SELECT *, (_ghi - _glo) / CAST({gridsize - 1} AS DOUBLE) AS _gstep FROM st2 WHERE bw > 0)",
                  f"g AS (SELECT variable, period, unnest(range(0, {gridsize})) AS i FROM st3)",
                  "sums AS (SELECT g.variable, g.period, g.i, sum(exp(-0.5 * ((CAST(g.i AS DOUBLE) * st3._gstep + st3._glo - m.x) / st3.bw) "
                  "* ((CAST(g.i AS DOUBLE) * st3._gstep + st3._glo - m.x) / st3.bw))) AS _s "

@@ -108,3 +108,11 @@ def test_kde_matches_definition(spark):
         same(list(o.x), list(grid), tol=1e-12)
         same(list(o.density), list(dens), tol=1e-9)
         same(list(o.density_common), list(dens * len(data) / 120), tol=1e-9)
+
+
+def test_kde_skips_singular_groups(spark):
+    df = spark.createDataFrame([(2.0, "a"), (2.0, "a"), (1.0, "b"), (3.0, "b"), (7.0, "c")], "x double, g string")
+    out = kde_curves(df, ["x"], "g", gridsize=5).toPandas()
+    assert set(out.g) == {"b"}
+    assert (out.n == 2).all()
+    same(list(out.density_common), list(out.density * 2 / 5))

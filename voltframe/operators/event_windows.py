@@ -73,7 +73,7 @@ def attach_events(series: DataFrame, windows: DataFrame, *, ts: str, series_key:
     wcols = [F.col(c) for c in event_cols] + [F.col("window_lo").alias("_wlo"), F.col("window_hi").alias("_whi")]
     if series_key is not None:
         wcols.append(F.col(window_key).alias("_wkey"))
-    wdays = windows.select(*wcols, days.alias("_day"))
+    wdays = windows.where(F.col("window_lo") <= F.col("window_hi")).select(*wcols, days.alias("_day"))
     wdays = broadcast_if_small(wdays, broadcast_max_rows)
     s = series.withColumn("_day", F.to_date(F.col(ts)))
     cond = s["_day"] == wdays["_day"]

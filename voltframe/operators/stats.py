@@ -161,7 +161,8 @@ def kde_curves(df: DataFrame, columns: Sequence[str], group: str, gridsize: int
     points over [min - cut*bw, max + cut*bw].
 
     ``density`` integrates to 1 per group; ``density_common`` is scaled by the
-    group's share of the variable's rows (curves drawn on one axis). Each data row
+    group's share of the variable's rows (curves drawn on one axis). Singular
+    groups (zero bandwidth) produce no rows. Each data row
     contributes to every grid point; the partial aggregate folds those
     contributions per task, so the shuffle carries gridsize rows per group.
     """
@@ -173,6 +174,9 @@ def kde_curves(df: DataFrame, columns: Sequence[str], group: str, gridsize: int
     st = st.withColumns({"_glo": F.col("_mn") - F.lit(cut) * F.col("bw"),
                          "_ghi": F.col("_mx") + F.lit(cut) * F.col("bw")})
     st = st.withColumn("_gstep", (F.col("_ghi") - F.col("_glo")) / F.lit(float(gridsize - 1)))
+    # A singular group (one row, or all values equal) has no curve; its rows still
+    # count in the common normalisation.
+    st = st.where(F.col("bw") > 0)
     # One row per (variable, group): a plain join, so AQE broadcasts it only when it is small.
     d = join_keys(m, st.select("variable", group, "bw", "_glo", "_gstep"), ["variable", group])
     d = d.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
