@@ -19,8 +19,10 @@ def rnd(cols, q, bits=20, fine=None):
         return q
 
     def qz(c):
-        s = f"CAST({2 ** fine.get(c, bits)} AS DOUBLE)"
-        return f"CAST(floor({c} * {s} + 0.5) AS DOUBLE) / {s}"
+        b = fine.get(c, bits)
+        s = f"CAST({2 ** b} AS DOUBLE)"
+        return (f"CASE WHEN abs({c}) < CAST({2 ** (52 - b)} AS DOUBLE) THEN CAST(floor({c} * {s} + 0.5) AS DOUBLE) / {s} "
+                f"ELSE {c} + 0.0 END")
     rep = ", ".join(f"{qz(c)} AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({q}) AS _q"
 

@@ -88,7 +88,11 @@ def quantize(c: Column, bits: int = 20) -> Column:
     summation-order noise produce bit-identical doubles. -0.0 becomes 0.0.
     """
     s = float(2 ** bits)
-    return (F.floor(c * F.lit(s) + F.lit(0.5)).cast("double") / F.lit(s)).cast("double")
+    # Beyond 2**(52 - bits) a double's own spacing is >= 2**-bits: already on the grid
+    # (and floor() to BIGINT could overflow), so such values pass through.
+    big = F.lit(float(2 ** (52 - bits)))
+    snapped = (F.floor(c * F.lit(s) + F.lit(0.5)).cast("double") / F.lit(s)).cast("double")
+    return F.when(F.abs(c) < big, snapped).otherwise(c + F.lit(0.0))
 
 
 # Coefficients of the published rational approximation of the
