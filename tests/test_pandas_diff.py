@@ -152,3 +152,14 @@ def test_asof_matches_pandas(spark, seed):
     got_k = asof_nearest(sl.withColumn("k", F.lit(1)), sr.withColumn("k", F.lit(1)), on="timestamp",
                          right_cols=["v"], by=["k"], tolerance_seconds=1800, right_order=["rid"], salt=3)
     same(list(got_k.toPandas().sort_values("lid").v), list(exp.v))
+
+
+def test_auto_salt_splits_hot_buckets(spark):
+    from voltframe.operators.asof import auto_salt
+    left = spark.createDataFrame([(i, T0 + timedelta(seconds=i % 60)) for i in range(500)],
+                                 "lid long, timestamp timestamp_ntz")
+    assert auto_salt(left, "timestamp", [], 1800 * 1_000_000, target_rows=100) == 5
+    right = spark.createDataFrame([(0, T0, 1.0), (1, T0 + timedelta(minutes=20), 2.0)],
+                                  "rid long, timestamp timestamp_ntz, v double")
+    got = asof_nearest(left, right, on="timestamp", right_cols=["v"], right_order=["rid"], salt=5)
+    assert got.where("v = 1.0").count() == 500

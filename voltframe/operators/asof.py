@@ -13,7 +13,8 @@ right row at or before it and the first right row after it. That is a single
 shuffle with no join fan-out and no row ids. Right rows sharing a timestamp are
 first collapsed to their first and last row by an aggregate (partial, so a hot
 timestamp is reduced map-side). ``salt`` > 1 spreads the left rows of a bucket
-over several partitions, copying the (small) right candidates to each.
+over several partitions, copying the right candidates to each; by default it is
+sized from the busiest left bucket.
 """
 
 from __future__ import annotations
@@ -27,16 +28,35 @@ from voltframe.functions.columns import epoch_micros, floor_div
 from voltframe.operators.sequence import UNB_PREC
 
 
+SALT_TARGET_ROWS = 4_000_000
+
+
+def auto_salt(left: DataFrame, on: str, by: Sequence[str], width_us: int,
+              target_rows: int = SALT_TARGET_ROWS) -> int:
+    """Salt so the busiest (key, bucket) of the left side has ~``target_rows`` per partition.
+
+    One small aggregate (rows per key and bucket; partial aggregation map-side).
+    """
+    per_bucket = left.groupBy(*by, floor_div(epoch_micros(on), width_us).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
+    row = per_bucket.agg(F.max("n")).first()
+    peak = (row[0] or 0) if row else 0
+    return max(1, -(-peak // target_rows))
+
+
 def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequence[str],
                  by: Sequence[str] = (), tolerance_seconds: float = 1800.0,
                  right_order: Sequence[str] | None = None, collapse_duplicates: bool = True,
-                 salt: int = 1) -> DataFrame:
+                 salt: int | str = "auto") -> DataFrame:
+    """``salt="auto"`` probes the busiest left bucket (one small job); an int fixes it."""
     by = list(by)
     right_cols = list(right_cols)
     tol = int(round(tolerance_seconds * 1_000_000))
     if tol <= 0:
         raise ValueError("tolerance must be positive")
     width = tol
+    if salt == "auto":
+        salt = auto_salt(left, on, by, width)
+    salt = int(salt)
 
     rt = epoch_micros(on)
     r = right.where(F.col(on).isNotNull()).select(
