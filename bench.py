@@ -73,7 +73,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [x for x in os.environ.get("BENCH_QUERIES", "").split(",") if x]
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           app="voltframe-bench")
     # stage the cleaned grids and warm up the JVM once (not timed)
     t0 = time.perf_counter()

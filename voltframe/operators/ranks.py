@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.operators.sequence import UNB_PREC, join_keys, key_window
+from voltframe.operators.sequence import UNB_PREC, estimated_bytes, join_keys, key_window
 
 
 def log_bucket(v, per_octave: int = 64):
@@ -89,7 +89,10 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], keys: Seque
     """
     keys = list(keys)
     if method == "auto":
-        small = max_distinct_per_key(df, value, keys) <= in_memory_max_distinct
+        est = estimated_bytes(df)
+        # Fewer bytes than in_memory_max_distinct doubles: the hash map is bounded without a probe.
+        small = (est is not None and est <= 8 * in_memory_max_distinct) or \
+            max_distinct_per_key(df, value, keys) <= in_memory_max_distinct
         method = "in_memory" if small else "exact"
     if method == "approx":
         aggs = [F.percentile_approx(value, float(p), 100_000).cast("double").alias(name)
