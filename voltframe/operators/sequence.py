@@ -52,17 +52,6 @@ def key_window(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the plan (planning-time statistics, no job), if available."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no JVM handle; callers fall back to probing
-        return None
-
-
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
-
-
 def auto_chunk_seconds(df: DataFrame, ts: str, keys: Sequence[str] = (), target_rows: int = 2_000_000,
                        min_seconds: int = 60, max_seconds: int = 7 * 86_400) -> int:
     """Chunk width for order-dependent scans, sized from the peak hourly rate of any key.
@@ -76,9 +65,6 @@ def auto_chunk_seconds(df: DataFrame, ts: str, keys: Sequence[str] = (), target_
     """
     from voltframe.functions.columns import slot_index
     keys = list(keys)
-    est = estimated_bytes(df)
-    if est is not None and est <= SMALL_INPUT_BYTES:
-        return max_seconds  # the whole input is smaller than one target chunk
     per_hour = df.groupBy(*keys, slot_index(ts, 3600).alias("_h")).agg(F.count(F.lit(1)).alias("n"))
     row = per_hour.agg(F.max("n")).first()
     peak = (row[0] or 0) / 3600.0 if row else 0.0
