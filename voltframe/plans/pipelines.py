@@ -58,8 +58,8 @@ def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts:
                  checkpoint: bool = True) -> Cleaned:
     """A1 -> W4 -> P22 -> A4 -> A5 -> P18 -> W5 -> W6 for one series table.
 
-    With ``checkpoint`` the corrected rows are written once (reliable checkpoint in
-    the session's checkpoint folder) before the steps that read them several
+    With ``checkpoint`` the corrected rows are written once (a Parquet table in the
+    session's checkpoint folder, see ``session.cut_lineage``) before the steps that read them several
     times: the outlier bounds and their application, the grid span and the grid
     means. Without it each of those branches would recompute dedupe + imputation.
     ``chunk_seconds=None`` sizes the imputation's time chunks from the data.
