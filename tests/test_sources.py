@@ -81,3 +81,21 @@ def test_streaming_slot_means(spark, tmp_path):
     r0 = rows[datetime(2024, 1, 1, 0, 0)]
     exp = [float(i + f) for f in range(2) for i in range(6) if 5 * i + f < 15]
     assert r0.n == len(exp) and abs(r0.value - sum(exp) / len(exp)) < 1e-12
+
+
+def test_cleaning_run_with_and_without_demand(spark, tmp_path):
+    from tests.conftest import SF001
+    from voltframe.plans.pipelines import run_cleaning, save_cleaning_outputs
+    from voltframe.sources import testdata as td
+    ev = td.load(spark, SF001, "events")
+    only_em = run_cleaning(td.emissions_raw(ev))
+    assert only_em.demand is None
+    assert [r.dataset for r in only_em.report.collect()] == ["emissions"]
+    assert [r.dataset for r in only_em.metrics.collect()] == ["emissions"]
+    w = save_cleaning_outputs(only_em, str(tmp_path / "a"))
+    assert w == {"emissions_clean": True, "demand_clean": False, "data_quality_report": True}
+    both = run_cleaning(td.emissions_raw(ev), td.demand_raw(ev))
+    assert sorted(r.dataset for r in both.report.collect()) == ["demand", "emissions"]
+    w = save_cleaning_outputs(both, str(tmp_path / "b"))
+    assert w["demand_clean"] is True
+    assert spark.read.parquet(str(tmp_path / "b" / "demand_clean")).count() == both.demand.clean.count()

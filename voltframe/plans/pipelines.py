@@ -124,3 +124,40 @@ def event_collection(catalog: DataFrame, emissions: DataFrame, demand: DataFrame
                            series_key="balancing_authority", whole_days=True)
         out = out.unionByName(dm.withColumn("series", F.lit("demand")), allowMissingColumns=True)
     return out
+
+
+@dataclass
+class CleaningRun:
+    emissions: Cleaned
+    demand: Cleaned | None
+    metrics: DataFrame   # one row per cleaned dataset
+    report: DataFrame    # data-quality report, one row per cleaned dataset
+
+
+def run_cleaning(emissions_raw: DataFrame, demand_raw: DataFrame | None = None, **kw) -> CleaningRun:
+    """The cleaning stage end to end; demand is optional (S5): when absent, every
+    demand step and its report row are skipped."""
+    from voltframe.operators.report import quality_report
+    em = emissions_pipeline(emissions_raw, **kw)
+    dm = demand_pipeline(demand_raw, **kw) if demand_raw is not None else None
+    metrics = em.metrics("emissions")
+    if dm is not None:
+        metrics = metrics.unionByName(dm.metrics("demand"))
+    report = quality_report({"emissions": (em.clean, "timestamp", "value"),
+                             "demand": (dm.clean, "timestamp", "demand_MW") if dm is not None else (None, "", "")})
+    return CleaningRun(em, dm, metrics, report)
+
+
+def save_cleaning_outputs(run: CleaningRun, base: str, fmt: str = "parquet") -> dict[str, bool]:
+    """Overwrite the cleaned tables (demand only when present and non-empty)
+    and write the quality report as JSON."""
+    from voltframe.operators.report import write_report_json
+    from voltframe.sources.files import write_if_not_empty, write_table
+    base = base.rstrip("/")
+    written = {"emissions_clean": True}
+    write_table(run.emissions.clean, f"{base}/emissions_clean", fmt=fmt)
+    written["demand_clean"] = (run.demand is not None
+                               and write_if_not_empty(run.demand.clean, f"{base}/demand_clean", fmt=fmt))
+    write_report_json(run.report, f"{base}/data_quality_report")
+    written["data_quality_report"] = True
+    return written
