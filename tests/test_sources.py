@@ -99,3 +99,18 @@ def test_cleaning_run_with_and_without_demand(spark, tmp_path):
     w = save_cleaning_outputs(both, str(tmp_path / "b"))
     assert w["demand_clean"] is True
     assert spark.read.parquet(str(tmp_path / "b" / "demand_clean")).count() == both.demand.clean.count()
+
+
+def test_chart_datasets_all_run(spark):
+    from tests.conftest import SF001
+    from voltframe.plans import analysis as an
+    from voltframe.plans.pipelines import analysis_base, run_cleaning
+    from voltframe.session import cut_lineage
+    from voltframe.sources import testdata as td
+    ev = td.load(spark, SF001, "events")
+    run = run_cleaning(td.emissions_raw(ev), td.demand_raw(ev))
+    e, d = cut_lineage(run.emissions.clean), cut_lineage(run.demand.clean)
+    charts = an.chart_datasets(e, d, td.EVENT_START, td.EVENT_END, td.EVENT_DAYS, merged=cut_lineage(analysis_base(e, d)))
+    assert len(charts) == 22
+    for name, df in charts.items():
+        df.write.format("noop").mode("overwrite").save()

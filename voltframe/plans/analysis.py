@@ -129,3 +129,41 @@ def pair_kde(merged: DataFrame, start: str, end: str) -> DataFrame:
 
 def pair_histograms(merged: DataFrame, start: str, end: str, bins: int = 20) -> DataFrame:
     return pair_bins(pair_data(merged, start, end), PAIR_COLUMNS, "period", bins=bins)
+
+
+def chart_datasets(e: DataFrame, d: DataFrame, start: str, end: str,
+                   event_days: tuple[str, str], merged: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every chart's data as lazy DataFrames (nothing runs until a sink or action).
+
+    ``merged`` defaults to ``pipelines.analysis_base(e, d)``; pass a written copy
+    to avoid recomputing it for each of the three datasets that use it.
+    """
+    from voltframe.operators.stats import distribution_summary, histogram
+    from voltframe.plans.pipelines import analysis_base
+    if merged is None:
+        merged = analysis_base(e, d)
+    d_hourly = d.where(F.col("demand_MW").isNotNull()).select("timestamp", "demand_MW")
+    return {
+        "01_emissions": e.select("timestamp", "value"),
+        "01_demand": d_hourly,
+        "01_event_slice": event_slice(e, start, end).select("timestamp", "value"),
+        "02_histogram": histogram(e, "value", bins=40),
+        "02_summary": distribution_summary(e, "value"),
+        "02_box": box_by_period(e, start, end),
+        "02_box_fliers": box_fliers_by_period(e, start, end),
+        "03_correlation": correlation(merged),
+        "04_decomposition": demand_decomposition(d),
+        "05_peaks": peak_days(e, d, event_days),
+        "05_fit": peak_fit(e, d, event_days),
+        "05_trend_line": peak_trend_line(e, d, event_days),
+        "06_phase_histograms": histogram_by_phase(e, start, end),
+        "06_daily_range": daily_volatility(e, event_days),
+        "07_qq_points": qq_dataset(e, start, end),
+        "07_qq_fit": qq_fits(e, start, end),
+        "08_dow_hour": dow_hour_matrix(e),
+        "09_cumulative": cumulative_emissions(e),
+        "09_daily_total": daily_totals(e, event_days),
+        "10_pair_data": pair_data(merged, start, end),
+        "10_pair_bins": pair_histograms(merged, start, end),
+        "10_kde": pair_kde(merged, start, end),
+    }
