@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -21,6 +22,14 @@ def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) ->
     subset = list(subset)
     order = list(order)
     rest = [c for c in df.columns if c not in subset]
+    if len(order) == 1 and order[0] in rest and isinstance(df.schema[order[0]].dataType, T.IntegralType):
+        # One total integral order column: a min_by per column keeps primitive
+        # aggregation buffers, so Spark can use a hash aggregate (no map-side sort)
+        # when the column types allow. Every column comes from the same (first) row;
+        # a NULL order value sorts last.
+        o = F.coalesce(F.col(order[0]).cast("long"), F.lit(2 ** 63 - 1))
+        aggs = [F.min_by(F.col(c), o).alias(c) for c in rest]
+        return df.groupBy(*subset).agg(*aggs).select(*df.columns)
     # min_by skips rows whose ordering is NULL; the order struct itself is never NULL.
     best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
     out = df.groupBy(*subset).agg(best.alias("_first"))
