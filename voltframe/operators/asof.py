@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, floor_div
 from voltframe.operators.sequence import UNB_PREC
@@ -59,17 +60,34 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequ
     salt = int(salt)
 
     rt = epoch_micros(on)
-    r = right.where(F.col(on).isNotNull()).select(
-        *by, rt.alias("_t"), F.struct(*[F.col(c) for c in right_cols]).alias("_r"),
-        F.struct(*[F.col(c) for c in (right_order or [])]).alias("_o") if right_order
-        else F.lit(0).alias("_o"))
-    if collapse_duplicates:
-        g = r.groupBy(*by, "_t").agg(F.min_by("_r", "_o").alias("_first"),
-                                     F.max_by("_r", "_o").alias("_last"))
+    r0 = right.where(F.col(on).isNotNull())
+    single = (right_order is not None and len(right_order) == 1
+              and isinstance(right.schema[right_order[0]].dataType, T.IntegralType))
+    if collapse_duplicates and single:
+        # Per-column first/last by one integral order column: primitive buffers, so
+        # a hash aggregate (no sort); every column comes from the same row.
+        o = F.coalesce(F.col(right_order[0]).cast("long"), F.lit(2 ** 63 - 1))
+        g = r0.groupBy(*by, rt.alias("_t")).agg(
+            *[F.min_by(F.col(c), o).alias(f"_f_{i}") for i, c in enumerate(right_cols)],
+            *[F.max_by(F.col(c), o).alias(f"_l_{i}") for i, c in enumerate(right_cols)])
+        first = F.struct(*[F.col(f"_f_{i}").alias(c) for i, c in enumerate(right_cols)])
+        last = F.struct(*[F.col(f"_l_{i}").alias(c) for i, c in enumerate(right_cols)])
         r = g.select(*by, "_t", F.explode(F.array(
-            F.struct(F.lit(0).alias("ro"), F.col("_first").alias("r")),
-            F.struct(F.lit(1).alias("ro"), F.col("_last").alias("r")))).alias("_x")) \
+            F.struct(F.lit(0).alias("ro"), first.alias("r")),
+            F.struct(F.lit(1).alias("ro"), last.alias("r")))).alias("_x")) \
              .select(*by, "_t", F.col("_x.r").alias("_r"), F.col("_x.ro").alias("_o"))
+    else:
+        r = r0.select(
+            *by, rt.alias("_t"), F.struct(*[F.col(c) for c in right_cols]).alias("_r"),
+            F.struct(*[F.col(c) for c in (right_order or [])]).alias("_o") if right_order
+            else F.lit(0).alias("_o"))
+        if collapse_duplicates:
+            g = r.groupBy(*by, "_t").agg(F.min_by("_r", "_o").alias("_first"),
+                                         F.max_by("_r", "_o").alias("_last"))
+            r = g.select(*by, "_t", F.explode(F.array(
+                F.struct(F.lit(0).alias("ro"), F.col("_first").alias("r")),
+                F.struct(F.lit(1).alias("ro"), F.col("_last").alias("r")))).alias("_x")) \
+                 .select(*by, "_t", F.col("_x.r").alias("_r"), F.col("_x.ro").alias("_o"))
     r = r.withColumn("_b", F.explode(F.sequence(floor_div("_t", width) - 1, floor_div("_t", width) + 1)))
     if salt > 1:
         r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
