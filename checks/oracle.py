@@ -362,7 +362,8 @@ def dow_hour_sql(src, v):
 
 def daily_sql(src, v, how, out):
     agg = {"max": f"max({v})", "sum": f"coalesce(sum({v}), 0.0)", "range": f"max({v}) - min({v})"}[how]
-    return f"SELECT CAST(\"timestamp\" AS DATE) AS date, CAST({agg} AS DOUBLE) AS {out} FROM {src} GROUP BY 1"
+    return (f"SELECT CAST(CAST(\"timestamp\" AS DATE) AS TIMESTAMP) AS date, CAST({agg} AS DOUBLE) AS {out} "
+            f"FROM {src} GROUP BY 1")
 
 
 # ------------------------------------------------------------------ the registry
@@ -429,13 +430,13 @@ def _q():
         "SELECT 'user_id', 'mean', avg(user_id) FROM events UNION ALL "
         "SELECT 'user_id', 'std', stddev_samp(user_id) FROM events"))
     q["asof_nearest"] = rnd(["value", "demand_MW"], with_(EM_RAW, DM_RAW,
-        """c AS (SELECT l.row_id, r.demand_MW, r.row_id AS d_row_id,
+        """c AS (SELECT l.row_id, r.demand_MW, r.row_id AS d_row_id, r."timestamp" AS d_timestamp,
              abs(epoch_us(l."timestamp") - epoch_us(r."timestamp")) AS dist,
              CASE WHEN r."timestamp" <= l."timestamp" THEN 0 ELSE 1 END AS side
            FROM em_raw l JOIN dm_raw r ON r."timestamp" BETWEEN l."timestamp" - INTERVAL 30 MINUTE AND l."timestamp" + INTERVAL 30 MINUTE)""",
-        """b AS (SELECT row_id, demand_MW, d_row_id FROM (SELECT *, row_number() OVER (PARTITION BY row_id
+        """b AS (SELECT row_id, demand_MW, d_timestamp FROM (SELECT *, row_number() OVER (PARTITION BY row_id
              ORDER BY dist, side, CASE WHEN side = 0 THEN -d_row_id ELSE d_row_id END) AS rk FROM c) WHERE rk = 1)""")
-        + "SELECT l.*, b.demand_MW, b.d_row_id FROM em_raw l LEFT JOIN b USING (row_id)")
+        + "SELECT l.*, b.demand_MW, b.d_timestamp FROM em_raw l LEFT JOIN b USING (row_id)")
 
     q["emissions_pipeline"] = rnd(CLEAN_E_DOUBLES, with_(*EC) + "SELECT * FROM e")
     q["emissions_pipeline_by_region"] = rnd(CLEAN_E_DOUBLES, with_(*E_CHAIN(["region"])) + "SELECT * FROM e")

@@ -2,7 +2,9 @@
 
 Every double column of a result is snapped to a multiple of 2**-20 (KDE
 densities 2**-40), so results hash the same as the DuckDB oracle despite a
-different summation order. The library operators themselves never round.
+different summation order, and DATE columns are returned as midnight
+TIMESTAMPs (client libraries map DATE to different Python types, TIMESTAMP to
+the same one). The library operators themselves never round or retype.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ def finish(df: DataFrame, bits: int = 20, fine: dict[str, int] | None = None) ->
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(quantize(F.col(f.name).cast("double"), fine.get(f.name, bits)).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -191,8 +195,9 @@ def q_scaling_params(spark, sf):
 
 def q_asof_nearest(spark, sf):
     left = _em_raw(spark, sf)
-    right = _dm_raw(spark, sf).select("timestamp", "demand_MW", F.col("row_id").alias("d_row_id"))
-    return asof_nearest(left, right, on="timestamp", right_cols=["demand_MW", "d_row_id"],
+    right = _dm_raw(spark, sf).select("timestamp", "demand_MW", F.col("timestamp").alias("d_timestamp"),
+                                      F.col("row_id").alias("d_row_id"))
+    return asof_nearest(left, right, on="timestamp", right_cols=["demand_MW", "d_timestamp"],
                         tolerance_seconds=1800, right_order=["d_row_id"])
 
 
