@@ -7,7 +7,6 @@ from statistics import NormalDist
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tests.helpers import T0, same
 from voltframe.functions import inv_norm_cdf

@@ -3,8 +3,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tests.helpers import col_list, same, series_df, ts
 from voltframe.functions import calendar_columns, lenient_double, parse_utc

@@ -3,7 +3,6 @@
 import json
 from datetime import datetime
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.operators.report import quality_row, write_report_json

@@ -10,19 +10,17 @@ the same one). The library operators themselves never round or retype.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.functions.columns import quantize
+from voltframe.functions.columns import parse_utc, quantize, safe_corr
 from voltframe.operators import (asof_nearest, attach_events, box_stats, cap_outliers, dedupe_first,
                                  event_windows, handle_missing, histogram, impossible_to_null, quantiles,
                                  resample_mean, series_features, time_gaps, with_default_ids)
 from voltframe.operators.features import temporal_features
 from voltframe.operators.scaling import normalize_features, scaling_params
-from voltframe.functions.columns import parse_utc, safe_corr
 from voltframe.plans import analysis as an
 from voltframe.plans import pipelines as pl
 from voltframe.plans.stage import stage_key, staged
@@ -428,4 +426,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: wrap(name, fn) for name, fn in RAW.items()}
 
 
-__all__ = ["registry", "finish", "RAW", "partial"]
+__all__ = ["registry", "finish", "RAW"]

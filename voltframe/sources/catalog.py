@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -37,4 +36,4 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return r.schema(CATALOG_SCHEMA).load(path)
 
 
-__all__ = ["CATALOG_SCHEMA", "event_catalog", "read_catalog", "datetime"]
+__all__ = ["CATALOG_SCHEMA", "event_catalog", "read_catalog"]
