@@ -11,6 +11,7 @@ instead of recomputing the whole cleaning chain.
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from voltframe.session import ensure_checkpoint_dir
 
 _RUN = uuid.uuid4().hex[:12]
 _WRITTEN: dict[str, str] = {}
+_LOCK = threading.Lock()
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -28,12 +30,19 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read the stage ``name``, writing it from ``build()`` on first use in this process."""
+    """Read the stage ``name``, writing it from ``build()`` on first use in this process
+    (again if the written table has since disappeared). Concurrent callers wait for
+    one writer."""
     path = stage_path(spark, name)
-    if _WRITTEN.get(name) != path:
+    with _LOCK:
+        if _WRITTEN.get(name) == path:
+            try:
+                return spark.read.parquet(path)
+            except Exception:  # noqa: BLE001 - table removed from the folder: rebuild it
+                _WRITTEN.pop(name, None)
         build().write.mode("overwrite").parquet(path)
         _WRITTEN[name] = path
-    return spark.read.parquet(path)
+        return spark.read.parquet(path)
 
 
 def stage_key(*parts: str) -> str:
