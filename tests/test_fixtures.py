@@ -30,6 +30,15 @@ def test_linear_fill_across_many_chunks(spark):
     same(col_list(out, "value"), exp)
 
 
+def test_linear_fill_with_hot_chunks_split(spark):
+    vals = [_, _, 1, _, _, 4] + [_] * 12 + [17] + [_] * 10
+    out = handle_missing(series_df(spark, vals), ts="timestamp", value="value", order=["timestamp", "row_id"],
+                         chunk_seconds=86_400, hot_rows=3)  # one day chunk, split into ~3-row parts
+    exp = [_, _, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, _, _, _, _, 17] + [17] * 8 + [_, _]
+    same(col_list(out, "value"), exp)
+    same(col_list(out, "time_diff"), [_] + [900.0] * (len(vals) - 1))
+
+
 def test_ffill_limit_2(spark):
     out = handle_missing(series_df(spark, [_, 1, _, _, _, _, 5, _]), ts="timestamp", value="value",
                          chunk_seconds=900)

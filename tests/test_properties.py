@@ -16,8 +16,9 @@ SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[Healt
 
 @SETTINGS
 @given(vals=values, gaps=st.lists(st.integers(1, 3), min_size=60, max_size=60),
-       chunk=st.sampled_from([900, 1800, 3600, 86_400]), ffill=st.integers(1, 3), limit=st.integers(1, 9))
-def test_impute_equals_pandas(spark, vals, gaps, chunk, ffill, limit):
+       chunk=st.sampled_from([900, 1800, 3600, 86_400]), ffill=st.integers(1, 3), limit=st.integers(1, 9),
+       hot=st.sampled_from([None, 1, 2, 5]))
+def test_impute_equals_pandas(spark, vals, gaps, chunk, ffill, limit, hot):
     minutes, t = [], 0
     for g in gaps[:len(vals)]:
         t += 15 * g
@@ -25,7 +26,7 @@ def test_impute_equals_pandas(spark, vals, gaps, chunk, ffill, limit):
     rows = [(i, T0 + timedelta(minutes=m), v) for i, (m, v) in enumerate(zip(minutes, vals))]
     df = spark.createDataFrame(rows, "row_id long, timestamp timestamp_ntz, value double")
     out = handle_missing(df, ts="timestamp", value="value", order=["timestamp", "row_id"], ffill_limit=ffill,
-                         interp_limit=limit, chunk_seconds=chunk).toPandas().sort_values("row_id")
+                         interp_limit=limit, chunk_seconds=chunk, hot_rows=hot).toPandas().sort_values("row_id")
     s = pd.Series([float("nan") if v is None else v for v in vals], dtype="float64")
     same(list(out.value), list(s.interpolate(method="linear", limit=limit)), tol=1e-9)
     same(list(out.value_ffill), list(s.ffill(limit=ffill)), tol=1e-12)

@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, slot_index
-from voltframe.operators.sequence import UNB_PREC, join_keys, key_window, last_row
+from voltframe.operators.sequence import UNB_PREC, join_keys, key_window, last_row, split_hot_chunks
 
 
 def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (),
                    order: Sequence[str] | None = None, ffill_limit: int = 2,
-                   interp_limit: int = 8, chunk_seconds: int = 86_400) -> DataFrame:
+                   interp_limit: int = 8, chunk_seconds: int = 86_400,
+                   hot_rows: int | None = 4_000_000) -> DataFrame:
+    """``hot_rows``: a (key, chunk) with more rows is split into finer time parts
+    (``sequence.split_hot_chunks``); ``None`` keeps plain time chunks."""
     keys = list(keys)
     order = list(order) if order else [ts]
     if order[0] != ts:
@@ -38,7 +41,11 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     # NaN is missing (as in pandas); NULL times sort last (pandas puts NaT last).
     d = df.withColumn(value, F.when(~F.isnan(v), v)) if isinstance(df.schema[value].dataType, T.DoubleType) else df
     d = d.withColumn("_ch", slot_index(ts, chunk_seconds))
-    part = keys + ["_ch"]
+    if hot_rows:
+        d = split_hot_chunks(d, keys=keys, ts=ts, chunk="_ch", hot_rows=hot_rows)
+    else:
+        d = d.withColumn("_sub", F.lit(0).cast("long"))
+    part = keys + ["_ch", "_sub"]
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     # "Next valid" is the last valid value in descending order: a running frame,
     # evaluated incrementally (a frame to UNBOUNDED FOLLOWING is quadratic in Spark).
@@ -60,7 +67,7 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
         F.max(vrn).alias("_lv_rn"), F.max_by(v, vrn).alias("_lv_v"),
         F.min(vrn).alias("_fv_rn"), F.min_by(v, vrn).alias("_fv_v"),
     ).withColumns({"_n": F.col("_last._rn"), "_last_ts": F.col(f"_last.{ts}")}).drop("_last")
-    kw = key_window(keys).orderBy(F.col("_ch").asc_nulls_last())
+    kw = key_window(keys).orderBy(F.col("_ch").asc_nulls_last(), F.col("_sub").asc_nulls_last())
     summ = summ.withColumn("_off", F.coalesce(F.sum("_n").over(kw.rowsBetween(UNB_PREC, -1)),
                                               F.lit(0)).cast("long"))
     last_abs = F.when(F.col("_lv_rn").isNotNull(), F.struct(
@@ -70,7 +77,8 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     summ = summ.withColumns({
         "_cin": F.last(last_abs, ignorenulls=True).over(kw.rowsBetween(UNB_PREC, -1)),
         "_cout": F.last(first_abs, ignorenulls=True).over(
-            key_window(keys).orderBy(F.col("_ch").desc_nulls_first()).rowsBetween(UNB_PREC, -1)),
+            key_window(keys).orderBy(F.col("_ch").desc_nulls_first(), F.col("_sub").desc_nulls_first())
+            .rowsBetween(UNB_PREC, -1)),
         "_cts": F.lag("_last_ts").over(kw),
     }).select(*part, "_off", "_cin", "_cout", "_cts")
 

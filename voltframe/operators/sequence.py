@@ -92,6 +92,34 @@ def join_keys(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str =
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
 
 
+def split_hot_chunks(df: DataFrame, *, keys: Sequence[str], ts: str, chunk: str, hot_rows: int) -> DataFrame:
+    """Add ``_sub``: 0 for ordinary chunks; for a chunk holding more than ``hot_rows``
+    rows, a finer time bucket sized so each part holds about ``hot_rows`` rows.
+
+    One aggregate (rows per key and chunk, partial map-side) finds the hot chunks.
+    There are at most rows / ``hot_rows`` of them, and the list is broadcast only
+    behind a row-count check, so the rows themselves are not shuffled for this.
+    ``(chunk, _sub)`` stays monotone in time (division by a positive width is
+    monotone), so it can replace ``chunk`` as the scan unit. The part width is the
+    chunk's occupied time span x ``hot_rows`` / rows, so a burst filling one minute
+    of a long chunk is still cut into ~``hot_rows`` parts.
+    """
+    from voltframe.functions.columns import epoch_micros
+    from voltframe.operators.event_windows import broadcast_if_small
+    keys = list(keys)
+    t = epoch_micros(ts)
+    counts = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_cn"), F.min(t).alias("_t0"),
+                                          F.max(t).alias("_t1")).where(F.col("_cn") > F.lit(hot_rows))
+    # Width from the rows' own time span in the chunk (a burst may fill only part of it).
+    span = (F.col("_t1") - F.col("_t0") + 1).cast("double")
+    hot = counts.select(*keys, chunk, F.greatest(F.lit(1.0), F.floor(
+        span * F.lit(float(hot_rows)) / F.col("_cn")).cast("double")).alias("_fw"))
+    hot = broadcast_if_small(hot, max_rows=1_000_000)
+    d = join_keys(df, hot, [*keys, chunk], "left")
+    sub = F.floor(epoch_micros(ts).cast("double") / F.col("_fw"))
+    return d.withColumn("_sub", F.when(F.col("_fw").isNull(), F.lit(0)).otherwise(sub).cast("long")).drop("_fw")
+
+
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Attach per-key statistics.
 
