@@ -190,9 +190,9 @@ PERIOD = f"""CASE WHEN "timestamp" >= {S} AND "timestamp" < {E} THEN 'Heat Wave'
 PHASE = f"""CASE WHEN "timestamp" < {S} THEN 'before' WHEN "timestamp" < {E} THEN 'during' WHEN "timestamp" IS NOT NULL THEN 'after' END"""
 
 CATALOG = """cat AS (SELECT * FROM (VALUES
-   (0, 'cold_snap_2024_01', 'extreme_weather', TIMESTAMP '2024-01-08 06:00:00', TIMESTAMP '2024-01-10 18:00:00', 'click', 'high', 125000, 'Cold snap with rolling outages'),
-   (1, 'psps_2024_01', 'PSPS', TIMESTAMP '2024-01-14 19:00:00', TIMESTAMP '2024-01-15 06:00:00', 'click', 'moderate', 8500, 'Wind-driven public safety power shutoff'),
-   (2, NULL, 'extreme_weather', TIMESTAMP '2024-01-24 00:00:00', TIMESTAMP '2024-01-26 23:59:00', 'view', 'high', 40000, 'Heat event without a catalog id'))
+   (0, 'ice_line_icing', 'icing', TIMESTAMP '2024-01-06 03:00:00', TIMESTAMP '2024-01-09 15:00:00', 'click', 'severe', 31200, 'Line icing on the northern corridor'),
+   (1, 'substation_fire', 'equipment', TIMESTAMP '2024-01-13 11:30:00', TIMESTAMP '2024-01-14 02:15:00', 'click', 'minor', 970, 'Transformer fire at one substation'),
+   (2, NULL, 'flood', TIMESTAMP '2024-01-23 04:00:00', TIMESTAMP '2024-01-25 20:45:00', 'view', 'severe', 17450, 'River flood, entered without a catalog id'))
    AS t(catalog_pos, event_id, event_type, "start", "end", region, severity, affected_customers, description))"""
 
 WIN = """win AS (SELECT catalog_pos, coalesce(event_id, 'event_' || CAST(catalog_pos AS VARCHAR)) AS event_id, region,

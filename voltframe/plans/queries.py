@@ -23,7 +23,7 @@ from voltframe.operators.features import temporal_features
 from voltframe.operators.scaling import normalize_features, scaling_params
 from voltframe.plans import analysis as an
 from voltframe.plans import pipelines as pl
-from voltframe.plans.stage import stage_key, staged
+from voltframe.plans.stage import input_version, stage_key, staged
 from voltframe.session import cut_lineage
 from voltframe.sources import testdata as td
 from voltframe.sources.landing import parse_demand_pages, parse_emissions_responses
@@ -75,19 +75,23 @@ def _em_grid_by_region(spark, sf):
     return resample_mean(_em_raw(spark, sf), ts="timestamp", value_cols=["value"], keys=["region"])
 
 
+def _key(spark, sf, name):
+    return stage_key(name, sf, input_version(spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")))
+
+
 def _e(spark, sf):
-    return staged(spark, stage_key("emissions_clean", sf),
+    return staged(spark, _key(spark, sf, "emissions_clean"),
                   lambda: pl.emissions_pipeline(_em_raw(spark, sf)).clean)
 
 
 def _d(spark, sf):
-    return staged(spark, stage_key("demand_clean", sf),
+    return staged(spark, _key(spark, sf, "demand_clean"),
                   lambda: pl.demand_pipeline(_dm_raw(spark, sf)).clean)
 
 
 def _merged(spark, sf):
-    return staged(spark, stage_key("analysis_base", sf),
-                  lambda: pl.analysis_base(_e(spark, sf), _d(spark, sf)))
+    em, dm = _e(spark, sf), _d(spark, sf)
+    return staged(spark, _key(spark, sf, "analysis_base"), lambda: pl.analysis_base(em, dm))
 
 
 # ---------------------------------------------------------------- sources / projections

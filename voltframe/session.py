@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,10 @@ RECOMMENDED_CONF = {
 }
 
 
+# Tables written by cut_lineage in this process, for release_tables.
+_TABLES: list[str] = []
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the required settings to an existing session."""
     for k, v in REQUIRED_CONF.items():
@@ -47,6 +53,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     if _context(spark) is not None:
         spark.sparkContext.setLogLevel("ERROR")
+    if checkpoint_dir(spark) is None:
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="voltframe-ckpt-"))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -69,28 +77,56 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; set a scratch one only when unset (tests)."""
+    """The shared folder named in ``spark.checkpoint.dir``; an error where none is named.
+
+    Library code never falls back to a machine-local folder: on a cluster the executors
+    could not share it. ``local_session`` and ``name_local_checkpoint_dir`` name one for
+    single-machine sessions.
+    """
     d = checkpoint_dir(spark)
     if d is None:
-        d = tempfile.mkdtemp(prefix="voltframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc = _context(spark)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+def name_local_checkpoint_dir(spark: SparkSession, folder: str) -> None:
+    """Name ``folder`` for a ``local[...]`` session that has none (driver and tasks share the machine)."""
+    sc = _context(spark)
+    if checkpoint_dir(spark) is None and sc is not None and re.match(r"local(\[|$)", sc.master):
+        os.makedirs(folder, exist_ok=True)
+        spark.conf.set("spark.checkpoint.dir", folder)
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path for a written table in the shared folder, remembered for ``release_tables``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/voltframe-tables/{name}-{uuid.uuid4().hex}"
+    _TABLES.append(path)
+    return path
+
+
 def cut_lineage(df, name: str = "table"):
     """Write ``df`` once as Parquet under the session's checkpoint folder and read it back.
 
     This is the "written table" form of a reliable checkpoint: one pass over the
     plan (``Dataset.checkpoint`` evaluates an unpersisted plan twice), columnar
     storage with filter push-down on the way back, and a lost executor re-reads
-    the table instead of recomputing the lineage. Never a machine-local folder on
-    a cluster: the folder is ``spark.checkpoint.dir`` from the session.
+    the table instead of recomputing the lineage. The table stays until
+    ``release_tables``.
     """
-    import uuid
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/voltframe-tables/{name}-{uuid.uuid4().hex}"
+    path = table_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the tables this process wrote with ``cut_lineage``; call it once their readers are done."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(_TABLES.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

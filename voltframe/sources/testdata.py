@@ -29,14 +29,14 @@ EVENT_START = "2024-01-15 00:00:00"
 EVENT_END = "2024-01-19 00:00:00"
 EVENT_DAYS = ("2024-01-15", "2024-01-18")
 
-# The hazard-event catalog fixture.
+# Own test catalog: three overlapping windows inside the events table's month, one without an id.
 HAZARD_EVENTS = [
-    ("cold_snap_2024_01", "extreme_weather", datetime(2024, 1, 8, 6, 0), datetime(2024, 1, 10, 18, 0),
-     "click", "high", 125000, "Cold snap with rolling outages"),
-    ("psps_2024_01", "PSPS", datetime(2024, 1, 14, 19, 0), datetime(2024, 1, 15, 6, 0),
-     "click", "moderate", 8500, "Wind-driven public safety power shutoff"),
-    (None, "extreme_weather", datetime(2024, 1, 24, 0, 0), datetime(2024, 1, 26, 23, 59),
-     "view", "high", 40000, "Heat event without a catalog id"),
+    ("ice_line_icing", "icing", datetime(2024, 1, 6, 3, 0), datetime(2024, 1, 9, 15, 0),
+     "click", "severe", 31200, "Line icing on the northern corridor"),
+    ("substation_fire", "equipment", datetime(2024, 1, 13, 11, 30), datetime(2024, 1, 14, 2, 15),
+     "click", "minor", 970, "Transformer fire at one substation"),
+    (None, "flood", datetime(2024, 1, 23, 4, 0), datetime(2024, 1, 25, 20, 45),
+     "view", "severe", 17450, "River flood, entered without a catalog id"),
 ]
 # Catalog region -> balancing authority of the demand series.
 REGION_TO_BA = {"click": "BA0", "view": "BA1"}
