@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from voltframe.llm import language, quality
+from voltframe.llm import decontaminate, language, quality
 
 QUERIES = {
     "op1_quality": quality.query,
+    "op2_decontaminate": decontaminate.query,
     "op5_language": language.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE_SQL,
+}
