@@ -62,6 +62,38 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema=want)
 
 
+def map_sorted_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], dict | None], schema: str) -> DataFrame:
+    """``fn`` gets all rows of one key at a time, as an Arrow table. Rows are dealt by ``keys``
+    and sorted, so a task streams through many small groups and holds one of them."""
+    want = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(want)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            out = fn(pa.Table.from_batches(held))
+            if out is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+
+        for b in batches:
+            rows = list(zip(*[b.column(k).to_pylist() for k in keys]))
+            start = 0
+            for i in range(len(rows) + 1):
+                if i == len(rows) or rows[i] != last:
+                    if i > start:
+                        held.append(b.slice(start, i - start))
+                    if i < len(rows):
+                        if held:
+                            yield from close()
+                        held, last, start = [], rows[i], i
+        if held:
+            yield from close()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema=want)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a written table of narrow rows), hinted for broadcast only if it was counted to
     hold at most ``rows`` rows; else as it is, for a shuffle join that AQE may split."""

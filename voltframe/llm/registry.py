@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from voltframe.llm import decontaminate, language, quality
+from voltframe.llm import decontaminate, jaccard, language, quality
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_decontaminate": decontaminate.query,
     "op5_language": language.query,
+    "op8_jaccard": jaccard.query,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
+    "op8_jaccard": jaccard.ORACLE_SQL,
 }
