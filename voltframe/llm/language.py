@@ -122,16 +122,23 @@ def predict(texts: list[str | None], model: dict) -> tuple[list[str], np.ndarray
     return lang, score, unsure
 
 
-def identify(docs: DataFrame, model: dict, keep: dict[str, str]) -> DataFrame:
-    """``keep`` columns of every row plus ``lang_pred``, ``score``, ``ambiguous``."""
+def identify(docs: DataFrame, model: dict, keep: dict[str, str], prefix: str = "") -> DataFrame:
+    """``keep`` columns of every row plus ``lang_pred``, ``score``, ``ambiguous`` (with ``prefix``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(b: pa.RecordBatch) -> dict:
         lang, score, unsure = predict(b.column("text").to_pylist(), shared.value)
-        return {c: b.column(c) for c in keep} | {"lang_pred": lang, "score": score, "ambiguous": unsure}
+        return {c: b.column(c) for c in keep} | {f"{prefix}lang_pred": lang, f"{prefix}score": score, f"{prefix}ambiguous": unsure}
 
     cols = list(dict.fromkeys([*keep, "text"]))
-    return map_batches(docs.select(*cols), run, ", ".join(f"`{c}` {t}" for c, t in keep.items()) + ", lang_pred string, score double, ambiguous boolean")
+    added = f", `{prefix}lang_pred` string, `{prefix}score` double, `{prefix}ambiguous` boolean"
+    return map_batches(docs.select(*[f"`{c}`" for c in cols]), run, ", ".join(f"`{c}` {t}" for c, t in keep.items()) + added)
+
+
+def keep_identified(docs: DataFrame, model: dict) -> DataFrame:
+    """``docs``, all columns, without the rows that are ``und`` or ambiguous."""
+    found = identify(docs, model, {f.name: f.dataType.simpleString() for f in docs.schema}, prefix="_voltframe_")
+    return found.where((F.col("_voltframe_lang_pred") != UNDEFINED) & ~F.col("_voltframe_ambiguous")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from voltframe.llm import decontaminate, jaccard, language, quality
+import corpus_pipeline
+from voltframe.llm import decontaminate, jaccard, language, mixing, pii, quality
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_decontaminate": decontaminate.query,
+    "op3_pii": pii.query,
+    "op4_mixing": mixing.query,
     "op5_language": language.query,
     "op8_jaccard": jaccard.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op8_jaccard": jaccard.ORACLE_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
