@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from voltframe.llm import decontaminate, jaccard, language, mixing, pii, quality
+from voltframe.llm import ann, decontaminate, jaccard, language, mixing, pii, quality, urlfilter
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -11,12 +11,15 @@ QUERIES = {
     "op3_pii": pii.query,
     "op4_mixing": mixing.query,
     "op5_language": language.query,
+    "op7_ann": ann.query,
     "op8_jaccard": jaccard.query,
+    "op9_urls": urlfilter.query,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
+    "op7_ann": ann.query,
     "op8_jaccard": jaccard.ORACLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
