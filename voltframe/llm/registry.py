@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from voltframe.llm import ann, decontaminate, jaccard, language, mixing, pii, quality, urlfilter
+from voltframe.llm import ann, decontaminate, jaccard, language, mixing, pii, quality, urlfilter, warc
 
 QUERIES = {
     "op1_quality": quality.query,
+    "op10_warc": warc.query,
     "op2_decontaminate": decontaminate.query,
     "op3_pii": pii.query,
     "op4_mixing": mixing.query,
@@ -21,6 +22,7 @@ ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op7_ann": ann.query,
     "op8_jaccard": jaccard.ORACLE_SQL,
+    "op10_warc": warc.ORACLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
