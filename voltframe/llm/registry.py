@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from voltframe.llm import ann, decontaminate, jaccard, language, mixing, pii, quality, urlfilter, warc
+from voltframe.llm import ann, decontaminate, htmltext, jaccard, language, mixing, pii, quality, urlfilter, warc
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op3_pii": pii.query,
     "op4_mixing": mixing.query,
     "op5_language": language.query,
+    "op6_html": htmltext.query,
     "op7_ann": ann.query,
     "op8_jaccard": jaccard.query,
     "op9_urls": urlfilter.query,
@@ -20,6 +21,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
+    "op6_html": htmltext.query,
     "op7_ann": ann.query,
     "op8_jaccard": jaccard.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
