@@ -7,9 +7,10 @@ of their bounding boxes' upper corners. A self-join descends the tree, drops wha
 the wanted overlap, and compares the surviving sets exactly.
 
 One tree over all documents would not scale, as points of unrelated long texts lie close in few
-dimensions. So trees are built per block: two sets with Jaccard >= t share a shingle among the
-first |A| - ceil(t |A|) + 1 of each (in any common order), and a block holds the sets that share
-one, merged under the least set of that shingle. The order is by how often a shingle's hash
+dimensions. So trees are built per block: of two sets with Jaccard >= t the first l common shingles
+(in any common order) are among the first |A| - ceil(t |A|) + l of each, for l = |A| // ``SHARED`` of
+the smaller (1 at least). A block holds the sets that share one of these, merged under the least
+set of that shingle; a set that does not share l of them with any others has no links. The order is by how often a shingle's hash
 bucket occurs in the whole corpus (``SKETCH`` counters, an exact count per bucket), rarest
 first, so common lines and passages do not make blocks. The order affects the cost only; no
 link is lost.
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from voltframe.llm.common import broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
 from voltframe.llm.components import components
 
-SHINGLE, PERCENT = 4, 85
+SHINGLE, PERCENT, SHARED = 4, 85, 24
 GROUPS, LEAF, FANOUT, TILE = 512, 16, 8, 256
 SKETCH_BITS = 18
 
@@ -98,8 +99,13 @@ def node_of(shingles: np.ndarray) -> int:
     return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def least_shared(n: int) -> int:
+    """How many shingles of their prefixes two linked sets share, the smaller of which has n."""
+    return max(1, n // SHARED)
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return n - (percent * n + 99) // 100 + least_shared(n)
 
 
 def linked(overlap: int, a: int, b: int, percent: int = PERCENT) -> bool:
@@ -195,6 +201,11 @@ def _sketch(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def _leads(token: DataFrame) -> DataFrame:
+    """The shingles of two nodes or more, with the least of them."""
+    return token.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top").select("token", "lead")
+
+
 def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs(doc_id, text)`` -> a row per row: doc_id, a, b (two hashes of the text), n, root
     (the component's id among nodes; NULL for an empty set)."""
@@ -203,19 +214,22 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
 
     def signature(b: pa.RecordBatch) -> dict:
         make = Shingler(size)
-        node, n, tokens = [], [], []
+        node, n, need, tokens = [], [], [], []
         for t in b.column("text").to_pylist():
             s = make(t)
             n.append(len(s))
+            need.append(least_shared((percent * len(s) + 99) // 100))     # the smallest partner's
             node.append(node_of(s) if len(s) else None)
             rare = np.argsort(counts.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
             tokens.append(s[rare[:prefix_length(len(s), percent)]].view(np.int64) if len(s) else None)
-        return {"doc_id": b.column("doc_id"), "a": b.column("a"), "b": b.column("b"), "node": node, "n": n, "tokens": tokens}
+        return {"doc_id": b.column("doc_id"), "a": b.column("a"), "b": b.column("b"), "node": node, "n": n, "need": need, "tokens": tokens}
 
-    rows = cut_lineage(map_batches(keyed, signature, "doc_id long, a long, b long, node long, n long, tokens array<long>"), "shingle-sets")
+    rows = cut_lineage(map_batches(keyed, signature, "doc_id long, a long, b long, node long, n long, need int, tokens array<long>"), "shingle-sets")
     token = rows.where("node IS NOT NULL").select("node", F.explode("tokens").alias("token"))
-    lead = token.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top").select("token", "lead")
-    member = cut_lineage(token.join(lead, "token").select("lead", "node").distinct(), "blocks")
+    live = cut_lineage(token.join(_leads(token).select("token"), "token").distinct(), "shared-shingles")
+    enough = live.groupBy("node").count().join(rows.select("node", "need").distinct(), "node").where("count >= need").select("node")
+    live = live.join(enough, "node")
+    member = cut_lineage(live.join(_leads(live), "token").select("lead", "node").distinct(), "blocks")
 
     # the sets of the nodes in blocks, made again from one text each
     where = rows.join(member.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("a", "b")).alias("k")).select("k.a", "k.b")
@@ -241,7 +255,7 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
 
     edges = map_sorted_groups(dealt, ["lead", "i", "j"], join_group, "a long, b long")
     roots = components(edges)
-    return rows.drop("tokens").join(roots, "node", "left").select("doc_id", "a", "b", "n", F.coalesce("root", "node").alias("root"))
+    return rows.select("doc_id", "a", "b", "node", "n").join(roots, "node", "left").select("doc_id", "a", "b", "n", F.coalesce("root", "node").alias("root"))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
