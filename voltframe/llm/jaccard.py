@@ -10,7 +10,8 @@ One tree over all documents would not scale, as points of unrelated long texts l
 dimensions. So trees are built per block: of two sets with Jaccard >= t the first l common shingles
 (in any common order) are among the first |A| - ceil(t |A|) + l of each, for l = |A| // ``SHARED`` of
 the smaller (1 at least). A block holds the sets that share one of these, merged under the least
-set of that shingle; a set that does not share l of them with any others has no links. The order is by how often a shingle's hash
+set of that shingle. A set that does not share l of them with any others has no links, and one
+that shares k keeps the k - l + 1 held by the fewest sets: a linked pair still has one in common. The order is by how often a shingle's hash
 bucket occurs in the whole corpus (``SKETCH`` counters, an exact count per bucket), rarest
 first, so common lines and passages do not make blocks. The order affects the cost only; no
 link is lost.
@@ -35,7 +36,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voltframe.llm.common import broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
@@ -206,6 +207,16 @@ def _leads(token: DataFrame) -> DataFrame:
     return token.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top").select("token", "lead")
 
 
+def _fewest(live: DataFrame, need: DataFrame) -> DataFrame:
+    """Of each node's k shared shingles the k - need + 1 that the fewest nodes share; none if k < need.
+    (token, node) rows; a shingle that is left with one node is dropped."""
+    held = live.join(live.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "token").join(need, "node")
+    mine = Window.partitionBy("node")
+    kept = (held.withColumn("k", F.count("*").over(mine)).withColumn("place", F.row_number().over(mine.orderBy("held", "token")))
+            .where("place <= k - need + 1").select("token", "node"))
+    return kept
+
+
 def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs(doc_id, text)`` -> a row per row: doc_id, a, b (two hashes of the text), n, root
     (the component's id among nodes; NULL for an empty set)."""
@@ -227,8 +238,9 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
     rows = cut_lineage(map_batches(keyed, signature, "doc_id long, a long, b long, node long, n long, need int, tokens array<long>"), "shingle-sets")
     token = rows.where("node IS NOT NULL").select("node", F.explode("tokens").alias("token"))
     live = cut_lineage(token.join(_leads(token).select("token"), "token").distinct(), "shared-shingles")
-    enough = live.groupBy("node").count().join(rows.select("node", "need").distinct(), "node").where("count >= need").select("node")
-    live = live.join(enough, "node")
+    need = rows.select("node", "need").distinct()
+    for _ in range(2):
+        live = cut_lineage(_fewest(live, need), "shared-shingles")
     member = cut_lineage(live.join(_leads(live), "token").select("lead", "node").distinct(), "blocks")
 
     # the sets of the nodes in blocks, made again from one text each
