@@ -20,7 +20,9 @@ BROADCAST_ROWS = 1_000_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, also where texts are very long."""
+    """Bound what one Arrow batch holds, also where texts are very long, and what a join may
+    broadcast on its own once it knows a side's size."""
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "8MB")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
