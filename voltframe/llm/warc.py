@@ -185,12 +185,16 @@ def lookup(spark: SparkSession, archive: str, blocks: DataFrame, directory: Data
     asked = parts[0]
     for p in parts[1:]:
         asked = asked.unionByName(p)
-    asked = asked.join(blocks.select("block", "data"), "block")
+    # a block travels once, beside the keys asked of it
+    asked = blocks.select("block", "data", F.lit(None).cast("string").alias("key")).unionByName(asked.select("block", F.lit(None).cast("binary").alias("data"), "key"))
 
     def find(t: pa.Table) -> dict | None:
-        names, lines = json.loads(zlib.decompress(t.column("data")[0].as_py()))
+        wanted = t.column("key").drop_null().to_pylist()
+        if not wanted:
+            return None
+        names, lines = json.loads(zlib.decompress(t.column("data").drop_null()[0].as_py()))
         keys, got = [x[0] for x in lines], set()
-        for k in t.column("key").to_pylist():
+        for k in wanted:
             got.update(range(bisect_left(keys, k), bisect_right(keys, k if exact else k + "\U0010ffff")))
         at = sorted(got)
         return {"file": [names[lines[i][1]] for i in at], "at": [lines[i][2] for i in at], "length": [lines[i][3] for i in at], "key": [lines[i][0] for i in at]} if at else None
