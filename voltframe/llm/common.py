@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from voltframe.session import cut_lineage
 
 #: Rows and bytes that one Arrow batch may hold in a Python worker.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: Rows up to which a side with fixed-width rows (a few dozen bytes each) may be broadcast.
 BROADCAST_ROWS = 1_000_000
 

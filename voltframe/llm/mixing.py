@@ -93,9 +93,12 @@ def measured(docs: DataFrame, targets: dict, keep: list[str]) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in docs.select(*[f"`{c}`" for c in keep]).schema}
 
     def run(b: pa.RecordBatch) -> dict:
-        split = [(t or "").split() for t in b.column("text").to_pylist()]
-        return {c: b.column(c) for c in types} | {"_topic": [topic_of([w.lower() for w in s]) for s in split], "_tokens": [len(s) for s in split],
-                                                  "_source": b.column("_source"), "_lang": b.column("_lang")}
+        topics, tokens = [], []
+        for t in b.column("text"):      # one text's words at a time
+            words = (t.as_py() or "").lower().split()
+            topics.append(topic_of(words))
+            tokens.append(len(words))
+        return {c: b.column(c) for c in types} | {"_topic": topics, "_tokens": tokens, "_source": b.column("_source"), "_lang": b.column("_lang")}
 
     def folded(c: str):
         known = [k for k in targets[c] if k != OTHER]

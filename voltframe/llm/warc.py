@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from voltframe.llm.common import BROADCAST_ROWS, broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
 from voltframe.session import table_path
 
-PER_FILE, PER_BLOCK = 8 << 20, 256
+PER_FILE, PER_BLOCK = 4 << 20, 256
 LEAST_BYTES = 0
 WARC_DATE = "2024-01-01T00:00:00Z"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
