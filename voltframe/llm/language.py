@@ -135,10 +135,12 @@ def identify(docs: DataFrame, model: dict, keep: dict[str, str], prefix: str = "
     return map_batches(docs.select(*[f"`{c}`" for c in cols]), run, ", ".join(f"`{c}` {t}" for c, t in keep.items()) + added)
 
 
-def keep_identified(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs``, all columns, without the rows that are ``und`` or ambiguous."""
+def keep_identified(docs: DataFrame, model: dict, drop_ambiguous: bool = False) -> DataFrame:
+    """``docs``, all columns, without the rows that are ``und``; texts in two languages are flagged
+    as ambiguous and stay, unless ``drop_ambiguous``."""
     found = identify(docs, model, {f.name: f.dataType.simpleString() for f in docs.schema}, prefix="_voltframe_")
-    return found.where((F.col("_voltframe_lang_pred") != UNDEFINED) & ~F.col("_voltframe_ambiguous")).select(*[f"`{c}`" for c in docs.columns])
+    kept = found.where(F.col("_voltframe_lang_pred") != UNDEFINED)
+    return (kept.where(~F.col("_voltframe_ambiguous")) if drop_ambiguous else kept).select(*[f"`{c}`" for c in docs.columns])
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
