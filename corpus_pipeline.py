@@ -38,7 +38,7 @@ def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Text replaced; ``n_chars``, where there is one, follows a changed length."""
     bounded_batches(spark)
     was = docs.withColumn("_voltframe_length", F.length("text"))
-    out = pii.pseudonymise(was)
+    out = pii.pseudonymise(was, prefix="_voltframe_")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.length("text") != F.col("_voltframe_length"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -145,9 +145,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is not contaminated."""
-    keyed = docs.withColumn("_key", _text_key())
-    bad = decontaminate(docs.select("text", _text_key().alias("text_key")), benchmark).where("contaminated").select("text_key").distinct()
-    return keyed.join(broadcast_if_small(cut_lineage(bad, "contaminated")), F.col("_key") == F.col("text_key"), "left_anti").select(*docs.columns)
+    bad = decontaminate(docs.select(F.col("text").cast("string").alias("text"), _text_key().alias("text_key")), benchmark).where("contaminated").select("text_key").distinct()
+    bad = broadcast_if_small(cut_lineage(bad.withColumnRenamed("text_key", "_voltframe_bad"), "contaminated"))
+    keyed = docs.withColumn("_voltframe_key", _text_key())
+    return keyed.join(bad, F.col("_voltframe_key") == F.col("_voltframe_bad"), "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

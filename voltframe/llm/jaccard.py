@@ -284,15 +284,15 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     rows = cut_lineage(sets_and_components(ids, size, percent).where("root IS NOT NULL"), "components")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b")
     keeper = rows.groupBy("root").agg(F.min(row).alias("keep"))
-    gone = cut_lineage(rows.join(keeper, "root").where(~row.eqNullSafe(F.col("keep"))).select(F.col("doc_id").alias("_id"), F.col("a").alias("_a"), F.col("b").alias("_b")).distinct(), "near-copies")
-    twice = cut_lineage(rows.groupBy("doc_id", "a", "b").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("a").alias("_a"), F.col("b").alias("_b")), "repeated-rows")
-    keyed = docs.withColumns({"_vid": F.col("doc_id").cast("long"), "_va": F.xxhash64(F.col("text").cast("string")), "_vb": F.xxhash64(F.lit(1), F.col("text").cast("string"))})
-    same = F.col("_vid").eqNullSafe(F.col("_id")) & (F.col("_va") == F.col("_a")) & (F.col("_vb") == F.col("_b"))
+    gone = cut_lineage(rows.join(keeper, "root").where(~row.eqNullSafe(F.col("keep"))).select(F.col("doc_id").alias("_voltframe_id"), F.col("a").alias("_voltframe_a"), F.col("b").alias("_voltframe_b")).distinct(), "near-copies")
+    twice = cut_lineage(rows.groupBy("doc_id", "a", "b").count().where("count > 1").select(F.col("doc_id").alias("_voltframe_id"), F.col("a").alias("_voltframe_a"), F.col("b").alias("_voltframe_b")), "repeated-rows")
+    keyed = docs.withColumns({"_voltframe_vid": F.col("doc_id").cast("long"), "_voltframe_va": F.xxhash64(F.col("text").cast("string")), "_voltframe_vb": F.xxhash64(F.lit(1), F.col("text").cast("string"))})
+    same = F.col("_voltframe_vid").eqNullSafe(F.col("_voltframe_id")) & (F.col("_voltframe_va") == F.col("_voltframe_a")) & (F.col("_voltframe_vb") == F.col("_voltframe_b"))
     kept = keyed.join(broadcast_if_small(gone), same, "left_anti")
     if twice.limit(1).count():
         kept = (kept.join(broadcast_if_small(twice), same, "left_anti")
-                .unionByName(kept.join(broadcast_if_small(twice), same, "left_semi").dropDuplicates(["_vid", "_va", "_vb"])))
-    return kept.select(*docs.columns)
+                .unionByName(kept.join(broadcast_if_small(twice), same, "left_semi").dropDuplicates(["_voltframe_vid", "_voltframe_va", "_voltframe_vb"])))
+    return kept.select(*[f"`{c}`" for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ def probabilities(tokens: np.ndarray, raked: np.ndarray, share: float) -> tuple[
 
 
 def measured(docs: DataFrame, targets: dict, keep: list[str]) -> DataFrame:
-    """``keep`` columns plus _source, _lang, _topic (cells' categories) and _tokens."""
+    """``keep`` columns plus _mix_source, _mix_lang, _mix_topic (cells' categories) and _mix_tokens."""
     types = {f.name: f.dataType.simpleString() for f in docs.select(*[f"`{c}`" for c in keep]).schema}
 
     def run(b: pa.RecordBatch) -> dict:
@@ -98,39 +98,39 @@ def measured(docs: DataFrame, targets: dict, keep: list[str]) -> DataFrame:
             words = (t.as_py() or "").lower().split()
             topics.append(topic_of(words))
             tokens.append(len(words))
-        return {c: b.column(c) for c in types} | {"_topic": topics, "_tokens": tokens, "_source": b.column("_source"), "_lang": b.column("_lang")}
+        return {c: b.column(c) for c in types} | {"_mix_topic": topics, "_mix_tokens": tokens, "_mix_source": b.column("_mix_source"), "_mix_lang": b.column("_mix_lang")}
 
     def folded(c: str):
         known = [k for k in targets[c] if k != OTHER]
         text = F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
         return F.when(text.isin(known), text).otherwise(F.lit(OTHER))
 
-    cols = docs.withColumns({"_source": folded("source"), "_lang": folded("lang")}).select(*[f"`{c}`" for c in dict.fromkeys([*keep, "text"])], "_source", "_lang")
-    out = map_batches(cols, run, "".join(f"`{c}` {t}, " for c, t in types.items()) + "_source string, _lang string, _topic string, _tokens long")
+    cols = docs.withColumns({"_mix_source": folded("source"), "_mix_lang": folded("lang")}).select(*[f"`{c}`" for c in dict.fromkeys([*keep, "text"])], "_mix_source", "_mix_lang")
+    out = map_batches(cols, run, "".join(f"`{c}` {t}, " for c, t in types.items()) + "_mix_source string, _mix_lang string, _mix_topic string, _mix_tokens long")
     known = [k for k in targets["topic"] if k != OTHER]
-    return out.withColumn("_topic", F.when(F.col("_topic").isin(known), F.col("_topic")).otherwise(F.lit(OTHER)))
+    return out.withColumn("_mix_topic", F.when(F.col("_mix_topic").isin(known), F.col("_mix_topic")).otherwise(F.lit(OTHER)))
 
 
 def cell_table(spark: SparkSession, cells: DataFrame, targets: dict, share: float) -> DataFrame:
-    """Probability and weight of every cell, from ``cells(_source, _lang, _topic, tokens)``."""
+    """Probability and weight of every cell, from ``cells(_mix_source, _mix_lang, _mix_topic, tokens)``."""
     names = [list(dict.fromkeys([*targets[a], OTHER])) for a in _AXES]
     tokens = np.zeros([len(n) for n in names])
     for r in cells.collect():    # at most the product of the target lists, see above
-        tokens[names[0].index(r._source), names[1].index(r._lang), names[2].index(r._topic)] += float(r.tokens or 0)
+        tokens[names[0].index(r._mix_source), names[1].index(r._mix_lang), names[2].index(r._mix_topic)] += float(r.tokens or 0)
     raked = rake(tokens, [np.array([targets[a].get(k, 0.0) for k in n]) for a, n in zip(_AXES, names)])
     p, w = probabilities(tokens, raked, share)
     rows = [(s, g, t, float(p[i, j, k]), float(w[i, j, k])) for i, s in enumerate(names[0]) for j, g in enumerate(names[1]) for k, t in enumerate(names[2])]
-    return F.broadcast(spark.createDataFrame(rows, "_source string, _lang string, _topic string, _p double, _w double"))
+    return F.broadcast(spark.createDataFrame(rows, "_mix_source string, _mix_lang string, _mix_topic string, _mix_p double, _mix_w double"))
 
 
 def mix(docs: DataFrame, targets: dict = TARGETS, share: float = SHARE, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (all, if None) of every row plus _source, _lang, _topic, _tokens, _p, _w
-    and _drawn."""
+    """``keep`` columns (all, if None) of every row plus _mix_source, _mix_lang, _mix_topic, _mix_tokens, _mix_p, _mix_w
+    and _mix_drawn."""
     keep = keep or docs.columns
-    narrow = cut_lineage(measured(docs, targets, []).groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")), "cells")
+    narrow = cut_lineage(measured(docs, targets, []).groupBy("_mix_source", "_mix_lang", "_mix_topic").agg(F.sum("_mix_tokens").alias("tokens")), "cells")
     table_ = cell_table(docs.sparkSession, narrow, targets, share)
-    rows = measured(docs.withColumn("_u", uniform(F.col("doc_id"), F.xxhash64("text"), seed=seed)), targets, [*keep, "_u"])
-    return rows.join(table_, ["_source", "_lang", "_topic"]).withColumn("_drawn", F.col("_u") < F.col("_p"))
+    rows = measured(docs.withColumn("_mix_u", uniform(F.col("doc_id"), F.xxhash64("text"), seed=seed)), targets, [*keep, "_mix_u"])
+    return rows.join(table_, ["_mix_source", "_mix_lang", "_mix_topic"]).withColumn("_mix_drawn", F.col("_mix_u") < F.col("_mix_p"))
 
 
 def sample(docs: DataFrame, targets: dict = TARGETS, share: float = SHARE, seed: int = SEED) -> DataFrame:
@@ -141,10 +141,10 @@ def sample(docs: DataFrame, targets: dict = TARGETS, share: float = SHARE, seed:
             name += "_"
         return name
 
-    return mix(docs, targets, share, seed).where("_drawn").select(*[f"`{c}`" for c in docs.columns], F.col("_p").alias(free("mix_probability")), F.col("_w").alias(free("mix_weight")))
+    return mix(docs, targets, share, seed).where("_mix_drawn").select(*[f"`{c}`" for c in docs.columns], F.col("_mix_p").alias(free("mix_probability")), F.col("_mix_w").alias(free("mix_weight")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="long", text="string", lang="string", source="string")
-    return mix(docs, keep=["doc_id"]).select("doc_id", F.col("_source").alias("source_cell"), F.col("_lang").alias("lang_cell"), F.col("_topic").alias("topic"),
-                                             F.col("_tokens").alias("n_tokens"), F.col("_p").alias("probability"), F.col("_w").alias("weight"), F.col("_drawn").alias("drawn"))
+    return mix(docs, keep=["doc_id"]).select("doc_id", F.col("_mix_source").alias("source_cell"), F.col("_mix_lang").alias("lang_cell"), F.col("_mix_topic").alias("topic"),
+                                             F.col("_mix_tokens").alias("n_tokens"), F.col("_mix_p").alias("probability"), F.col("_mix_w").alias("weight"), F.col("_mix_drawn").alias("drawn"))

@@ -213,17 +213,16 @@ def protect(text: str, key: bytes = KEY, inverse: bool = False) -> tuple[str, li
     return "".join(out), found
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (the columns ``keep``, or all) with ``text`` replaced, and ``pii_kinds`` (sorted,
-    comma-joined, repeated per value) and ``n_pii`` added."""
-    cols = docs.select(*[f"`{c}`" for c in (keep or docs.columns)])
-    types = {f.name: f.dataType.simpleString() for f in cols.schema}
+def pseudonymise(docs: DataFrame, key: bytes = KEY, prefix: str = "") -> DataFrame:
+    """``docs`` with ``text`` replaced, and ``pii_kinds`` (sorted, comma-joined, repeated per value)
+    and ``n_pii`` added (with ``prefix``)."""
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
 
     def run(b: pa.RecordBatch) -> dict:
         done = [(None, []) if t is None else protect(t, key) for t in b.column("text").to_pylist()]
-        return {c: b.column(c) for c in types} | {"text": [t for t, _ in done], "pii_kinds": [",".join(sorted(k)) for _, k in done], "n_pii": [len(k) for _, k in done]}
+        return {c: b.column(c) for c in types} | {"text": [t for t, _ in done], f"{prefix}pii_kinds": [",".join(sorted(k)) for _, k in done], f"{prefix}n_pii": [len(k) for _, k in done]}
 
-    return map_batches(cols, run, ", ".join(f"`{c}` {t}" for c, t in types.items()) + ", pii_kinds string, n_pii long")
+    return map_batches(docs, run, ", ".join(f"`{c}` {t}" for c, t in types.items()) + f", {prefix}pii_kinds string, {prefix}n_pii long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
