@@ -7,7 +7,6 @@ from voltframe.llm import ann, decontaminate, htmltext, jaccard, language, mixin
 
 QUERIES = {
     "op1_quality": quality.query,
-    "op10_warc": warc.query,
     "op2_decontaminate": decontaminate.query,
     "op3_pii": pii.query,
     "op4_mixing": mixing.query,
@@ -16,13 +15,14 @@ QUERIES = {
     "op7_ann": ann.query,
     "op8_jaccard": jaccard.query,
     "op9_urls": urlfilter.query,
+    "op10_warc": warc.query,
     "pipeline": corpus_pipeline.run,
 }
 
+#: The others hold a classifier, a permutation, raking or a search; tests/llm checks them by brute
+#: force, round trip or held-out accuracy.
 ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
-    "op6_html": htmltext.query,
-    "op7_ann": ann.query,
     "op8_jaccard": jaccard.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
 }
