@@ -19,7 +19,8 @@ sys.path.insert(0, ROOT)
 
 from voltframe.plans import pipelines as pl  # noqa: E402
 from voltframe.plans import queries as q  # noqa: E402
-from voltframe.session import local_session  # noqa: E402
+from voltframe.operators.qq import qq_points  # noqa: E402
+from voltframe.session import local_session, release_tables  # noqa: E402
 from voltframe.sources import testdata as td  # noqa: E402
 
 
@@ -42,6 +43,11 @@ HEADLINE = {
     "impute_linear": q.RAW["impute_linear"],
     "outliers_iqr": q.RAW["outliers_iqr"],
     "quartiles": q.RAW["quartiles"],
+    "regional_box_stats": q.RAW["regional_box_stats"],
+    "kde_by_region": q.RAW["kde_by_region"],
+    "qq_points_raw": lambda s, sf: qq_points(q._em_raw(s, sf), "value", ["region"]),
+    "quartiles_in_memory": q.RAW["quartiles_in_memory"],
+    "time_gap": q.RAW["time_gap"],
     "resample_15m": q.RAW["resample_15m"],
     "rolling_features": q.RAW["rolling_features"],
     "asof_nearest": q.RAW["asof_nearest"],
@@ -85,6 +91,7 @@ def main():
             continue
         run_once(spark, fn, sf_dir)
         out[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
+    release_tables(spark)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(out.values()), 3),
                       "unit": "sec", "queries": out, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,

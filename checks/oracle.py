@@ -574,6 +574,18 @@ def _q():
         *E_CHAIN(["region"]), f"cm AS (SELECT region, {aggs} FROM e WHERE "
         + " AND ".join(f"{c} IS NOT NULL" for c in fcols) + " GROUP BY region)") + sel)
     q["src_csv_roundtrip"] = rnd(["value"], with_(EM_RAW) + 'SELECT row_id, "timestamp", region, value FROM em_raw')
+    q["src_bad_bodies"] = with_(EM_RAW) + (
+        "SELECT * FROM (SELECT row_id, CASE WHEN row_id % 17 = 0 THEN 'no data' WHEN row_id % 19 = 0 THEN 'malformed' "
+        "WHEN row_id % 23 = 0 THEN 'empty' END AS reason FROM em_raw) WHERE reason IS NOT NULL")
+    q["rolling_hourly"] = rnd(["value", "value_rolling_mean_6h", "value_rolling_std_6h", "value_rolling_mean_24h", "value_rolling_std_24h", "value_lag_1"],
+                              with_(EM_RAW, *grid_ctes("g", "em_raw", ["value"], [], step=3600),
+                                    features_cte("f", "g", "value", [], windows=(6, 24), lags=(1,), rows_per_hour=1, calendar=False)) + "SELECT * FROM f")
+    q["quartiles_in_memory"] = q["quartiles"]
+    q["event_collection_no_demand"] = rnd(["value"], with_(EM_RAW, CATALOG, WIN) + (
+        'SELECT s.row_id, s."timestamp", s.region, s.value, w.event_id, \'emissions\' AS series FROM em_raw s JOIN win w ON s.region = w.region '
+        'AND w.region = \'click\' AND s."timestamp" >= w.window_lo AND s."timestamp" <= w.window_hi'))
+    q["sink_if_not_empty"] = with_(EM_RAW) + "SELECT row_id, region, false AS other_written FROM em_raw"
+    q["report_json"] = q["quality_report"]
     return q
 
 

@@ -26,7 +26,7 @@ def test_qq_points_and_fit(spark):
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(50, 10, size=101), 1)  # ties
     df = spark.createDataFrame([(float(v),) for v in x], "value double")
-    pts = qq_points(df, "value", block=7, per_octave=1).toPandas().sort_values("i")
+    pts = qq_points(df, "value", block=7).toPandas().sort_values("i")
     n = len(x)
     m = np.array([(i - 0.3175) / (n + 0.365) for i in range(1, n + 1)])
     m[-1] = 0.5 ** (1 / n)

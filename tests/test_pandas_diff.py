@@ -102,13 +102,13 @@ def test_cumsum_matches_pandas(spark):
     same(list(got.c), list(exp), tol=1e-9)
 
 
-@pytest.mark.parametrize("method", ["exact", "auto", "in_memory"])
+@pytest.mark.parametrize("method", ["exact", "in_memory"])
 def test_quantiles_match_pandas(spark, method):
     pdf = random_series(10)
     pdf.loc[::5, "value"] = 100.0  # heavy ties
     pdf.loc[::7, "value"] = -3.5   # negative values
     got = quantiles(to_spark(spark, pdf), "value", {"q1": 0.25, "med": 0.5, "q3": 0.75, "p9": 0.9},
-                    keys=["region"], per_octave=1, method=method).toPandas().set_index("region")
+                    keys=["region"], method=method).toPandas().set_index("region")
     for reg, g in pdf.groupby("region"):
         for name, p in {"q1": 0.25, "med": 0.5, "q3": 0.75, "p9": 0.9}.items():
             assert abs(got.loc[reg, name] - g["value"].quantile(p)) < 1e-9

@@ -75,8 +75,9 @@ def clip_to(v: str | Column, lo: Column, hi: Column) -> Column:
 
 
 def safe_corr(x: str | Column, y: str | Column) -> Column:
-    """Pearson r that is NULL (not an error) when either side is constant."""
-    x, y = col_(x), col_(y)
+    """Pearson r over the rows where both sides are present; NULL (not an error) when either
+    side is constant there."""
+    x, y = F.when(col_(y).isNotNull(), col_(x)), F.when(col_(x).isNotNull(), col_(y))
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 

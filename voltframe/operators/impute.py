@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, slot_index
-from voltframe.operators.sequence import UNB_PREC, join_keys, key_window, last_row, split_hot_chunks
+from voltframe.operators.sequence import NO_CHUNK, UNB_PREC, join_keys, key_window, last_row, null_free, split_hot_chunks
 
 
 def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (),
@@ -40,11 +40,12 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     v = F.col(value)
     # NaN is missing (as in pandas); NULL times sort last (pandas puts NaT last).
     d = df.withColumn(value, F.when(~F.isnan(v), v)) if isinstance(df.schema[value].dataType, T.DoubleType) else df
-    d = d.withColumn("_ch", slot_index(ts, chunk_seconds))
+    d, keys = null_free(d, keys, slot_index(ts, chunk_seconds))
     if hot_rows:
         d = split_hot_chunks(d, keys=keys, ts=ts, chunk="_ch", hot_rows=hot_rows)
     else:
         d = d.withColumn("_sub", F.lit(0).cast("long"))
+    d = d.withColumn("_sub", F.coalesce("_sub", F.lit(NO_CHUNK)))
     part = keys + ["_ch", "_sub"]
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     # "Next valid" is the last valid value in descending order: a running frame,
@@ -116,7 +117,7 @@ def time_gaps(df: DataFrame, *, ts: str, keys: Sequence[str] = (), order: Sequen
     """W1 alone: seconds since the previous row of the same series."""
     keys = list(keys)
     order = list(order) if order else [ts]
-    d = df.withColumn("_ch", slot_index(ts, chunk_seconds))
+    d, keys = null_free(df, keys, slot_index(ts, chunk_seconds))
     part = keys + ["_ch"]
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     d = d.withColumns({"_prev_ts": F.lag(F.col(ts)).over(w), "_rn": F.row_number().over(w)})

@@ -21,11 +21,10 @@ from voltframe.functions.columns import floor_div, inv_norm_cdf, safe_corr
 from voltframe.operators.ranks import ranked_values
 
 
-def qq_points(df: DataFrame, value: str, keys: Sequence[str] = (), block: int = 65_536,
-              per_octave: int = 64) -> DataFrame:
+def qq_points(df: DataFrame, value: str, keys: Sequence[str] = (), block: int = 65_536) -> DataFrame:
     """One row per non-null value: ``i`` (1-based rank), ``n``, ``osm`` (theoretical), ``osr`` (sample)."""
     keys = list(keys)
-    r = ranked_values(df, value, keys, per_octave)
+    r = ranked_values(df, value, keys)
     cnt, below = F.col("_cnt"), F.col("_below")
     r = r.withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), floor_div(cnt - 1, block))))
     r = r.repartition(*[F.col(k) for k in keys], F.col(value), F.col("_blk"))

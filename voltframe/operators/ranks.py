@@ -5,17 +5,17 @@ the number of smaller values in the same group (``_below``). It is the base of
 exact quantiles (A2, A11, A17) and of Q-Q positions (A20).
 
 Plan: (1) partial+final aggregate to distinct (key, value) counts - a hot value
-collapses inside each map task; (2) log-scale value buckets (``per_octave``
-per power of two, sign-aware, so heavy tails and outliers do not pile the
-distinct values into a few buckets), per-bucket totals and their exclusive
-prefix - a table of at most keys x ~(octaves x per_octave) rows; (3) a running
-count inside each (key, bucket).
-Spark's ``percentile`` instead keeps every distinct value of a group in one
-hash map in the final task; it is offered as ``method="in_memory"``, and
-``percentile_approx`` as ``method="approx"``. ``method="auto"`` (default) probes
-the largest per-key distinct count (``approx_count_distinct``, one small job)
-and uses ``percentile`` only when that map is provably small, the distributed
-ranks otherwise.
+collapses inside each map task; (2) value buckets from the data: ``SPLITTERS``
+sampled quantiles of the distinct values per key, each interval cut into
+``PARTS`` equal widths, so clustered values and heavy tails spread alike; the
+per-bucket totals and their exclusive prefix are a table of at most keys x
+SPLITTERS x PARTS rows; (3) a running count inside each (key, bucket). The
+buckets only deal out the work; any bucketing gives the same exact ranks.
+
+NaN is missing, as in pandas, in every method. ``exact`` (the distributed ranks)
+is the only default at every size. Spark's ``percentile`` keeps every distinct
+value of a group in one hash map in the final task; it is offered as
+``method="in_memory"`` (same results), ``percentile_approx`` as ``"approx"``.
 """
 
 from __future__ import annotations
@@ -25,31 +25,36 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.operators.sequence import UNB_PREC, join_keys, key_window
+from voltframe.operators.sequence import UNB_PREC, join_keys, join_small, key_window
 
 
-def log_bucket(v, per_octave: int = 64):
-    """Monotone integer bucket of a double: 0 for 0, +/-(offset + floor(log2|v| * per_octave)).
+SPLITTERS, PARTS = 64, 64
+
+
+def present(value: str):
+    """The value as a double, NULL where it is NaN."""
+    v = F.col(value).cast("double")
+    return F.when(~F.isnan(v), v)
 
-    ``log2`` is semi-monotonic (StrictMath), so the bucket never decreases as v grows.
-    Infinities take the outermost buckets.
-    """
-    v = F.col(v) if isinstance(v, str) else v
-    off = 1100 * per_octave  # > |log2| of every finite double times per_octave
-    inf = float("inf")
-    mag = F.floor(F.log2(F.abs(v)) * F.lit(float(per_octave))) + F.lit(off)
-    top = F.lit(2 * off + 1)
-    return (F.when(v == 0, F.lit(0))
-            .when(v == F.lit(inf), top).when(v == F.lit(-inf), -top)
-            .when(v > 0, mag).otherwise(-mag)).cast("long")
 
+def value_bucket(v, splitters):
+    """Monotone bucket of a double among sorted ``splitters``: the interval, and its equal-width part."""
+    i = F.size(F.filter(splitters, lambda s: s <= v))
+    lo, hi = F.get(splitters, i - 1), F.get(splitters, i)
+    width = hi - lo
+    inside = (i > 0) & (width > 0) & (width < float("inf"))
+    part = F.when(inside, F.least(F.lit(PARTS - 1), F.floor((v - lo) / width * F.lit(float(PARTS)))))
+    return (i.cast("long") * PARTS + F.coalesce(part, F.lit(0))).cast("long")
 
-def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = (), per_octave: int = 64) -> DataFrame:
+
+def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Distinct (keys, value) rows with ``_cnt``, ``_n`` (group size) and ``_below``."""
     keys = list(keys)
     v = F.col(value)
-    vc = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    vc = vc.withColumn("_b", log_bucket(v, per_octave))
+    vc = df.withColumn(value, present(value)).where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
+    marks = [i / SPLITTERS for i in range(1, SPLITTERS)]
+    vc = join_small(vc, vc.groupBy(*keys).agg(F.percentile_approx(value, marks, 1000).alias("_split")), keys)
+    vc = vc.withColumn("_b", value_bucket(v, F.col("_split"))).drop("_split")
     bt = vc.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bn"))
     kw = key_window(keys)
     bt = bt.withColumns({
@@ -68,29 +73,16 @@ def value_at_rank(ranked: DataFrame, k, value: str):
     return F.max(F.when((below <= k) & (k < below + cnt), F.col(value)))
 
 
-IN_MEMORY_MAX_DISTINCT = 200_000
-
-
-def max_distinct_per_key(df: DataFrame, value: str, keys: Sequence[str] = ()) -> int:
-    """Upper estimate of the distinct non-null values in the largest group (rsd 5%, +20% margin)."""
-    keys = list(keys)
-    per_key = df.groupBy(*keys).agg(F.approx_count_distinct(value, 0.05).alias("d"))
-    row = per_key.agg(F.max("d")).first()
-    return int((row[0] or 0) * 1.2) if row else 0
-
-
 def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], keys: Sequence[str] = (),
-              method: str = "auto", per_octave: int = 64,
-              in_memory_max_distinct: int = IN_MEMORY_MAX_DISTINCT) -> DataFrame:
+              method: str = "exact") -> DataFrame:
     """Linear-interpolated quantiles (pandas / numpy 'linear' rule) per key.
 
-    Returns ``keys + list(probs)`` columns plus ``n`` (non-null count).
-    ``exact``, ``in_memory`` and ``auto`` give identical results; ``approx`` does not.
+    Returns ``keys + list(probs)`` columns plus ``n`` (count of values that are neither
+    NULL nor NaN). ``exact`` and ``in_memory`` give identical results; ``approx`` does not.
     """
     keys = list(keys)
-    if method == "auto":
-        small = max_distinct_per_key(df, value, keys) <= in_memory_max_distinct
-        method = "in_memory" if small else "exact"
+    if method in ("approx", "in_memory"):
+        df = df.withColumn(value, present(value))
     if method == "approx":
         aggs = [F.percentile_approx(value, float(p), 100_000).cast("double").alias(name)
                 for name, p in probs.items()]
@@ -100,7 +92,7 @@ def quantiles(df: DataFrame, value: str, probs: Mapping[str, float], keys: Seque
         return df.groupBy(*keys).agg(*aggs, F.count(value).alias("n"))
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    r = ranked_values(df, value, keys, per_octave)
+    r = ranked_values(df, value, keys)
     n = F.col("_n")
     aggs = [F.first("_n").alias("n")]
     for name, p in probs.items():

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.columns import floor_div
+from voltframe.session import cut_lineage
 
 UNB_PREC = Window.unboundedPreceding
 UNB_FOLL = Window.unboundedFollowing
@@ -88,10 +89,40 @@ def join_keys(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str =
         return left.crossJoin(right)
     r = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}") for c in cols],
                      *[F.col(f"`{c}`") for c in right.columns if c not in cols])
-    cond = [left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols]
+    free = {f.name for f in left.schema if not f.nullable} & {f.name for f in right.schema if not f.nullable}
+    # plain equality on null-free columns: the join then uses the partitioning a window on them has made
+    cond = [left[c] == r[f"__r_{c}"] if c in free else left[c].eqNullSafe(r[f"__r_{c}"]) for c in cols]
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
 
 
+NO_CHUNK = 2**62
+
+
+def null_free(df: DataFrame, keys: Sequence[str], chunk: Column, name: str = "_ch") -> tuple[DataFrame, list[str]]:
+    """``df`` with the chunk as a null-free column (rows without a time: the last chunk) and two
+    null-free columns per key; returns the key columns to partition and join by."""
+    cols = {name: F.coalesce(chunk.cast("long"), F.lit(NO_CHUNK))}
+    for i, k in enumerate(keys):
+        cols |= {f"_key{i}": F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")), f"_nokey{i}": F.col(f"`{k}`").isNull()}
+    return df.withColumns(cols), [c for c in cols if c != name]
+
+
+#: Bytes of key text and numbers up to which a per-key table is broadcast.
+PER_KEY_BYTES = 32 << 20
+
+
+def broadcast_per_key(small: DataFrame, max_bytes: int = PER_KEY_BYTES) -> DataFrame:
+    """A per-key table, written once and measured (a job at plan-build time): hinted for broadcast
+    if its values take at most ``max_bytes``, else left to a shuffle join. Same rows either way."""
+    t = cut_lineage(small, "per-key")
+    width = F.lit(0)
+    for f in t.schema:
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) + 16 if kind in ("string", "binary") else F.coalesce(F.size(c), F.lit(0)) * 8 + 16 if kind == "array" else F.lit(8))
+    return F.broadcast(t) if (t.agg(F.sum(width)).first()[0] or 0) <= max_bytes else t
+
+
 def split_hot_chunks(df: DataFrame, *, keys: Sequence[str], ts: str, chunk: str, hot_rows: int) -> DataFrame:
     """Add ``_sub``: 0 for ordinary chunks; for a chunk holding more than ``hot_rows``
     rows, a finer time bucket sized so each part holds about ``hot_rows`` rows.
@@ -124,13 +155,13 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     """Attach per-key statistics.
 
     With no key the statistics are a single global row: broadcast it (size is one
-    row by construction). With keys the table has one row per key; a plain join
-    lets AQE pick broadcast when the measured size is small and a shuffle join
-    otherwise.
+    row by construction). With keys the table has one row per key: broadcast if it
+    was measured to be small (``broadcast_per_key``), so the rows are not shuffled
+    on a key of low cardinality.
     """
     if not keys:
         return df.crossJoin(F.broadcast(small))
-    return join_keys(df, small, keys, how)
+    return join_keys(df, broadcast_per_key(small), keys, how)
 
 
 def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column | str],
@@ -140,8 +171,7 @@ def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Colum
     ``chunk`` must be monotone in ``order`` (e.g. a time bucket of the leading
     order column). The order must be total (end it with a unique column).
     """
-    keys = list(keys)
-    d = df.withColumn("_chunk", chunk)
+    d, keys = null_free(df, list(keys), chunk, "_chunk")
     part = keys + ["_chunk"]
     d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*_nulls_last(order))))
     counts = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_rn"].alias("_cn"))
@@ -149,8 +179,7 @@ def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Colum
         "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
                                              .rowsBetween(UNB_PREC, -1)), F.lit(0)).cast("long"))
     d = join_keys(d, counts.select(*part, "_off"), part, "left")
-    return (d.withColumn(pos, (F.col("_off") + F.col("_rn") - 1).cast("long"))
-             .drop("_off", "_rn", "_chunk"))
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_rn") - 1).cast("long").alias(pos))
 
 
 def halo_windows(df: DataFrame, *, keys: Sequence[str], pos: str, back: int, fwd: int,
@@ -176,8 +205,7 @@ def halo_windows(df: DataFrame, *, keys: Sequence[str], pos: str, back: int, fwd
 def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column | str],
                 chunk: Column, value: str, out: str) -> DataFrame:
     """Cumulative sum of ``value`` in ``order``; NULL rows stay NULL, the sum carries on."""
-    keys = list(keys)
-    d = df.withColumn("_chunk", chunk)
+    d, keys = null_free(df, list(keys), chunk, "_chunk")
     part = keys + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*_nulls_last(order))
     d = d.withColumns({"_in": F.sum(value).over(w.rowsBetween(UNB_PREC, 0)), "_rn": F.row_number().over(w)})
@@ -187,5 +215,4 @@ def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column |
     d = join_keys(d, tot.select(*part, "_before"), part, "left")
     run = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(
         F.coalesce(F.col("_before"), F.lit(0.0)) + F.col("_in"))
-    return (d.withColumn(out, F.when(F.col(value).isNotNull(), run))
-             .drop("_in", "_before", "_chunk", "_rn"))
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], F.when(F.col(value).isNotNull(), run).alias(out))

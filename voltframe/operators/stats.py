@@ -18,7 +18,7 @@ from voltframe.operators.sequence import join_keys, join_small
 
 
 def distribution_summary(df: DataFrame, value: str, keys: Sequence[str] = (),
-                         quantile_method: str = "auto") -> DataFrame:
+                         quantile_method: str = "exact") -> DataFrame:
     """n, mean, sample std, median, min, max of non-null values per key."""
     keys = list(keys)
     basic = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
@@ -72,7 +72,7 @@ def histogram(df: DataFrame, value: str, bins: int = 40, keys: Sequence[str] = (
 
 
 def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float = 1.5,
-              quantile_method: str = "auto") -> DataFrame:
+              quantile_method: str = "exact") -> DataFrame:
     """Box-plot statistics per group: quartiles, whiskers at the most extreme data
     inside ``whis * IQR`` (never inside the box), flier count, n, mean."""
     keys = list(keys)
@@ -84,20 +84,19 @@ def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float =
     v = F.col(value)
     w = d.groupBy(*keys).agg(F.max(F.when(v <= F.col("_hiv"), v)).alias("_wh"),
                              F.min(F.when(v >= F.col("_lov"), v)).alias("_wl"),
-                             F.avg(v).alias("mean"))
+                             F.avg(v).alias("mean"),
+                             # no data lies between a whisker and its bound
+                             F.count_if((v < F.col("_lov")) | (v > F.col("_hiv"))).alias("n_fliers"))
     out = join_keys(q, w, keys, "left")
     whishi = F.when(F.col("_wh").isNull() | (F.col("_wh") < F.col("q3")), F.col("q3")).otherwise(F.col("_wh"))
     whislo = F.when(F.col("_wl").isNull() | (F.col("_wl") > F.col("q1")), F.col("q1")).otherwise(F.col("_wl"))
     out = out.withColumns({"whislo": whislo.cast("double"), "whishi": whishi.cast("double")})
-    fl = join_small(df.where(v.isNotNull()), out.select(*keys, "whislo", "whishi"), keys) \
-        .groupBy(*keys).agg(F.count(F.when((v < F.col("whislo")) | (v > F.col("whishi")), F.lit(1))).alias("n_fliers"))
-    out = join_keys(out, fl, keys, "left")
     return out.select(*keys, "n", "mean", "q1", "median", "q3", "iqr", "whislo", "whishi",
                       F.coalesce(F.col("n_fliers"), F.lit(0)).cast("long").alias("n_fliers"))
 
 
 def box_fliers(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float = 1.5,
-               quantile_method: str = "auto") -> DataFrame:
+               quantile_method: str = "exact") -> DataFrame:
     """The data rows drawn as fliers: outside the whiskers of their group."""
     keys = list(keys)
     b = box_stats(df, value, keys, whis, quantile_method).select(*keys, "whislo", "whishi")
@@ -177,12 +176,13 @@ def kde_curves(df: DataFrame, columns: Sequence[str], group: str, gridsize: int
     # A singular group (one row, or all values equal) has no curve; its rows still
     # count in the common normalisation.
     st = st.where(F.col("bw") > 0)
-    # One row per (variable, group): a plain join, so AQE broadcasts it only when it is small.
-    d = join_keys(m, st.select("variable", group, "bw", "_glo", "_gstep"), ["variable", group])
+    # Equal values are summed once with their count: rounded or low-cardinality columns shrink to few rows.
+    m = m.groupBy("variable", group, "x").agg(F.count(F.lit(1)).cast("double").alias("_times"))
+    d = join_small(m, st.select("variable", group, "bw", "_glo", "_gstep"), ["variable", group])
     d = d.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))))
     gx = F.col("i").cast("double") * F.col("_gstep") + F.col("_glo")
     u = (gx - F.col("x")) / F.col("bw")
-    sums = d.groupBy("variable", group, "i").agg(F.sum(F.exp(F.lit(-0.5) * u * u)).alias("_s"))
+    sums = d.groupBy("variable", group, "i").agg(F.sum(F.col("_times") * F.exp(F.lit(-0.5) * u * u)).alias("_s"))
     out = join_keys(sums, st, ["variable", group])
     grid_x = F.when(F.col("i") == gridsize - 1, F.col("_ghi")).otherwise(
         F.col("i").cast("double") * F.col("_gstep") + F.col("_glo"))

@@ -413,6 +413,52 @@ def q_src_csv_roundtrip(spark, sf):
     return read_csv_typed(spark, path, em.schema, timestamp_format=fmt)
 
 
+def q_src_bad_bodies(spark, sf):
+    """S1 beside its parser: the bodies that give no rows (planted by row id), with the reason."""
+    from voltframe.sources.landing import EMISSIONS_RESPONSE, bad_responses
+    raw = td.emissions_response_json(_events(spark, sf))
+    rid = F.col("row_id")
+    body = (F.when(rid % 17 == 0, F.lit('{"error": "rate limit"}')).when(rid % 19 == 0, F.substring("body", 1, 20))
+            .when(rid % 23 == 0, F.lit(None).cast("string")).otherwise(F.col("body")))
+    return bad_responses(raw.withColumn("body", body), EMISSIONS_RESPONSE).select("row_id", "reason")
+
+
+def q_rolling_hourly(spark, sf):
+    """W5 on a dense input: keyless hourly grid, 6- and 24-hour centred windows."""
+    grid = resample_mean(_em_raw(spark, sf), ts="timestamp", value_cols=["value"], step_seconds=3600)
+    return series_features(grid, value="value", windows_hours=(6, 24), lags=(1,), rows_per_hour=1, step_seconds=3600)
+
+
+def q_quartiles_in_memory(spark, sf):
+    return quantiles(_em_raw(spark, sf), "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys=["region"], method="in_memory")
+
+
+def q_event_collection_no_demand(spark, sf):
+    """The optional demand input is absent."""
+    return pl.event_collection(td.hazard_catalog(spark), td.emissions_raw(_events(spark, sf)), None, region="click",
+                               ba_map=td.REGION_TO_BA).select("row_id", "timestamp", "region", "value", "event_id", "series")
+
+
+def q_sink_if_not_empty(spark, sf):
+    """Of two frames the one with rows is written and read back, the empty one leaves no table."""
+    from voltframe.plans.stage import stage_path
+    from voltframe.sources.files import write_if_not_empty
+    em = _em_raw(spark, sf).select("row_id", "region")
+    paths = {n: stage_path(spark, stage_key(f"sink_{n}", sf)) for n in ("rows", "none")}
+    wrote = {n: write_if_not_empty(d, paths[n]) for n, d in (("rows", em), ("none", em.where("region = 'absent'")))}
+    return spark.read.parquet(paths["rows"]).withColumn("other_written", F.lit(wrote["none"]))
+
+
+def q_report_json(spark, sf):
+    """The quality report written as JSON and read back."""
+    from voltframe.operators.report import write_report_json
+    from voltframe.plans.stage import stage_path
+    report = q_quality_report(spark, sf)
+    path = stage_path(spark, stage_key("report_json", sf))
+    write_report_json(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
 _FINE = {"kde_by_period": {"density": 40, "density_common": 40},
          "kde_by_region": {"density": 40, "density_common": 40}}
 

@@ -33,6 +33,17 @@ DEMAND_PAGE = T.StructType([
 ])
 
 
+def bad_responses(df: DataFrame, schema: T.StructType, json_col: str = "body") -> DataFrame:
+    """The rows whose body gives no data: malformed JSON, an error body, or no ``data`` array.
+    Adds ``reason``; the rows that the parsers use are exactly the others."""
+    kept = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(json_col), kept, {"columnNameOfCorruptRecord": "_corrupt"})
+    data = F.col("_b.response.data") if "response" in schema.fieldNames() else F.col("_b.data")
+    reason = (F.when(F.col(json_col).isNull(), "empty").when(F.col("_b._corrupt").isNotNull() | F.col("_b").isNull(), "malformed")
+              .when(data.isNull(), "no data"))
+    return df.withColumn("_b", parsed).withColumn("reason", reason).where("reason IS NOT NULL").drop("_b")
+
+
 def nan_to_null(df: DataFrame, columns) -> DataFrame:
     """NaN -> NULL (Spark orders NaN above every number; pandas compares it false)."""
     return df.withColumns({c: F.when(F.isnan(F.col(c)), F.lit(None).cast("double")).otherwise(F.col(c))
@@ -97,11 +108,12 @@ def rename_if_present(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def process_demand(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``period -> timestamp`` (UTC), ``value -> demand_MW`` (lenient numeric),
+def process_demand(df: DataFrame, keep: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+    """``strict``: a period that is no time is an error, as in the source pipeline; else it becomes
+    a NULL time (count them before a resampling step drops them). P1: ``period -> timestamp`` (UTC), ``value -> demand_MW`` (lenient numeric),
     ``respondent -> balancing_authority``; keeps those three plus ``keep``."""
     d = rename_if_present(df, {"period": "timestamp", "value": "demand_MW",
                                "respondent": "balancing_authority"})
-    d = d.withColumns({"timestamp": parse_utc("timestamp"), "demand_MW": lenient_double("demand_MW")})
+    d = d.withColumns({"timestamp": parse_utc("timestamp", strict=strict), "demand_MW": lenient_double("demand_MW")})
     d = nan_to_null(d, ["demand_MW"])
     return d.select("timestamp", "balancing_authority", "demand_MW", *keep)
