@@ -1,4 +1,5 @@
-"""Operators: lazy ``DataFrame -> DataFrame`` functions (no actions, no UDFs)."""
+"""Operators: ``DataFrame -> DataFrame`` functions without UDFs; some size their plan by a small
+job when called (README, "Jobs at plan-build time")."""
 
 from voltframe.operators.asof import asof_nearest  # noqa: F401
 from voltframe.operators.daily import (  # noqa: F401
