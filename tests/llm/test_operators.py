@@ -360,6 +360,18 @@ def test_jaccard_against_brute_force(spark, seed):
     assert got == brute_components(rows)
 
 
+def test_jaccard_extended_copies(spark):
+    """A text and the same text continued, just over the threshold: every shared shingle is needed."""
+    rng, rows = random.Random(3), []
+    for i in range(0, 60, 2):
+        n = rng.choice([30, 120, 204, 340, 700, 1500])
+        words = [f"w{rng.randrange(10**7)}" for _ in range(n + 3 + n * 100 // 85 - n)]
+        rows += [(i, " ".join(words[:n + 3])), (i + 1, " ".join(words))]
+    got = sorted((tuple(r) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_components(rows)
+    assert [c for _, _, c in sorted(got)] == [i - i % 2 for i in range(60)]
+
+
 def test_jaccard_tiles(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE", 4)
     rows = near_copies(9)

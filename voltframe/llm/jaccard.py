@@ -207,14 +207,17 @@ def _leads(token: DataFrame) -> DataFrame:
     return token.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("top")).where("lead < top").select("token", "lead")
 
 
-def _fewest(live: DataFrame, need: DataFrame) -> DataFrame:
-    """Of each node's k shared shingles the k - need + 1 that the fewest nodes share; none if k < need.
-    (token, node) rows; a shingle that is left with one node is dropped."""
+def _sharing(live: DataFrame, need: DataFrame, prune: bool = False) -> DataFrame:
+    """The nodes that hold at least ``need`` shingles shared with others, with these shingles:
+    (token, node) rows. ``prune`` keeps, of a node's k shared shingles, only the k - need + 1 that
+    the fewest nodes hold. Of need shingles that a linked pair shares the least in that order is then
+    kept by both, but no second one need be: prune once, as the last step."""
     held = live.join(live.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "token").join(need, "node")
     mine = Window.partitionBy("node")
-    kept = (held.withColumn("k", F.count("*").over(mine)).withColumn("place", F.row_number().over(mine.orderBy("held", "token")))
-            .where("place <= k - need + 1").select("token", "node"))
-    return kept
+    kept = held.withColumn("k", F.count("*").over(mine)).where("k >= need")
+    if prune:
+        kept = kept.withColumn("place", F.row_number().over(mine.orderBy("held", "token"))).where("place <= k - need + 1")
+    return kept.select("token", "node")
 
 
 def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -239,8 +242,8 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
     token = rows.where("node IS NOT NULL").select("node", F.explode("tokens").alias("token"))
     live = cut_lineage(token.join(_leads(token).select("token"), "token").distinct(), "shared-shingles")
     need = rows.select("node", "need").distinct()
-    for _ in range(2):
-        live = cut_lineage(_fewest(live, need), "shared-shingles")
+    for prune in (False, True):
+        live = cut_lineage(_sharing(live, need, prune), "shared-shingles")
     member = cut_lineage(live.join(_leads(live), "token").select("lead", "node").distinct(), "blocks")
 
     # the sets of the nodes in blocks, made again from one text each
