@@ -17,9 +17,10 @@ first, so common lines and passages do not make blocks. The order affects the co
 link is lost.
 
 Equal sets are one node from the start, so exact copies cost nothing. A block of more than
-``TILE`` sets is split into tiles, and each pair of tiles is a group of its own; within a group
-pairs already connected are skipped, so a large group of near copies is linked by a few
-comparisons each instead of all pairs.
+``TILE`` sets is split into tiles, each joined together with the block's lead; then only sets not
+connected with the lead meet the whole block, again in groups of two tiles. Within a group pairs
+already connected are skipped. So a large group of near copies is shipped once or twice and linked by a
+few comparisons each, instead of all pairs.
 
 Nodes and shingles are 64-bit hashes (blake2b of the sorted set; a mixed polynomial of the
 words' bytes).
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
+from voltframe.llm.common import BROADCAST_ROWS, broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
 from voltframe.llm.components import components
 
 SHINGLE, PERCENT, SHARED = 4, 85, 24
@@ -151,14 +152,16 @@ class CountTree:
                 stack.extend((depth - 1, x, y) for y in range(max(x, j * FANOUT) if i == j else j * FANOUT, min((j + 1) * FANOUT, below)))
 
 
-def link(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Linked pairs (positions) that connect all links among ``sets`` (a spanning forest)."""
+def link(sets: list[np.ndarray], percent: int = PERCENT, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """Linked pairs (positions) that connect all links among ``sets`` (a spanning forest); sets
+    with the same ``known`` root count as connected."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     owner = np.repeat(np.arange(m), sizes)
     group = (np.concatenate(sets) & np.uint64(GROUPS - 1)).astype(np.int64)
     counts = np.bincount(owner * GROUPS + group, minlength=m * GROUPS).reshape(m, GROUPS).astype(np.int32)
-    parent = list(range(m))
+    at_root: dict[int, int] = {}
+    parent = [at_root.setdefault(r, i) for i, r in enumerate(known or range(m))]
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -256,28 +259,46 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
         return {"node": [node_of(s) for s in got], "shingles": [s.tobytes() for s in got]}
 
     sets = cut_lineage(map_batches(keyed.join(where, ["a", "b"]).select("text"), again, "node long, shingles binary").dropDuplicates(["node"]), "block-sets")
-    tiles = member.groupBy("lead").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    dealt = (member.join(tiles, "lead").withColumn("mine", mine)
-             .select("lead", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-             .select("lead", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-             .join(sets, "node"))
+    # a block is dealt in tiles, each with the block's lead
+    tiles = broadcast_if_small(cut_lineage(member.groupBy("lead").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1"), "tiles"))
+    tile = F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles"))).cast("int")
+    home = member.join(tiles, "lead", "left").select("lead", "node", tile.alias("i"), "tiles")
+    leads = tiles.select("lead", F.col("lead").alias("node"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"))
+    first = home.select("lead", "node", "i").unionByName(leads).distinct().withColumn("root", F.col("node"))
 
     def join_group(t: pa.Table) -> dict | None:
         nodes = t.column("node").to_pylist()
-        found = link([np.frombuffer(x, dtype=np.uint64) for x in t.column("shingles").to_pylist()], percent) if len(nodes) > 1 else []
+        found = link([np.frombuffer(x, dtype=np.uint64) for x in t.column("shingles").to_pylist()], percent, t.column("root").to_pylist()) if len(nodes) > 1 else []
         return {"a": [nodes[p] for p, _ in found], "b": [nodes[q] for _, q in found]} if found else None
 
-    edges = map_sorted_groups(dealt, ["lead", "i", "j"], join_group, "a long, b long")
-    roots = components(edges)
+    def links(groups: DataFrame, keys: list[str]) -> DataFrame:
+        return cut_lineage(map_sorted_groups(groups.join(sets, "node"), keys, join_group, "a long, b long"), "links")
+
+    edges = links(first, ["lead", "i"])
+    roots = cut_lineage(components(edges), "roots")
+    # what is not connected with its lead yet meets the whole block; two sets that both are need no comparison
+    told = home.where("tiles IS NOT NULL").join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    told = cut_lineage(told, "tiled")
+    told = told.join(broadcast_if_small(cut_lineage(told.where("node = lead").select("lead", F.col("root").alias("lead_root")), "lead-roots")), "lead")
+    late = told.where("root <> lead_root")
+    parts = cut_lineage(late.groupBy("lead").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "late-parts")
+    if parts.limit(1).count():
+        part = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int")
+        parts = broadcast_if_small(parts)
+        asked = late.join(parts, "lead").select("lead", "node", "root", part.alias("j"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"))
+        whole = told.join(parts, "lead").select("lead", "node", "root", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"), "i")
+        edges = edges.unionByName(links(asked.unionByName(whole).distinct(), ["lead", "i", "j"]))
+        roots = cut_lineage(components(edges), "roots")
+    roots = broadcast_if_small(roots)
     return rows.select("doc_id", "a", "b", "node", "n").join(roots, "node", "left").select("doc_id", "a", "b", "n", F.coalesce("root", "node").alias("root"))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, n_shingles, component_id, a row per row."""
     rows = cut_lineage(sets_and_components(docs, size, percent), "components")
-    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").select("root", "least")
+    least = broadcast_if_small(cut_lineage(least, "least-ids"))      # a row alone in its component is its own least
+    return rows.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -286,7 +307,8 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     ids = pick(docs, doc_id="long", text="string")
     rows = cut_lineage(sets_and_components(ids, size, percent).where("root IS NOT NULL"), "components")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b")
-    keeper = rows.groupBy("root").agg(F.min(row).alias("keep"))
+    keeper = rows.groupBy("root").agg(F.min(row).alias("keep"), F.count("*").alias("rows")).where("rows > 1").select("root", "keep")
+    keeper = broadcast_if_small(cut_lineage(keeper, "keepers"), BROADCAST_ROWS // 4)
     gone = cut_lineage(rows.join(keeper, "root").where(~row.eqNullSafe(F.col("keep"))).select(F.col("doc_id").alias("_voltframe_id"), F.col("a").alias("_voltframe_a"), F.col("b").alias("_voltframe_b")).distinct(), "near-copies")
     twice = cut_lineage(rows.groupBy("doc_id", "a", "b").count().where("count > 1").select(F.col("doc_id").alias("_voltframe_id"), F.col("a").alias("_voltframe_a"), F.col("b").alias("_voltframe_b")), "repeated-rows")
     keyed = docs.withColumns({"_voltframe_vid": F.col("doc_id").cast("long"), "_voltframe_va": F.xxhash64(F.col("text").cast("string")), "_voltframe_vb": F.xxhash64(F.lit(1), F.col("text").cast("string"))})
