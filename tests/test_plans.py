@@ -82,3 +82,20 @@ def test_asof_is_one_window_shuffle_without_join(spark):
     p = plan(asof_nearest(left, right, on="timestamp", right_cols=["demand_MW"], right_order=["row_id"]))
     assert "Join" not in p and "CartesianProduct" not in p
     assert p.count("Exchange hashpartitioning") == 2  # right-duplicate collapse + the (bucket) window
+
+
+@pytest.mark.parametrize("whole_days", [False, True])
+def test_event_window_bounds_reach_the_scan(spark, whole_days):
+    from voltframe.operators.event_windows import attach_events, event_windows, with_default_ids
+    e = td.load(spark, SF001, "events").withColumnRenamed("ts", "timestamp")
+    cat = event_windows(with_default_ids(td.hazard_catalog(spark)), buffer_days=0)
+    kw = dict(ts="timestamp", series_key="event_type", window_key="region", whole_days=whole_days)
+    out = attach_events(e, cat, **kw)
+    p = plan(out)
+    assert "GreaterThanOrEqual(ts,2024-01-06T" in p and "LessThanOrEqual(ts,2024-01-2" in p
+    lo, hi = ("to_date(window_lo)", "to_date(window_hi)") if whole_days else ("window_lo", "window_hi")
+    t = "to_date(timestamp)" if whole_days else "timestamp"
+    cond = f"event_type = region AND {t} >= {lo} AND {t} <= {hi}"
+    pairs = e.crossJoin(cat.select("region", "window_lo", "window_hi")).where(cond)   # three windows
+    assert out.count() == pairs.count() > 0
+    assert attach_events(e, cat.limit(0), **kw).count() == 0

@@ -8,7 +8,9 @@ Plan: each window is expanded to the calendar days it touches; the series is
 equi-joined on (region, day) and then filtered on the exact bounds. The window
 table is broadcast only after its row count is checked against a bound;
 otherwise it is a regular shuffle join on (region, day) that AQE can split
-when one region-day is hot.
+when one region-day is hot. The earliest and latest instant of all windows are
+read first (one row) and filter the series as literals, so a series read from
+files skips what lies outside them.
 """
 
 from __future__ import annotations
@@ -59,6 +61,21 @@ def map_regions(windows: DataFrame, region_map: Mapping[str, str] | None, region
     return windows.withColumn(out, F.coalesce(m[F.col(region)], F.col(region)))
 
 
+def within_bounds(series: DataFrame, windows: DataFrame, ts: str, whole_days: bool) -> DataFrame:
+    """Series rows from the first to the last instant any window covers, as literal bounds that
+    reach the scan (whole days: from the first day to the end of the last). Rows without a time are
+    in no window. One job at plan-build time: a one-row aggregate of the windows."""
+    lo, hi = F.min("window_lo"), F.max("window_hi")
+    if whole_days:
+        lo, hi = F.date_trunc("day", lo), F.date_trunc("day", hi) + F.expr("INTERVAL 1 DAY")
+    # through text, so that the bounds take the series' own timestamp type (session time zone)
+    first = windows.agg(lo.cast("string").alias("lo"), hi.cast("string").alias("hi")).first()
+    if first is None or first.lo is None:
+        return series.where(F.lit(False))
+    kind = series.schema[ts].dataType
+    return series.where((F.col(ts) >= F.lit(first.lo).cast(kind)) & (F.col(ts) <= F.lit(first.hi).cast(kind)))
+
+
 def attach_events(series: DataFrame, windows: DataFrame, *, ts: str, series_key: str | None,
                   window_key: str = "series_key", event_cols: Sequence[str] = ("event_id",),
                   whole_days: bool = False, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -73,9 +90,10 @@ def attach_events(series: DataFrame, windows: DataFrame, *, ts: str, series_key:
     wcols = [F.col(c) for c in event_cols] + [F.col("window_lo").alias("_wlo"), F.col("window_hi").alias("_whi")]
     if series_key is not None:
         wcols.append(F.col(window_key).alias("_wkey"))
-    wdays = windows.where(F.col("window_lo") <= F.col("window_hi")).select(*wcols, days.alias("_day"))
+    windows = windows.where(F.col("window_lo") <= F.col("window_hi"))
+    wdays = windows.select(*wcols, days.alias("_day"))
     wdays = broadcast_if_small(wdays, broadcast_max_rows)
-    s = series.withColumn("_day", F.to_date(F.col(ts)))
+    s = within_bounds(series, windows, ts, whole_days).withColumn("_day", F.to_date(F.col(ts)))
     cond = s["_day"] == wdays["_day"]
     if series_key is not None:
         cond = cond & (s[series_key] == wdays["_wkey"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +38,13 @@ def cleaning_metrics(*, raw: DataFrame, deduped: DataFrame, imputed_flag: tuple[
                      name: str = "all") -> DataFrame:
     """A14 counters: duplicates_removed, missing_imputed, outliers_corrected
     (impossible + capped), records_flagged (always 0, as in the source pipeline)."""
-    n_raw = raw.agg(F.count(F.lit(1)).alias("_a"))
-    n_dd = deduped.agg(F.count(F.lit(1)).alias("_b"))
-    imp = imputed_flag[0].agg(F.count_if(F.col(imputed_flag[1])).alias("_c"))
-    bad = impossible_flag[0].agg(F.count_if(F.col(impossible_flag[1])).alias("_d"))
-    out = outlier_flag[0].agg(F.count_if(F.col(outlier_flag[1])).alias("_e"))
-    one = n_raw.crossJoin(n_dd).crossJoin(imp).crossJoin(bad).crossJoin(out)
+    flags = zip((imputed_flag, impossible_flag, outlier_flag), ("_c", "_d", "_e"))
+    wanted = [(raw, F.count(F.lit(1)).alias("_a")), (deduped, F.count(F.lit(1)).alias("_b")),
+              *[(df, F.count_if(F.col(flag)).alias(out)) for (df, flag), out in flags]]
+    frames: dict[int, tuple[DataFrame, list]] = {}
+    for df, col in wanted:      # counters of the same frame share one aggregate
+        frames.setdefault(id(df), (df, []))[1].append(col)
+    one = reduce(DataFrame.crossJoin, [df.agg(*cols) for df, cols in frames.values()])
     return one.select(F.lit(name).alias("dataset"),
                       (F.col("_a") - F.col("_b")).alias("duplicates_removed"),
                       F.col("_c").alias("missing_imputed"),

@@ -40,12 +40,12 @@ class Cleaned:
     value: str
 
     def metrics(self, name: str = "all") -> DataFrame:
-        """Cleaning counters, read from the (checkpointed) corrected rows where possible:
-        imputation and nulling keep one row per de-duplicated record."""
+        """Cleaning counters: the raw count, and one aggregate over the capped rows (imputation,
+        nulling and capping keep one row per de-duplicated record and the earlier flags)."""
         v = self.value
-        return cleaning_metrics(raw=self.raw, deduped=self.corrected,
-                                imputed_flag=(self.corrected, f"{v}_is_interpolated"),
-                                impossible_flag=(self.corrected, "_impossible"),
+        return cleaning_metrics(raw=self.raw, deduped=self.capped,
+                                imputed_flag=(self.capped, f"{v}_is_interpolated"),
+                                impossible_flag=(self.capped, "_impossible"),
                                 outlier_flag=(self.capped, f"{v}_is_outlier"), name=name)
 
 
