@@ -94,6 +94,22 @@ def test_rolling_and_lags_match_pandas(spark, chunk):
         same(list(out[f"value_lag_{k}"]), list(pdf["value"].shift(k)))
 
 
+@pytest.mark.parametrize("chunk", [8, 4096])
+@pytest.mark.parametrize("least", [None, 1, 3])
+def test_rolling_odd_values_match_pandas(spark, chunk, least):
+    """Constant stretches on a large level, gaps, NaN and an infinity (both missing)."""
+    vals = np.r_[np.full(30, 1e6), np.full(12, np.nan), np.full(20, 1e6 + 0.1), np.arange(20.0), [np.inf], np.full(9, 0.1), [np.nan] * 3, np.full(15, 0.1)]
+    sdf = spark.createDataFrame([(T0 + timedelta(minutes=15 * i), None if i % 2 and np.isnan(v) else float(v)) for i, v in enumerate(vals)],
+                                "timestamp timestamp_ntz, value double")
+    out = series_features(sdf, value="value", windows_hours=(2,), lags=(), chunk_rows=chunk, min_periods=least) \
+        .toPandas().sort_values("timestamp").reset_index(drop=True)
+    s = pd.Series(np.where(np.isinf(vals), np.nan, vals))
+    windows = [s[max(0, i - 4):i + 4].dropna() for i in range(len(s))]
+    need = 8 if least is None else least
+    same(list(out.value_rolling_mean_2h), [w.mean() if len(w) >= need else np.nan for w in windows])
+    same(list(out.value_rolling_std_2h), [w.std() if len(w) >= max(need, 2) else np.nan for w in windows])
+
+
 def test_cumsum_matches_pandas(spark):
     pdf = random_series(9).drop_duplicates(subset=["timestamp"])
     exp = pdf.sort_values(["timestamp", "row_id"])["value"].cumsum()

@@ -5,6 +5,10 @@ is a slot, so the slot index is the position and the frames run chunk-wise
 through ``halo_windows`` (no per-series partition). For a series that is not a
 complete grid pass ``pos`` naming a dense 0-based position column (see
 ``sequence.dense_positions``).
+
+Each frame is aggregated anew (moments of its own values only): differences of running
+totals would cost less per row, but lose the digits of a calm stretch in a chunk that
+also holds values on a far higher level.
 """
 
 from __future__ import annotations
@@ -28,7 +32,8 @@ def centred_frame(n: int) -> tuple[int, int]:
 
 def _rolling_cols(w: Window, value: str, windows_hours: Sequence[int], rows_per_hour: int,
                   min_periods: int | None) -> dict:
-    v = F.col(value)
+    x = F.col(value).cast("double")
+    v = F.when(F.abs(x) < float("inf"), x)      # NaN and infinities are missing, as in pandas' rolling
     cols = {}
     for h in windows_hours:
         n = int(h) * rows_per_hour
