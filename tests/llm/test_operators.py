@@ -149,6 +149,28 @@ def test_what_is_not_valid_stays(text):
     assert pii.protect(text) == (text, [])
 
 
+@pytest.mark.parametrize("value", ["GB29 NWBK 6016 1331 9268 19", "NL91 ABNA 0417 1643 00", "IE29 AIBK 9311 5212 3456 78", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "SC18 SSCB 1101 0000 0000 0000 1497 USD",
+                                   "BE68 5390 0754 7034", "GB29NWBK60161331926819"])
+def test_spaced_ibans_are_one_value(value):
+    for before, after in (("", ""), ("IBAN: ", "."), ("pay (", ") now"), ("", " EUR"), ("", " EURO 2024"), ("\u53f7", "\u3002"), ("TO AB12 ", " AND MORE")):
+        text = before + value + after
+        out, kinds = pii.protect(text)
+        new = out[len(before):len(out) - len(after)]
+        assert kinds == ["iban"] and out == before + new + after and new == pii.pseudonym("iban", value) != value, text
+        assert pii.protect(out, inverse=True)[0] == text
+    assert pii.protect(f"{value} 4111 1111 1111 1111")[1] == ["iban", "card"]
+
+
+def test_groups_that_are_no_iban_hide_no_card():
+    assert pii.protect("AB12 CODE 4111 1111 1111 1111")[1] == pii.protect("AB12 4111 1111 1111 1111")[1] == ["card"]
+
+
+@pytest.mark.parametrize("value", [*VALUES[:10], "GB29 NWBK 6016 1331 9268 19"])
+def test_values_between_letters_of_other_scripts(value):
+    out, kinds = pii.protect(f"\u4e2d{value}\u6587")
+    assert len(kinds) == 1 and value not in out and pii.protect(out, inverse=True)[0] == f"\u4e2d{value}\u6587"
+
+
 def test_permutation_is_one():
     for size in (1, 2, 10, 97, 1000):
         moved = [pii.permute(x, size, b"k", "t") for x in range(size)]

@@ -33,8 +33,10 @@ KEY = b"voltframe-demo-key"
 ROUNDS = 8
 KINDS = ("email", "iban", "card", "ssn", "date", "ip", "phone", "secret")
 
-#: Stretches that may hold a value: words with a digit or @, and following words with a digit.
-_HOT = re.compile(r"(?<!\S)[^\s0-9@]*[0-9@]\S*(?:[ \t]+[^\s0-9@]*[0-9]\S*)*")
+#: Stretches that may hold a value: words with a digit or @, and following words with a digit or
+#: of up to four capitals (an IBAN's groups may be letters only).
+_HOT = re.compile(r"(?<!\S)[^\s0-9@]*[0-9@]\S*(?:[ \t]+(?:[^\s0-9@]*[0-9]\S*|[A-Z]{1,4}(?![A-Za-z])\S*))*")
+#: ASCII classes: a letter of another script beside a value is no part of it.
 _VALUE = re.compile(r"""
   (?P<email>(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![A-Za-z0-9]))
  |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
@@ -43,7 +45,12 @@ _VALUE = re.compile(r"""
  |(?P<date>(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![\w]|[./-][0-9]))
  |(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9]))
  |(?P<phone>(?<![\w.])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![\w]|[.-][0-9]))
-""", re.X)
+""", re.X | re.A)
+#: The length of an IBAN by its country.
+_IBAN_LENGTH = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+    "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA "
+    "30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for c in cs.split(",")}
 _SECRET_HINTS = ("AKIA", "ASIA", "password", "passwd", "token", "secret", "key", "Password", "PASSWORD", "Token", "TOKEN", "Secret", "SECRET", "Key", "KEY")
 _SECRET = re.compile(r"""(?P<head>(?<![A-Za-z0-9])(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))
  |(?i:(?<![A-Za-z0-9])(?:[a-z]+[_-])*(?:password|passwd|token|secret|key)["']?[ ]?[=:][ ]?["']?(?=[^\s"']*[0-9])))(?P<body>[^\s"',;]{6,})""", re.X)
@@ -114,9 +121,27 @@ def _email(v, key, inv):
     return _chars(name, key, "email-name", inv) + "@" + ".".join([*(_chars(x, key, "email-host", inv) for x in labels[:-1]), labels[-1]])
 
 
+def _is_iban(c: str) -> bool:
+    return 15 <= len(c) <= 34 and c[2:4] == _iban_check(c[:2], c[4:])
+
+
+def _registered(v: str) -> str | None:
+    """The valid IBAN of its country's length that the groups ``v`` begin with."""
+    starts = (v[:m.end()] for m in re.finditer("[A-Z0-9]+", v))
+    return next((s for s in starts if len(c := s.replace(" ", "")) == _IBAN_LENGTH.get(v[:2]) and _is_iban(c)), None)
+
+
+def _iban_of(v: str) -> str | None:
+    """The IBAN that the groups ``v`` begin with: of its country's length; else, if no later group
+    begins such a one, any that is all of them or those before the first of letters only."""
+    if (known := _registered(v)) or any(_registered(v[m.end():]) for m in re.finditer(" (?=[A-Z]{2}[0-9]{2})", v)):
+        return known
+    return next((s for s in (v, re.match("[A-Z0-9]+(?: [A-Z]*[0-9][A-Z0-9]*)*", v).group()) if _is_iban(s.replace(" ", ""))), None)
+
+
 def _iban(v, key, inv):
     c = v.replace(" ", "")
-    if not 15 <= len(c) <= 34 or c[2:4] != _iban_check(c[:2], c[4:]):
+    if not _is_iban(c):
         return None
     rest = _chars(c[4:], key, "iban" + c[:2], inv)
     return _fill(v, c[:2] + _iban_check(c[:2], rest) + rest)
@@ -195,14 +220,22 @@ def protect(text: str, key: bytes = KEY, inverse: bool = False) -> tuple[str, li
     """The text with every valid value replaced, and the kinds replaced."""
     found: list[str] = []
 
-    def value(m: re.Match) -> str:
-        new = pseudonym(m.lastgroup, m.group(), key, inverse)
-        if new is not None:
-            found.append(m.lastgroup)
-        return m.group() if new is None else new
+    def stretch(hot: re.Match) -> str:
+        s, out, at, start = hot.group(), [], 0, 0
+        while m := _VALUE.search(s, start):
+            kind = m.lastgroup
+            old = _iban_of(m.group()) if kind == "iban" else m.group()
+            new = old and pseudonym(kind, old, key, inverse)
+            if new is None:
+                start = m.start() + 4 if kind == "iban" else m.end()      # what follows an IBAN's head may be another value
+            else:
+                found.append(kind)
+                out += [s[at:m.start()], new]
+                at = start = m.start() + len(old)
+        return "".join([*out, s[at:]])
 
     def values(part: str) -> str:
-        return _HOT.sub(lambda m: _VALUE.sub(value, m.group()), part)
+        return _HOT.sub(stretch, part)
 
     out, at = [], 0
     for m in _SECRET.finditer(text) if any(h in text for h in _SECRET_HINTS) else ():
