@@ -114,6 +114,21 @@ def test_decontamination_against_brute_force(spark):
         assert got[i].contaminated == (hit > 0 and 20 * hit >= n)
 
 
+def test_decontamination_with_items_of_every_length(spark):
+    """Items of K words beside longer ones: 8 words shared with a long item are no hit."""
+    rng = random.Random(4)
+    item = {n: [f"w{n}x{j}" for j in range(n)] for n in (1, 2, 3, 7, 8, 9, 12, 13, 14, 20, 40)}
+    items = [(n, " ".join(w)) for n, w in item.items()] + [(50 + i, " ".join(rng.choice("abc") for _ in range(n))) for i, n in enumerate((8, 8, 13, 20))]
+    texts = ["u v " + " ".join(w[s:s + n]) + " y z" for w in item.values() for n in (7, 8, 9, 12, 13) for s in (0, 3)]
+    texts += [" ".join(rng.choice("abc") for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs, bench).collect()}
+    for i, t in enumerate(texts):
+        assert (got[i].n_words, got[i].n_hit, got[i].n_items) == brute_hits(t, items), t
+    assert decontaminate.clean(docs, bench).count() == sum(20 * hit < n or not hit for n, hit, _ in (brute_hits(t, items) for t in texts))
+
+
 def test_decontamination_plan_is_native(spark):
     plan = ent.queries()["op2_decontaminate"](spark, SF001)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

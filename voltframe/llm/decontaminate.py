@@ -129,9 +129,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         small = broadcast_if_small(met, BROADCAST_ROWS // 8)
         again = _hashed(docs.select("text").withColumn("_key", _text_key()).join(small, "_key"))
         found = reduce(DataFrame.unionByName, [_located(again, k, w, lambda g: F.col("fs"), ["_key"]) for k, w in kinds])
-        theirs = broadcast_if_small(index.select("f", "item_id", *[F.col(c).alias(f"i_{c}") for c in ("mid", "left", "right")]), BROADCAST_ROWS // 8)
+        theirs = broadcast_if_small(index.select("f", "need", "item_id", *[F.col(c).alias(f"i_{c}") for c in ("mid", "left", "right")]), BROADCAST_ROWS // 8)
         before, after = _same("left", "i_left"), _same("right", "i_right")
-        spans = (found.join(theirs, "f").where(F.col("mid") == F.col("i_mid"))
+        # need is part of the key: 8-grams of items of 8 words and of longer ones have the same hashes
+        spans = (found.join(theirs, ["f", "need"]).where(F.col("mid") == F.col("i_mid"))
                  .select("_key", "item_id", "k", "need", "pos", before.alias("before"), after.alias("after"))
                  .where(F.col("before") + F.col("k") + F.col("after") >= F.col("need"))
                  .select("_key", "item_id", (F.col("pos") - F.col("before")).alias("lo"), (F.col("pos") + F.col("k") + F.col("after") - 1).alias("hi")))
