@@ -309,6 +309,34 @@ def test_html_odd_pages(boosted):
     assert len(out) == 10 and out[0] == out[1] == out[3] == out[4] == out[8] == "" and out[2] == "just text & more"
 
 
+_FIRST, _REST = "<article><h1>Fish</h1><p>The first paragraph of the story, which is long enough, tells of fish.</p>", "<p>The second one tells of chips, salt and vinegar, and goes on for a while, too.</p></article>"
+_WHOLE = "Fish\n\nThe first paragraph of the story, which is long enough, tells of fish.\n\nThe second one tells of chips, salt and vinegar, and goes on for a while, too."
+
+
+@pytest.mark.parametrize("inner", ["<svg viewBox='0 0 1 1'/>", "<svg/>", "<math/>", "<svg><title/><path d='M0'/><style/></svg>", "<select><option>", "<select><option>a<option>b", "<object data='x'>", "<canvas>", "<noscript>", "<template>", "<svg>",
+                                   "<template><template>x</template>y</template>", "<select><option>a</option><option>b</select>", "<script>'<select>'</script>", "<template><select></template>"])
+def test_html_reads_past_what_is_not_closed(inner):
+    """An element closed by itself, never closed, or nested cuts nothing behind it; what is skipped ends with it."""
+    page = htmltext.Page(_FIRST + inner + _REST + "<footer>&copy;</footer>")
+    article = [p for p, t in enumerate(page.tag) if t == "article"][0]
+    inside = [n in (0, article) or page.parent[n] == article for n in range(len(page.tag))]
+    text = page.blocks([i and page.tag[n] != "option" for n, i in enumerate(inside)])
+    assert text == _WHOLE
+
+
+def test_html_keeps_text_of_math_and_nodes():
+    page = htmltext.Page("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p><noscript><p>Plain.</p></noscript><object><object><p>In</p></object><p>Out</p></object><canvas>Drawn</canvas></article>")
+    assert page.blocks([True] * len(page.tag)) == "So x=2 holds.\n\nPlain.\n\nIn\n\nOut\n\nDrawn"
+    drawn = htmltext.Page("<p>a <svg><g><path d='M0'/><circle></circle></g><g><text>label</text></g></svg> b</p>")
+    assert drawn.tag == ["#", "p", "svg", "text"] and drawn.blocks([True] * 4) == "a label b"
+    assert {"noscript", "object", "canvas"} <= set(page.tag) and "math" not in page.tag
+
+
+def test_html_many_unclosed_elements(boosted):
+    out = htmltext.extract(["<p>x" + "<select><svg><template>" * 20000 + "<p>y", _FIRST + "<svg class='i'/>" + _REST, _FIRST + "<noscript>" + _REST], boosted)
+    assert out[1] == out[2] == _WHOLE
+
+
 def test_html_query(spark, tmp_path, boosted):
     pages = spark.createDataFrame([(1, "http://a/", PAGE), (1, "http://a/", PAGE), (None, None, None), (3, "http://b/", "")], "page_id long, url string, html string")
     got = htmltext.query(spark, folder(spark, tmp_path, pages=pages)).collect()

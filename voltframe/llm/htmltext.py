@@ -15,8 +15,10 @@ are known (menus, headers, footers, sidebars, notices, adverts, forms, reader co
 without telling tags and classes). No sampled page: a built-in text.
 
 Text: character references decoded; white space within a block is one space; blocks trimmed,
-joined by a blank line, in page order; script, style, template, noscript, title, textarea, select
-and the like never are text. A tag or comment cut off by the end of the page is markup.
+joined by a blank line, in page order; script, style, title, textarea, iframe and the like, up to
+their end tag or the end of the page, and a template or select that has its end tag never are text.
+svg, object, canvas and noscript are nodes like others; the text of math is its surroundings'. One
+of these without an end tag is markup only. A tag or comment cut off by the end of the page is markup.
 
 Defined results: NULL or empty html gives the empty text; a page without elements gives its plain
 text; repeated rows get a row each; a NULL page_id or url stays NULL; an empty table gives no rows.
@@ -40,7 +42,14 @@ TRAIN_PAGES, VARIANTS = 200, 6
 
 #: HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object select canvas xmp noembed noframes".split())
+RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
+#: Elements that may hold elements of their own kind: those skipped whole, and nodes if they have an end tag.
+SKIPPED, PAIRED = frozenset(("template", "select")), frozenset(("template", "select", "svg", "object", "canvas", "noscript"))
+CHOICES = frozenset(("option", "optgroup"))
+#: What may hold text in svg; its other elements (shapes, groups) are no nodes.
+SVG_TEXT = frozenset(("svg", "text", "foreignobject", "desc", "a"))
+#: MathML: no nodes, their text is that of the node around.
+MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody tfoot thead tr ul caption".split())
 #: An opening tag closes an open element of these first, up to the nearest of the second set.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -58,6 +67,11 @@ _WORD = re.compile(r"[A-Za-z]+|[0-9]+")
 _POINTS = re.compile(r"[.,;:!?]")
 
 
+def _raw_end(html: str, tag: str, pos: int) -> int:
+    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, pos)
+    return end.end() if end else len(html)
+
+
 class Page:
     """Element nodes of one page (node 0 is the document) and its pieces of text."""
 
@@ -84,8 +98,26 @@ class Page:
         self.told.append(told)
         return len(self.tag) - 1
 
+    @staticmethod
+    def _pairs(html: str, pos: int) -> dict[int, int]:
+        """From behind the opening tag to behind the end tag, for each PAIRED element from ``pos`` on
+        that has one; an end tag is that of the nearest open element of its kind."""
+        found, started = {}, {t: [] for t in PAIRED}
+        while m := _MARKUP.search(html, pos):
+            pos = m.end()
+            tag = (m[2] or "").lower()
+            if tag in PAIRED:
+                if not m[1]:
+                    if not m[3].endswith("/"):
+                        started[tag].append(pos)
+                elif started[tag]:
+                    found[started[tag].pop()] = pos
+            elif tag in RAW and not m[1] and not (started["svg"] and m[3].endswith("/")):
+                pos = _raw_end(html, tag, pos)
+        return found
+
     def _read(self, html: str) -> None:
-        stack, pos = [0], 0
+        stack, pos, pairs = [0], 0, None
         while True:
             m = _MARKUP.search(html, pos)
             piece = html[pos:m.start() if m else len(html)]
@@ -105,12 +137,20 @@ class Page:
                     self.block += 1
                 elif tag in ("br", "td", "th"):
                     self.text.append((stack[-1], self.block, " "))
-                if tag in VOID:
+                if tag in VOID or tag in MATH:
                     continue
                 if tag in RAW:
-                    end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, pos)
-                    pos = end.end() if end else len(html)
+                    if not (m[3].endswith("/") and any(self.tag[i] == "svg" for i in stack)):     # within svg a tag may close itself
+                        pos = _raw_end(html, tag, pos)
                     continue
+                if self.tag[stack[-1]] == "svg" and tag not in SVG_TEXT and tag not in BLOCKS:
+                    continue
+                if tag in PAIRED and not m[3].endswith("/"):
+                    if pairs is None:
+                        pairs = self._pairs(html, m.start())
+                    if tag in SKIPPED or pos not in pairs:
+                        pos = pairs.get(pos, pos)
+                        continue
                 node = self._open(tag, m[3], stack[-1])
                 if not m[3].endswith("/") or tag in BLOCKS:
                     stack.append(node)
@@ -121,6 +161,9 @@ class Page:
                 if self.tag[stack[i]] == "p":
                     del stack[i:]
                     break
+                if self.tag[stack[i]] in CHOICES and tag not in CHOICES:      # and an open choice
+                    del stack[i:]
+                    continue
                 if self.tag[stack[i]] in BLOCKS or self.tag[stack[i]] in ("td", "th"):
                     break
         if tag in CLOSES:
