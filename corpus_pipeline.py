@@ -1,7 +1,8 @@
 """Corpus pipeline: documents through five stages, each written as Parquet and read again.
 
 1. language: documents that language identification rejects (``und``: NULL, or without a letter) go;
-2. near_copies: of each component of the n-gram Jaccard join one document stays;
+2. near_copies: of each component of the n-gram Jaccard join one document stays; op8_jaccard's
+   contract is applied (4 words, 0.85), not 5 words and 0.8;
 3. decontaminate: documents that contain enough of a benchmark item go;
 4. pii: personal data are replaced by format-preserving pseudonyms;
 5. mix: documents are drawn by probabilities calibrated to target shares.
