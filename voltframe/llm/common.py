@@ -17,6 +17,8 @@ from voltframe.session import cut_lineage
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: Rows up to which a side with fixed-width rows (a few dozen bytes each) may be broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a side of any width may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -102,6 +104,14 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def broadcast_if_light(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """As ``broadcast_if_small``, for rows of any width: texts and arrays are measured too."""
+    wide = [F.octet_length(F.col(f"`{c}`").cast("string")) for c, t in df.dtypes if t in ("string", "binary") or t.startswith("array")]
+    width = sum((F.coalesce(w, F.lit(0)).cast("long") for w in wide), F.lit(8 * len(df.columns)).cast("long"))
+    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
+    return F.broadcast(df) if seen.n <= rows and (seen.bytes or 0) <= size else df
+
+
 def bounded_sample(df: DataFrame, keys: list[str], rows: int, seed: int) -> DataFrame:
     """About ``rows`` rows (all of them, if fewer), chosen by a hash of ``keys``."""
     n = df.count()

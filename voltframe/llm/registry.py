@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from voltframe.llm import ann, decontaminate, htmltext, jaccard, language, mixing, pii, quality, urlfilter, warc
+from voltframe.llm import ann, decontaminate, divergence, htmltext, jaccard, language, mixing, pii, quality, tokenalign, topk, urlfilter, warc
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_jaccard": jaccard.query,
     "op9_urls": urlfilter.query,
     "op10_warc": warc.query,
+    "op11_tokenalign": tokenalign.query,
+    "op12_divergence": divergence.query,
+    "op13_topk": topk.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,6 +28,8 @@ ORACLE: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op8_jaccard": jaccard.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op12_divergence": divergence.ORACLE_SQL,
+    "op13_topk": topk.ORACLE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
