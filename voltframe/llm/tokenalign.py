@@ -31,6 +31,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from voltframe.llm.common import cut_lineage, pick, table
 
 FOLDER, FILE_A, FILE_B = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Tokens of a lane, characters of a slice, characters of one lockstep batch, pieces remembered.
-LANE, SLICE, BATCH, REMEMBERED = 512, 1 << 18, 1 << 22, 200_000
+LANE, SLICE, BATCH, REMEMBERED = 256, 1 << 18, 1 << 20, 300_000
 #: Pairs broadcast at most: those that hold at least this fraction of all (document, pair) rows.
 FREQUENT = 200_000
 
@@ -86,6 +87,23 @@ class Pair:
             out.append((a.ids, b, b"".join(map(self.bytes_a.__getitem__, a.ids)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want))
         return out
 
+    def joined(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """For pieces that end in a non-space: A's and B's ids and how many each piece has, from one
+        text of all of them; None if that text's bytes are not kept."""
+        text = " ".join(parts)
+        want, out = b" " + text.encode(), []
+        ends = np.cumsum([1 + len(p.encode()) for p in parts])
+        for ids, names in ((self.a.encode(" " + text, add_special_tokens=False).ids, self.bytes_a), (self.b.encode(text), self.bytes_b)):
+            words = list(map(names.__getitem__, ids))
+            if b"".join(words) != want:
+                return None
+            at = np.cumsum(list(map(len, words)))
+            last = np.searchsorted(at, ends)
+            if (at[last] != ends).any():
+                return None
+            out.append((np.array(ids, np.int32), np.diff(last, prepend=-1)))
+        return out
+
 
 def pieces(text: str) -> Iterator[list[str]]:
     """The text as slices of pieces: cut before each space that follows a non-space, the space left
@@ -103,24 +121,27 @@ def pieces(text: str) -> Iterator[list[str]]:
 
 
 class Ragged:
-    """Growing rows of numbers, read many at a time."""
+    """Rows of numbers in one growing array, read many at a time."""
 
     def __init__(self):
-        self.rows: list[list[int]] = []
-        self._flat = None
-
-    def add(self, row) -> None:
-        self.rows.append(row)
-        self._flat = None
+        self.values, self.first, self.size = np.zeros(1 << 10, np.int32), np.zeros(1 << 8, np.int64), np.zeros(1 << 8, np.int32)
+        self.rows = self.used = 0
+
+    def extend(self, new: np.ndarray, size: np.ndarray) -> None:
+        total = self.rows + len(size)
+        for name, need in (("values", self.used + len(new)), ("first", total), ("size", total)):
+            old = getattr(self, name)
+            if need > len(old):
+                setattr(self, name, np.concatenate([old, np.zeros(need, old.dtype)]))
+        self.values[self.used:self.used + len(new)] = new
+        self.first[self.rows:total] = self.used + np.cumsum(size) - size
+        self.size[self.rows:total] = size
+        self.rows, self.used = total, self.used + len(new)
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows ``at`` joined, and each one's length."""
-        if self._flat is None:
-            size = np.fromiter(map(len, self.rows), np.int64, len(self.rows))
-            self._flat = np.fromiter((v for r in self.rows for v in r), np.int64, int(size.sum())), size, np.cumsum(size) - size
-        values, size, first = self._flat
-        n = size[at]
-        return values[np.repeat(first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+        n = self.size[at].astype(np.int64)
+        return self.values[np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())].astype(np.int64), n
 
 
 def merge(first_a, end_a, first_b, end_b, ends_a: np.ndarray, ends_b: np.ndarray):
@@ -182,16 +203,29 @@ class Aligner:
         start = 0
         while start < len(new):
             stop, size = start, 0
-            while stop < len(new) and (stop == start or size + len(new[stop]) < 1 << 20):
+            while stop < len(new) and (stop == start or size + len(new[stop]) < 1 << 17):
                 size += len(new[stop])
                 stop += 1
-            for p, (a, b, good) in zip(new[start:stop], self.pair.tokens(new[start:stop])):
-                self.place[p] = len(self.good)
-                self.ids_a.add(a)
-                self.ids_b.add(b)
-                self.good.append(good)
+            plain = [self.pair.in_pieces and not p[-1:].isspace() and p != "" for p in new[start:stop]]
+            for kind in (True, False):
+                self._add([p for p, is_plain in zip(new[start:stop], plain) if is_plain == kind], kind)
             start = stop
 
+    def _add(self, new: list[str], plain: bool) -> None:
+        if not new:
+            return
+        made = self.pair.joined(new) if plain else None
+        if made:
+            good = [True] * len(new)
+        else:
+            rows = self.pair.tokens(new)
+            good = [r[2] for r in rows]
+            made = [(np.array([i for r in rows for i in r[k]], np.int32), np.array([len(r[k]) for r in rows])) for k in (0, 1)]
+        self.place.update(zip(new, range(len(self.good), len(self.good) + len(new))))
+        self.ids_a.extend(*made[0])
+        self.ids_b.extend(*made[1])
+        self.good += good
+
     def align(self, texts: list[str | None]) -> Iterator[dict]:
         """One dict per text, in order."""
         if len(self.place) > REMEMBERED:
@@ -202,8 +236,7 @@ class Aligner:
             if not text:
                 continue
             for part in pieces(text) if self.pair.in_pieces else [[text]]:
-                self.learn(part)
-                held.append((i, np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))))
+                held.append((i, part))
                 size += sum(map(len, part)) + len(part)
                 if size >= BATCH:
                     self._fold(held, out)
@@ -222,8 +255,10 @@ class Aligner:
                 r["pairs"] = pair, np.bincount(at, np.concatenate([n for _, n in r["pairs"]])).astype(np.int64)
         return iter(out)
 
-    def _fold(self, held: list[tuple[int, np.ndarray]], out: list[dict]) -> None:
+    def _fold(self, read: list[tuple[int, list[str]]], out: list[dict]) -> None:
         """Merges slices of texts (index, pieces) and adds what they give to their texts."""
+        self.learn(list(chain.from_iterable(part for _, part in read)))
+        held = [(i, np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))) for i, part in read]
         good = np.array(self.good, bool)
         bad = {i for i, at in held if not good[at].all()}
         for i in bad:
