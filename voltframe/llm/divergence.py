@@ -29,17 +29,19 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import broadcast_if_light, cut_lineage, map_batches, map_sorted_groups, pick, table
+from voltframe.llm.common import broadcast_if_light, cut_lineage, map_sorted_groups, pick, table
 
 LEAST_DOCS, ALPHA, ONE, TOP = 30, 5, 1_000_000_000, 50
-#: Counts that one range of terms holds, about, and places of one task's accumulators.
-RANGE, CELLS = 1 << 18, 1 << 22
+#: Counts that a task holds before it emits them, counts that one range of terms holds at least,
+#: about, and places of one task's accumulators.
+HELD, RANGE, CELLS = 200_000, 1 << 16, 1 << 22
 
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,22 +51,34 @@ def terms(text: str) -> list[str]:
     return _TERM.findall(text.translate(_LOWER))
 
 
-def count_batch(b: pa.RecordBatch) -> dict:
-    """Occurrences and documents per (lang, source, term) of a batch; a NULL term per group."""
-    n, docs = defaultdict(Counter), defaultdict(Counter)
-    for lang, source, text in zip(*[b.column(c).to_pylist() for c in ("lang", "source", "text")]):
-        of_text = Counter(terms(text))
-        n[lang, source].update(of_text)
-        docs[lang, source].update(of_text.keys())
-    rows = [(lang, source, None, 0, 0) for lang, source in n]
-    rows += [(lang, source, t, c, docs[lang, source][t]) for (lang, source), of in n.items() for t, c in of.items()]
-    return dict(zip(("lang", "source", "term", "n", "docs"), map(list, zip(*rows))))
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences and documents per (lang, source, term), added up over a task's batches and emitted
+    whenever ``HELD`` counts are held; a NULL term per group."""
+    n, docs, held = defaultdict(Counter), defaultdict(Counter), 0
+
+    def emit() -> pa.RecordBatch:
+        rows = [(*g, None, 0, 0) for g in n] + [(*g, t, c, docs[g][t]) for g, of in n.items() for t, c in of.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.string()] * 3 + [pa.int64()] * 2)], names=["lang", "source", "term", "n", "docs"])
+
+    for b in batches:
+        for lang, source, text in zip(*[b.column(c).to_pylist() for c in ("lang", "source", "text")]):
+            words, of_group = terms(text), n[lang, source]
+            held -= len(of_group)
+            of_group.update(words)
+            held += len(of_group)
+            docs[lang, source].update(set(words))
+            if held > HELD:
+                yield emit()
+                n.clear(), docs.clear()
+                held = 0
+    if n:
+        yield emit()
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """lang, source, term, n, docs; a row with a NULL term for each group that occurs."""
     read = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    part = map_batches(read, count_batch, "lang string, source string, term string, n long, docs long")
+    part = read.mapInArrow(count_batches, "lang string, source string, term string, n long, docs long")
     return part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -128,7 +142,7 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, range_s
     by_name, whole = Window.partitionBy("lang").orderBy("source"), Window.partitionBy("lang")
     groups = (counts.where("term is null").select("lang", "source").join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
               .na.fill(0, ["total", "used", "v", "lang_total"]).withColumn("at", F.row_number().over(by_name) - 1).withColumn("peers", F.count("*").over(whole)))
-    groups = groups.withColumn("ranges", F.ceil(F.greatest(F.sum("used").over(whole), F.lit(1)) / range_size).cast("int"))
+    groups = groups.withColumn("ranges", F.ceil(F.greatest(F.sum("used").over(whole), F.lit(1)) / F.greatest(F.lit(range_size), F.col("peers") * F.col("peers"))).cast("int"))
     groups = groups.withColumn("row_blocks", F.ceil(F.col("peers") * F.col("peers") / cells).cast("int"))
     groups = cut_lineage(groups.withColumn("base", F.when(F.col("v") > 0, share("0", "total", "greatest(v, 1)")).otherwise(0)), "groups")
 
