@@ -7,12 +7,31 @@ inequality joins. Double columns are snapped to multiples of 2**-20 (as the Spar
 
 from __future__ import annotations
 
-from voltframe.functions.columns import inv_norm_cdf_sql
+from voltframe.functions.columns import _ACKLAM_A, _ACKLAM_B, _ACKLAM_C, _ACKLAM_D, _ACKLAM_P_LOW
 
 S, E = "TIMESTAMP '2024-01-15 00:00:00'", "TIMESTAMP '2024-01-19 00:00:00'"
 D_LO, D_HI = "DATE '2024-01-15'", "DATE '2024-01-18'"
 
 
+def inv_norm_cdf_sql(p: str) -> str:
+    """The same approximation as SQL text (used by the DuckDB oracle)."""
+    def horner(x, coeffs):
+        acc = f"CAST({coeffs[0]!r} AS DOUBLE)"
+        for c in coeffs[1:]:
+            acc = f"({acc} * {x} + CAST({c!r} AS DOUBLE))"
+        return acc
+    a, b, c, d = _ACKLAM_A, _ACKLAM_B, _ACKLAM_C, _ACKLAM_D
+    qlo = f"sqrt(-2.0 * ln({p}))"
+    qhi = f"sqrt(-2.0 * ln(1.0 - {p}))"
+    q = f"({p} - 0.5)"
+    r = f"({q} * {q})"
+    lower = f"({horner(qlo, c)} / ({horner(qlo, d)} * {qlo} + 1.0))"
+    upper = f"(-{horner(qhi, c)} / ({horner(qhi, d)} * {qhi} + 1.0))"
+    central = f"({horner(r, a)} * {q} / ({horner(r, b)} * {r} + 1.0))"
+    return (f"(CASE WHEN {p} < {_ACKLAM_P_LOW!r} THEN {lower} "
+            f"WHEN {p} > {1.0 - _ACKLAM_P_LOW!r} THEN {upper} ELSE {central} END)")
+
+
 def rnd(cols, q, bits=20, fine=None):
     fine = fine or {}
     if not cols:
@@ -590,3 +609,91 @@ def _q():
 
 
 ORACLE = _q()
+
+# ------------------------------------------------------------------ events, signatures, planted NaN
+
+EM_N = """em_n AS (SELECT * REPLACE (CASE WHEN row_id % 31 = 0 THEN NULL ELSE value END AS value) FROM em_raw)"""
+
+RUNS = ["""rs AS (SELECT *, coalesce(value > 60, false) AS up, lag("timestamp") OVER w AS tp, lag(coalesce(value > 60, false)) OVER w AS was
+  FROM em_dd WINDOW w AS (PARTITION BY region ORDER BY "timestamp", row_id))""",
+        """rn AS (SELECT *, sum(CASE WHEN up AND (was IS NULL OR NOT was OR epoch_us("timestamp") - epoch_us(tp) > 21600000000) THEN 1 ELSE 0 END)
+  OVER (PARTITION BY region ORDER BY "timestamp", row_id) AS run FROM rs)""",
+        """runs AS (SELECT region, min("timestamp") AS "start", max("timestamp") AS "end", count(*) AS n_rows,
+  (epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 1e6 AS duration_seconds, max(value) AS peak, avg(value) AS mean_value
+  FROM rn WHERE up GROUP BY region, run)"""]
+
+SIG = ("n_rows", "mean_value", "std_value", "peak")
+
+
+def snap(e):
+    return f"CAST(floor(({e}) * 1048576 + 0.5) AS DOUBLE) / 1048576"
+
+
+def cluster_ctes(steps=6):
+    """Lloyd steps written out one by one, from three fixed seeds in scaled units."""
+    z = ", ".join(snap(f"({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER ()") + f" AS x{i}" for i, f in enumerate(SIG))
+    whole = " AND ".join(f"{f} IS NOT NULL" for f in SIG)
+    d = " + ".join(f"(p.x{i} - c.x{i}) * (p.x{i} - c.x{i})" for i in range(4))
+    out = ["""sig AS (SELECT region, CAST("timestamp" AS DATE) AS date, CAST(count(value) AS DOUBLE) AS n_rows, avg(value) AS mean_value,
+  stddev_samp(value) AS std_value, max(value) AS peak FROM em_raw GROUP BY ALL)""",
+           f"zs AS MATERIALIZED (SELECT region, date, {whole} AS whole, {z} FROM sig)",
+           "pts AS MATERIALIZED (SELECT * FROM zs WHERE whole)",
+           "c0 AS (SELECT * FROM (VALUES (0, -1.0::DOUBLE, -1.0::DOUBLE, -1.0::DOUBLE, -1.0::DOUBLE), (1, 0.0, 0.0, 0.0, 0.0), (2, 1.0, 1.0, 1.0, 1.0)) t(c, x0, x1, x2, x3))"]
+    for s in range(steps + 1):
+        out.append(f"a{s} AS MATERIALIZED (SELECT * EXCLUDE (rk) FROM (SELECT p.*, c.c, {d} AS d, row_number() OVER (PARTITION BY p.region, p.date ORDER BY {d}, c.c) AS rk "
+                   f"FROM pts p, c{s} c) WHERE rk = 1)")
+        if s < steps:
+            means = ", ".join(f"coalesce(m.x{i}, c.x{i}) AS x{i}" for i in range(4))
+            avgs = ", ".join(snap(f"avg(x{i})") + f" AS x{i}" for i in range(4))
+            out.append(f"c{s + 1} AS MATERIALIZED (SELECT c.c, {means} FROM c{s} c LEFT JOIN (SELECT c, {avgs} FROM a{s} GROUP BY c) m USING (c))")
+    return out
+
+
+def more(q):
+    q["event_runs"] = rnd(["duration_seconds", "peak", "mean_value"], with_(EM_RAW, EM_DD, *RUNS) + "SELECT * FROM runs")
+    q["event_durations"] = rnd(["mean", "shortest", "longest", "q1", "median", "q3"], with_(EM_RAW, EM_DD, *RUNS) + (
+        "SELECT region, avg(duration_seconds) AS mean, min(duration_seconds) AS shortest, max(duration_seconds) AS longest, "
+        "CAST(sum(n_rows) AS BIGINT) AS n_rows, quantile_cont(duration_seconds, 0.25) AS q1, quantile_cont(duration_seconds, 0.5) AS median, "
+        "quantile_cont(duration_seconds, 0.75) AS q3, count(*) AS n FROM runs GROUP BY region"))
+    chain = with_(EM_RAW, *cluster_ctes())
+    q["event_clusters"] = rnd(["distance2"], chain + (
+        "SELECT z.region, CAST(z.date AS TIMESTAMP) AS date, CAST(a.c AS INTEGER) AS cluster, a.d AS distance2 FROM zs z LEFT JOIN a6 a USING (region, date)"))
+    d2 = " + ".join(f"(p.x{i} - o.x{i}) * (p.x{i} - o.x{i})" for i in range(4))
+    q["event_cluster_scores"] = rnd(["mean_distance2", "silhouette"], chain.rstrip() + f""",
+  n AS (SELECT c, count(*) AS n FROM a6 GROUP BY c),
+  far AS (SELECT p.region, p.date, p.c, p.d, o.c AS oc, sum({d2}) AS t FROM a6 p, a6 o GROUP BY ALL),
+  ab AS (SELECT f.region, f.date, f.c, any_value(f.d) AS d, any_value(own.n) AS own_n,
+    max(CASE WHEN f.oc = f.c AND own.n > 1 THEN f.t / (own.n - 1) END) AS a, min(CASE WHEN f.oc <> f.c THEN f.t / n.n END) AS b
+    FROM far f JOIN n ON n.c = f.oc JOIN n own ON own.c = f.c GROUP BY f.region, f.date, f.c)
+  SELECT CAST(c AS INTEGER) AS cluster, count(*) AS n, avg(d) AS mean_distance2,
+    avg(CASE WHEN (SELECT count(*) FROM n) < 2 THEN NULL WHEN own_n = 1 THEN 0 WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END) AS silhouette
+  FROM ab GROUP BY c""")
+    em_n = with_(EM_RAW, EM_N).rstrip() + ", "
+    q["nan_outliers_zscore"] = rnd(["value", "value_original"], with_(EM_RAW, EM_N).rstrip() + """, b AS (
+      SELECT region, avg(value) - 2 * stddev_samp(value) AS lo, avg(value) + 2 * stddev_samp(value) AS hi FROM em_n GROUP BY region)
+      SELECT row_id, "timestamp", region, CASE WHEN value < lo THEN lo WHEN value > hi THEN hi ELSE value END AS value, value AS value_original,
+        coalesce(value < lo OR value > hi, false) AS value_is_outlier FROM em_n JOIN b USING (region)""")
+    q["nan_box_stats"] = rnd(["mean", "q1", "median", "q3", "iqr", "whislo", "whishi"], em_n + box_sql("em_n", "value", ["region"])[5:])
+    q["nan_histogram"] = rnd(["bin_lo", "bin_hi"], em_n + hist_sql("em_n", "value", ["region"], 20)[5:])
+    q["nan_summary"] = rnd(["mean", "std", "min", "max", "median"], with_(EM_RAW, EM_N) + (
+        "SELECT region, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max, "
+        "quantile_cont(value, 0.5) AS median FROM em_n GROUP BY region"))
+    q["nan_resample_1h"] = rnd(["value"], with_(EM_RAW, EM_N, *grid_ctes("g", "em_n", ["value"], ["region"], step=3600, fill=False, drop_empty=True)) + "SELECT * FROM g")
+    q["nan_normalize_minmax"] = rnd(["value_normalized"], with_(EM_RAW, EM_N) + (
+        "SELECT row_id, (value - min(value) OVER ()) / (max(value) OVER () - min(value) OVER ()) AS value_normalized FROM em_n"))
+    q["nan_daily_total"] = rnd(["total"], with_(EM_RAW, EM_N) + (
+        'SELECT region, CAST(CAST("timestamp" AS DATE) AS TIMESTAMP) AS date, coalesce(sum(value), 0.0) AS total FROM em_n GROUP BY ALL'))
+    pages = """rec AS (
+  SELECT event_id, event_id // 100 AS page, 'BA' || CAST(user_id % 3 AS VARCHAR) AS respondent, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H') AS period,
+    CASE WHEN event_id % 11 = 0 THEN 'x' ELSE CAST(value AS VARCHAR) END AS value FROM events WHERE event_type = 'purchase'),
+pg AS (SELECT respondent, page, CASE WHEN page % 23 = 11 THEN NULL WHEN page % 17 = 5 THEN 0 ELSE count(*) END AS n FROM rec GROUP BY respondent, page),
+st AS (SELECT *, CASE WHEN n IS NULL THEN 'failed' WHEN n = 0 THEN 'empty' WHEN n < 3 THEN 'short' ELSE 'full' END AS status FROM pg),
+us AS (SELECT *, min(CASE WHEN status <> 'full' THEN page END) OVER (PARTITION BY respondent) AS stop FROM st),
+used AS (SELECT respondent, page, CAST(n AS INTEGER) AS n_records, status, (stop IS NULL OR page < stop OR (page = stop AND status = 'short')) AS used FROM us)"""
+    q["src_demand_paging"] = with_(pages) + "SELECT * FROM used"
+    q["src_demand_paged_rows"] = with_(pages) + (
+        "SELECT r.page, r.period, r.respondent, 'D' AS type, r.value FROM rec r JOIN used u USING (respondent, page) WHERE u.used AND u.status <> 'empty'")
+    return q
+
+
+ORACLE = more(ORACLE)

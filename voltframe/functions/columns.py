@@ -6,6 +6,8 @@ built-in Spark SQL functions.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,28 +59,71 @@ def parse_utc(c: str | Column, ntz: bool = True, strict: bool = False) -> Column
     return t.cast("timestamp_ntz") if ntz else t
 
 
+def present(c: str | Column) -> Column:
+    """The value as a double, NULL where it is NaN: the one rule for missing values. Every statistic
+    reads its values through this (Spark orders NaN above every number, and one NaN makes a mean
+    NaN; pandas skips it). Infinities are values, as in pandas."""
+    v = col_(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def finite(c: str | Column) -> Column:
+    """The value as a double, NULL where it is NaN or infinite: for bins and grids, which need a
+    finite range."""
+    v = col_(c).cast("double")
+    return F.when(F.abs(v) < float("inf"), v)
+
+
+def outside(v: str | Column, lo: Column | None = None, hi: Column | None = None) -> Column:
+    """Whether a value lies strictly outside the bounds, never NULL. A NULL or NaN value is not
+    outside; a NULL or NaN bound is no bound."""
+    v, cond = present(v), F.lit(False)
+    if lo is not None:
+        cond = cond | F.coalesce(v < present(lo), F.lit(False))
+    if hi is not None:
+        cond = cond | F.coalesce(v > present(hi), F.lit(False))
+    return cond
+
+
 def null_outside(v: str | Column, lo: float | None = None, hi: float | None = None) -> Column:
     """Null out values strictly below ``lo`` or strictly above ``hi`` (bounds are kept)."""
     v = col_(v)
-    cond = F.lit(False)
-    if lo is not None:
-        cond = cond | (v < F.lit(float(lo)))
-    if hi is not None:
-        cond = cond | (v > F.lit(float(hi)))
-    return F.when(cond, F.lit(None).cast("double")).otherwise(v)
+    bounds = [None if b is None else F.lit(float(b)) for b in (lo, hi)]
+    return F.when(outside(v, *bounds), F.lit(None).cast("double")).otherwise(v)
 
 
 def clip_to(v: str | Column, lo: Column, hi: Column) -> Column:
-    """Cap to [lo, hi]; NULL stays NULL (an unguarded least/greatest would not)."""
+    """Cap to [lo, hi]; NULL and NaN stay (an unguarded least/greatest would not keep them); a NULL
+    or NaN bound is no bound."""
     v = col_(v)
-    return F.when(v < lo, lo).when(v > hi, hi).otherwise(v)
+    return F.when(outside(v, lo=lo), lo).when(outside(v, hi=hi), hi).otherwise(v)
 
 
 def safe_corr(x: str | Column, y: str | Column) -> Column:
     """Pearson r over the rows where both sides are present; NULL (not an error) when either
-    side is constant there."""
-    x, y = F.when(col_(y).isNotNull(), col_(x)), F.when(col_(x).isNotNull(), col_(y))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    side is constant or infinite there."""
+    x, y = F.when(present(y).isNotNull(), present(x)), F.when(present(x).isNotNull(), present(y))
+    return present(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+
+
+def shielded(*extra: str):
+    """Decorator for row-keeping operators: further input columns that are named like an internal
+    column (they begin with ``_``, or are in ``extra``) are put aside under free names while the
+    operator runs, and come back under their own. Columns the caller names in arguments are left."""
+    def wrap(fn):
+        @functools.wraps(fn)
+        def run(df: DataFrame, *args, **kwargs):
+            said = {s for a in (*args, *kwargs.values()) for s in ([a] if isinstance(a, str) else a if isinstance(a, (list, tuple)) else []) if isinstance(s, str)}
+            clash = [c for c in df.columns if (c.startswith("_") or c in extra) and c not in said]
+            if not clash:
+                return fn(df, *args, **kwargs)
+            prefix = "kept"
+            while any(c.startswith(prefix) for c in df.columns):
+                prefix += "_"
+            aside = {c: f"{prefix}{i}" for i, c in enumerate(clash)}
+            return fn(df.withColumnsRenamed(aside), *args, **kwargs).withColumnsRenamed({v: k for k, v in aside.items()})
+        return run
+    return wrap
 
 
 def quantize(c: Column, bits: int = 20) -> Column:
@@ -130,22 +175,3 @@ def inv_norm_cdf(p: str | Column) -> Column:
     return (F.when(p < F.lit(_ACKLAM_P_LOW), lower)
             .when(p > F.lit(1.0 - _ACKLAM_P_LOW), upper)
             .otherwise(central))
-
-
-def inv_norm_cdf_sql(p: str) -> str:
-    """The same approximation as SQL text (used by the DuckDB oracle)."""
-    def horner(x, coeffs):
-        acc = f"CAST({coeffs[0]!r} AS DOUBLE)"
-        for c in coeffs[1:]:
-            acc = f"({acc} * {x} + CAST({c!r} AS DOUBLE))"
-        return acc
-    a, b, c, d = _ACKLAM_A, _ACKLAM_B, _ACKLAM_C, _ACKLAM_D
-    qlo = f"sqrt(-2.0 * ln({p}))"
-    qhi = f"sqrt(-2.0 * ln(1.0 - {p}))"
-    q = f"({p} - 0.5)"
-    r = f"({q} * {q})"
-    lower = f"({horner(qlo, c)} / ({horner(qlo, d)} * {qlo} + 1.0))"
-    upper = f"(-{horner(qhi, c)} / ({horner(qhi, d)} * {qhi} + 1.0))"
-    central = f"({horner(r, a)} * {q} / ({horner(r, b)} * {r} + 1.0))"
-    return (f"(CASE WHEN {p} < {_ACKLAM_P_LOW!r} THEN {lower} "
-            f"WHEN {p} > {1.0 - _ACKLAM_P_LOW!r} THEN {upper} ELSE {central} END)")

@@ -2,6 +2,7 @@
 job when called (README, "Jobs at plan-build time")."""
 
 from voltframe.operators.asof import asof_nearest  # noqa: F401
+from voltframe.operators.cluster import kmeans, silhouette  # noqa: F401
 from voltframe.operators.daily import (  # noqa: F401
     cumulative, daily, daily_peaks, day_between, in_range, period_label, phase_label, with_day_index)
 from voltframe.operators.decompose import seasonal_decompose  # noqa: F401
@@ -16,6 +17,7 @@ from voltframe.operators.qq import qq_fit, qq_points  # noqa: F401
 from voltframe.operators.ranks import quantiles, ranked_values  # noqa: F401
 from voltframe.operators.report import cleaning_metrics, quality_report, quality_row  # noqa: F401
 from voltframe.operators.resample import resample_mean  # noqa: F401
+from voltframe.operators.runs import duration_summary, threshold_runs  # noqa: F401
 from voltframe.operators.scaling import apply_scaling, normalize_features, scaling_params  # noqa: F401
 from voltframe.operators.stats import (  # noqa: F401
     box_stats, corr_matrix, distribution_summary, histogram, kde_curves, linear_fit, pair_bins, trend_line)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.functions.columns import epoch_micros, floor_div
+from voltframe.functions.columns import epoch_micros, floor_div, shielded
 from voltframe.operators.sequence import UNB_PREC
 
 
@@ -44,6 +44,7 @@ def auto_salt(left: DataFrame, on: str, by: Sequence[str], width_us: int,
     return max(1, -(-peak // target_rows))
 
 
+@shielded()
 def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequence[str],
                  by: Sequence[str] = (), tolerance_seconds: float = 1800.0,
                  right_order: Sequence[str] | None = None, collapse_duplicates: bool = True,

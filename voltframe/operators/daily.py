@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.functions.columns import slot_index
+from voltframe.functions.columns import present, shielded, slot_index
 from voltframe.operators.sequence import running_sum
 
 
@@ -35,9 +35,10 @@ def day_between(day: str, lo: str, hi: str) -> Column:
 
 
 def daily(df: DataFrame, *, ts: str, value: str, how: str, out: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Per calendar day: ``max``, ``min``, ``sum`` (an all-missing day sums to 0) or ``range`` (max - min)."""
+    """Per calendar day: ``max``, ``min``, ``sum`` (an all-missing day sums to 0) or ``range`` (max - min).
+    NaN is missing."""
     keys = list(keys)
-    v = F.col(value)
+    v = present(value)
     agg = {"max": F.max(v), "min": F.min(v), "sum": F.coalesce(F.sum(v), F.lit(0.0)),
            "range": F.max(v) - F.min(v)}
     if how not in agg:
@@ -63,8 +64,10 @@ def daily_peaks(e: DataFrame, d: DataFrame, *, ts: str = "timestamp", e_value: s
     return out
 
 
+@shielded()
 def cumulative(df: DataFrame, *, ts: str, value: str, out: str = "cum_value", keys: Sequence[str] = (),
                order: Sequence[str] | None = None, chunk_seconds: int = 86_400) -> DataFrame:
-    """Running total in time order; a missing value stays missing, the total carries on."""
+    """Running total in time order; a missing value (NULL, NaN) stays
+    missing, the total carries on."""
     return running_sum(df, keys=keys, order=list(order) if order else [ts],
                        chunk=slot_index(ts, chunk_seconds), value=value, out=out)

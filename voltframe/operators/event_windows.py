@@ -20,6 +20,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltframe.functions.columns import shielded
+
 BROADCAST_MAX_ROWS = 200_000
 
 
@@ -76,6 +78,7 @@ def within_bounds(series: DataFrame, windows: DataFrame, ts: str, whole_days: bo
     return series.where((F.col(ts) >= F.lit(first.lo).cast(kind)) & (F.col(ts) <= F.lit(first.hi).cast(kind)))
 
 
+@shielded()
 def attach_events(series: DataFrame, windows: DataFrame, *, ts: str, series_key: str | None,
                   window_key: str = "series_key", event_cols: Sequence[str] = ("event_id",),
                   whole_days: bool = False, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

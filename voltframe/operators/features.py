@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.calendar import add_calendar_features
-from voltframe.functions.columns import slot_index
+from voltframe.functions.columns import shielded, slot_index
 from voltframe.operators.sequence import halo_windows
 
 temporal_features = add_calendar_features
@@ -51,6 +51,7 @@ def _lag_cols(w: Window, value: str, lags: Sequence[int]) -> dict:
     return {f"{value}_lag_{k}": (F.lag(v, k) if k >= 0 else F.lead(v, -k)).over(w) for k in lags}
 
 
+@shielded()
 def series_features(df: DataFrame, *, value: str, ts: str = "timestamp", keys: Sequence[str] = (),
                     windows_hours: Sequence[int] = (24, 168), lags: Sequence[int] = (4, 24, 96),
                     rows_per_hour: int = 4, step_seconds: int = 900, pos: str | None = None,

@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.functions.columns import epoch_micros, slot_index
+from voltframe.functions.columns import epoch_micros, shielded, slot_index
 from voltframe.operators.sequence import NO_CHUNK, UNB_PREC, join_keys, key_window, last_row, null_free, split_hot_chunks
 
 
+@shielded()
 def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (),
                    order: Sequence[str] | None = None, ffill_limit: int = 2,
                    interp_limit: int = 8, chunk_seconds: int = 86_400,
@@ -112,6 +113,7 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     return out.select(*df.columns, "time_diff", f"{value}_ffill", f"{value}_is_interpolated")
 
 
+@shielded()
 def time_gaps(df: DataFrame, *, ts: str, keys: Sequence[str] = (), order: Sequence[str] | None = None,
               chunk_seconds: int = 86_400, out: str = "time_diff") -> DataFrame:
     """W1 alone: seconds since the previous row of the same series."""

@@ -25,18 +25,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltframe.functions.columns import present
 from voltframe.operators.sequence import UNB_PREC, join_keys, join_small, key_window
 
 
 SPLITTERS, PARTS = 64, 64
 
 
-def present(value: str):
-    """The value as a double, NULL where it is NaN."""
-    v = F.col(value).cast("double")
-    return F.when(~F.isnan(v), v)
-
-
 def value_bucket(v, splitters):
     """Monotone bucket of a double among sorted ``splitters``: the interval, and its equal-width part."""
     i = F.size(F.filter(splitters, lambda s: s <= v))

@@ -8,18 +8,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltframe.functions.columns import present
+
 
 def quality_row(df: DataFrame, *, name: str, ts: str, value: str) -> DataFrame:
-    """One row: dataset, total_records, date_range ('min to max', UTC), mean, std, missing_pct."""
+    """One row: dataset, total_records, date_range ('min to max', UTC), mean, std, missing_pct (NULL and NaN)."""
     fmt = "yyyy-MM-dd HH:mm:ss"
-    v = F.col(value)
+    v = present(value)
     return df.agg(
         F.lit(name).alias("dataset"),
         F.count(F.lit(1)).alias("total_records"),
         F.concat(F.date_format(F.min(ts), fmt), F.lit("+00:00 to "), F.date_format(F.max(ts), fmt),
                  F.lit("+00:00")).alias("date_range"),
         F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
+        present(F.stddev_samp(v)).alias("std"),
         F.try_divide((F.count(F.lit(1)) - F.count(v)) * F.lit(100.0), F.count(F.lit(1))).alias("missing_pct"),
     )
 
@@ -52,6 +54,15 @@ def cleaning_metrics(*, raw: DataFrame, deduped: DataFrame, imputed_flag: tuple[
                       F.lit(0).cast("long").alias("records_flagged"))
 
 
+def observed_metrics(seen: Mapping[str, int], capped: DataFrame, outlier_flag: str, name: str = "all") -> DataFrame:
+    """A14 from counters observed in flight (``raw``, ``kept``, ``imputed``, ``impossible``) and one
+    aggregate of the capped rows' flag; the raw rows are not read again."""
+    n = lambda v: F.lit(int(v)).cast("long")
+    return capped.agg(F.count_if(F.col(outlier_flag)).alias("_e")).select(
+        F.lit(name).alias("dataset"), n(seen["raw"] - seen["kept"]).alias("duplicates_removed"), n(seen["imputed"]).alias("missing_imputed"),
+        (n(seen["impossible"]) + F.col("_e")).alias("outliers_corrected"), F.lit(0).cast("long").alias("records_flagged"))
+
+
 def write_report_json(report: DataFrame, path: str) -> None:
     """The report as JSON lines (timestamps already rendered as text)."""
     report.coalesce(1).write.mode("overwrite").json(path)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.functions.columns import floor_div, from_epoch_micros, is_ntz, slot_index
+from voltframe.functions.columns import floor_div, from_epoch_micros, is_ntz, present, slot_index
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType, T.BooleanType)
@@ -43,7 +43,7 @@ def slot_grid(spans: DataFrame, keys: Sequence[str], block_slots: int = 672) ->
 def resample_mean(df: DataFrame, *, ts: str, value_cols: Sequence[str] | None = None,
                   keys: Sequence[str] = (), step_seconds: int = 900, fill_grid: bool = True,
                   drop_empty: bool = False) -> DataFrame:
-    """Mean of each value column per (keys, slot); booleans average as 0/1 doubles.
+    """Mean of each value column per (keys, slot); booleans average as 0/1 doubles, NaN is missing.
 
     ``value_cols`` defaults to every numeric or boolean column that is not a key.
     Output: ``keys..., ts, value_cols...`` with ``ts`` the slot start (same type as input).
@@ -54,7 +54,7 @@ def resample_mean(df: DataFrame, *, ts: str, value_cols: Sequence[str] | None =
     value_cols = list(value_cols)
     ntz = is_ntz(df, ts)
     rows = df.select(*keys, slot_index(ts, step_seconds).alias("_slot"),
-                     *[F.col(c).cast("double").alias(c) for c in value_cols])
+                     *[present(c).alias(c) for c in value_cols])
     rows = rows.where(F.col("_slot").isNotNull())
     if fill_grid:
         spans = rows.groupBy(*keys).agg(F.min("_slot").alias("_lo"), F.max("_slot").alias("_hi"))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltframe.functions.columns import present, shielded
+
 _STATS = {"zscore": ("mean", "std"), "minmax": ("min", "max")}
 
 
@@ -21,18 +23,20 @@ def scaling_params(df: DataFrame, columns: Sequence[str], method: str = "zscore"
     aggs = []
     for c in columns:
         if method == "zscore":
-            aggs += [F.avg(c).alias(f"{c}|mean"), F.stddev_samp(c).alias(f"{c}|std")]
+            aggs += [F.avg(present(c)).alias(f"{c}|mean"), present(F.stddev_samp(present(c))).alias(f"{c}|std")]
         else:
-            aggs += [F.min(c).cast("double").alias(f"{c}|min"), F.max(c).cast("double").alias(f"{c}|max")]
-    wide = df.agg(*aggs)
+            aggs += [F.min(present(c)).alias(f"{c}|min"), F.max(present(c)).alias(f"{c}|max")]
+    wide = df.agg(*aggs)      # NaN is missing
     pairs = [F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), F.col(f"`{c}|{s}`").alias("value"))
              for c in columns for s in _STATS[method]]
     return wide.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
 
 
+@shielded()
 def apply_scaling(df: DataFrame, params: DataFrame, columns: Sequence[str], method: str = "zscore",
                   suffix: str = "_normalized") -> DataFrame:
-    """Add ``{c}{suffix}``; a constant column gives NULL (pandas gives NaN)."""
+    """Add ``{c}{suffix}``; a constant column, a NaN and a column whose parameter is infinite give
+    NULL (pandas gives NaN)."""
     if method not in _STATS:
         raise ValueError(f"unknown scaling method {method!r}; use 'zscore' or 'minmax'")
     a, b = _STATS[method]
@@ -43,12 +47,12 @@ def apply_scaling(df: DataFrame, params: DataFrame, columns: Sequence[str], meth
     d = df.crossJoin(F.broadcast(wide))
     new = {}
     for c in columns:
-        x = F.col(c).cast("double")
+        x = present(c)
         pa, pb = F.col(f"_p_{c}_{a}"), F.col(f"_p_{c}_{b}")
         if method == "zscore":
-            new[f"{c}{suffix}"] = F.try_divide(x - pa, pb)
+            new[f"{c}{suffix}"] = present(F.try_divide(x - pa, pb))
         else:
-            new[f"{c}{suffix}"] = F.try_divide(x - pa, pb - pa)
+            new[f"{c}{suffix}"] = present(F.try_divide(x - pa, pb - pa))
     return d.withColumns(new).drop(*[f"_p_{c}_{s}" for c in columns for s in (a, b)])
 
 

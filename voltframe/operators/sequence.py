@@ -24,7 +24,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltframe.functions.columns import floor_div
+from voltframe.functions.columns import floor_div, present
 from voltframe.session import cut_lineage
 
 UNB_PREC = Window.unboundedPreceding
@@ -204,15 +204,16 @@ def halo_windows(df: DataFrame, *, keys: Sequence[str], pos: str, back: int, fwd
 
 def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column | str],
                 chunk: Column, value: str, out: str) -> DataFrame:
-    """Cumulative sum of ``value`` in ``order``; NULL rows stay NULL, the sum carries on."""
+    """Cumulative sum of ``value`` in ``order``; rows that are NULL or NaN stay NULL, the sum carries on."""
     d, keys = null_free(df, list(keys), chunk, "_chunk")
     part = keys + ["_chunk"]
     w = Window.partitionBy(*part).orderBy(*_nulls_last(order))
-    d = d.withColumns({"_in": F.sum(value).over(w.rowsBetween(UNB_PREC, 0)), "_rn": F.row_number().over(w)})
+    v = present(value)
+    d = d.withColumns({"_in": F.sum(v).over(w.rowsBetween(UNB_PREC, 0)), "_rn": F.row_number().over(w)})
     tot = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_in"].alias("_ct"))
     tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
                                                       .rowsBetween(UNB_PREC, -1)))
     d = join_keys(d, tot.select(*part, "_before"), part, "left")
     run = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(
         F.coalesce(F.col("_before"), F.lit(0.0)) + F.col("_in"))
-    return d.select(*[F.col(f"`{c}`") for c in df.columns], F.when(F.col(value).isNotNull(), run).alias(out))
+    return d.select(*[F.col(f"`{c}`") for c in df.columns], F.when(v.isNotNull(), run).alias(out))

@@ -12,19 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltframe.functions.columns import safe_corr
+from voltframe.functions.columns import finite, outside, present, safe_corr, shielded
 from voltframe.operators.ranks import quantiles
 from voltframe.operators.sequence import join_keys, join_small
 
 
 def distribution_summary(df: DataFrame, value: str, keys: Sequence[str] = (),
                          quantile_method: str = "exact") -> DataFrame:
-    """n, mean, sample std, median, min, max of non-null values per key."""
+    """n, mean, sample std, median, min, max of the values per key that are neither NULL nor NaN."""
     keys = list(keys)
-    basic = df.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
-                                  F.stddev_samp(value).alias("std"),
-                                  F.min(value).cast("double").alias("min"),
-                                  F.max(value).cast("double").alias("max"))
+    v = present(value)
+    basic = df.groupBy(*keys).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), present(F.stddev_samp(v)).alias("std"),
+                                  F.min(v).alias("min"), F.max(v).alias("max"))
     med = quantiles(df, value, {"median": 0.5}, keys, method=quantile_method).drop("n")
     return join_keys(basic, med, keys, "left")
 
@@ -46,10 +45,11 @@ def histogram(df: DataFrame, value: str, bins: int = 40, keys: Sequence[str] = (
 
     Columns: keys, ``bin`` (0-based), ``bin_lo``, ``bin_hi``, ``count``, ``n`` and,
     with ``density``, ``density = count / (n * width)``. When min == max numpy
-    uses [min - 0.5, max + 0.5]; the same is done here.
+    uses [min - 0.5, max + 0.5]; the same is done here. NaN and infinities are
+    missing (bins need a finite range).
     """
     keys = list(keys)
-    d = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    d = df.select(*keys, finite(value).alias("_v")).where("_v IS NOT NULL")
     st = d.groupBy(*keys).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"),
                               F.count(F.lit(1)).alias("n"))
     st = st.select(*keys, "n",
@@ -74,19 +74,20 @@ def histogram(df: DataFrame, value: str, bins: int = 40, keys: Sequence[str] = (
 def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float = 1.5,
               quantile_method: str = "exact") -> DataFrame:
     """Box-plot statistics per group: quartiles, whiskers at the most extreme data
-    inside ``whis * IQR`` (never inside the box), flier count, n, mean."""
+    inside ``whis * IQR`` (never inside the box), flier count, n, mean. NaN is missing."""
     keys = list(keys)
+    df = df.select(*keys, present(value).alias(value))
     q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys, method=quantile_method)
     k = F.lit(float(whis))
     q = q.withColumns({"iqr": F.col("q3") - F.col("q1")})
-    q = q.withColumns({"_lov": F.col("q1") - k * F.col("iqr"), "_hiv": F.col("q3") + k * F.col("iqr")})
+    q = q.withColumns({"_lov": present(F.col("q1") - k * F.col("iqr")), "_hiv": present(F.col("q3") + k * F.col("iqr"))})
     d = join_small(df.where(F.col(value).isNotNull()), q.select(*keys, "_lov", "_hiv", "q1", "q3"), keys)
     v = F.col(value)
     w = d.groupBy(*keys).agg(F.max(F.when(v <= F.col("_hiv"), v)).alias("_wh"),
                              F.min(F.when(v >= F.col("_lov"), v)).alias("_wl"),
                              F.avg(v).alias("mean"),
                              # no data lies between a whisker and its bound
-                             F.count_if((v < F.col("_lov")) | (v > F.col("_hiv"))).alias("n_fliers"))
+                             F.count_if(outside(v, F.col("_lov"), F.col("_hiv"))).alias("n_fliers"))
     out = join_keys(q, w, keys, "left")
     whishi = F.when(F.col("_wh").isNull() | (F.col("_wh") < F.col("q3")), F.col("q3")).otherwise(F.col("_wh"))
     whislo = F.when(F.col("_wl").isNull() | (F.col("_wl") > F.col("q1")), F.col("q1")).otherwise(F.col("_wl"))
@@ -95,6 +96,7 @@ def box_stats(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float =
                       F.coalesce(F.col("n_fliers"), F.lit(0)).cast("long").alias("n_fliers"))
 
 
+@shielded("whislo", "whishi")
 def box_fliers(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float = 1.5,
                quantile_method: str = "exact") -> DataFrame:
     """The data rows drawn as fliers: outside the whiskers of their group."""
@@ -102,7 +104,7 @@ def box_fliers(df: DataFrame, value: str, keys: Sequence[str] = (), whis: float
     b = box_stats(df, value, keys, whis, quantile_method).select(*keys, "whislo", "whishi")
     v = F.col(value)
     d = join_small(df.where(v.isNotNull()), b, keys)
-    return d.where((v < F.col("whislo")) | (v > F.col("whishi"))).drop("whislo", "whishi")
+    return d.where(outside(v, F.col("whislo"), F.col("whishi"))).drop("whislo", "whishi")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], labels: Sequence[str] | None = None,
@@ -130,9 +132,10 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], labels: Sequence[str] | N
 
 
 def linear_fit(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Least squares y = slope * x + intercept and Pearson r (NULL when x or y is constant)."""
+    """Least squares y = slope * x + intercept and Pearson r (NULL when x or y is constant). Rows where
+    either is NULL, NaN or infinite are left out."""
     keys = list(keys)
-    d = df.na.drop(how="any", subset=[x, y])
+    d = df.select(*keys, finite(x).alias(x), finite(y).alias(y)).na.drop(how="any", subset=[x, y])
     return d.groupBy(*keys).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
                                 safe_corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"),
                                 F.min(x).cast("double").alias("x_min"), F.max(x).cast("double").alias("x_max"))
@@ -150,7 +153,7 @@ def trend_line(fit: DataFrame, points: int = 100, keys: Sequence[str] = ()) -> D
 
 
 def _melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("x")) for c in columns]
+    cells = [F.struct(F.lit(c).alias("variable"), finite(c).alias("x")) for c in columns]
     return df.select(*keys, F.explode(F.array(*cells)).alias("_m")).select(*keys, "_m.variable", "_m.x")
 
 
@@ -161,7 +164,7 @@ def kde_curves(df: DataFrame, columns: Sequence[str], group: str, gridsize: int
 
     ``density`` integrates to 1 per group; ``density_common`` is scaled by the
     group's share of the variable's rows (curves drawn on one axis). Singular
-    groups (zero bandwidth) produce no rows. Each data row
+    groups (zero bandwidth) produce no rows; NaN and infinities are missing. Each data row
     contributes to every grid point; the partial aggregate folds those
     contributions per task, so the shuffle carries gridsize rows per group.
     """
@@ -197,7 +200,7 @@ def pair_bins(df: DataFrame, columns: Sequence[str], group: str, bins: int = 20)
     """2-D counts for each lower-triangle pair of ``columns`` per group (scatter data
     that scales): each variable is cut into ``bins`` equal bins over its global range."""
     columns = list(columns)
-    d = df.na.drop(how="any", subset=columns)
+    d = df.withColumns({c: finite(c) for c in columns}).na.drop(how="any", subset=columns)
     st = d.agg(*[F.min(c).cast("double").alias(f"_mn_{k}") for k, c in enumerate(columns)],
                *[F.max(c).cast("double").alias(f"_mx_{k}") for k, c in enumerate(columns)])
     d = d.crossJoin(F.broadcast(st))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltframe.functions.columns import present
 from voltframe.operators.daily import (cumulative, daily, daily_peaks, day_between, in_range, period_label,
                                        phase_label, with_day_index)
 from voltframe.operators.decompose import seasonal_decompose
@@ -51,8 +52,8 @@ def histogram_by_phase(e: DataFrame, start: str, end: str, bins: int = 30) -> Da
 
 def phase_summary(e: DataFrame, start: str, end: str) -> DataFrame:
     p = e.where(F.col("value").isNotNull()).withColumn("phase", phase_label("timestamp", start, end))
-    return p.groupBy("phase").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-                                  F.stddev_samp("value").alias("std"))
+    return p.groupBy("phase").agg(F.count(F.lit(1)).alias("n"), F.avg(present("value")).alias("mean"),
+                                  present(F.stddev_samp(present("value"))).alias("std"))
 
 
 def hourly_demand(d: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def qq_fits(e: DataFrame, start: str, end: str) -> DataFrame:
 
 def dow_hour_matrix(e: DataFrame, value: str = "value") -> DataFrame:
     """A10: mean value per weekday (rows, Mon..Sun) and hour (columns h0..h23)."""
-    wide = e.groupBy("day_of_week").pivot("hour", list(range(24))).agg(F.avg(value))
+    wide = e.groupBy("day_of_week").pivot("hour", list(range(24))).agg(F.avg(present(value)))
     label = F.element_at(F.array(*[F.lit(x) for x in DAY_LABELS]), F.col("day_of_week") + 1)
     return wide.select("day_of_week", label.alias("day_label"),
                        *[F.col(str(h)).alias(f"h{h}") for h in range(24)])

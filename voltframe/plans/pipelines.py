@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from voltframe.functions.calendar import add_calendar_features
@@ -23,7 +23,7 @@ from voltframe.operators.event_windows import attach_events, event_windows, map_
 from voltframe.operators.features import series_features
 from voltframe.operators.impute import handle_missing
 from voltframe.operators.outliers import cap_outliers, impossible_to_null
-from voltframe.operators.report import cleaning_metrics
+from voltframe.operators.report import cleaning_metrics, observed_metrics
 from voltframe.operators.resample import resample_mean
 from voltframe.operators.sequence import auto_chunk_seconds
 from voltframe.session import cut_lineage
@@ -38,11 +38,16 @@ class Cleaned:
     capped: DataFrame
     clean: DataFrame      # resampled grid with calendar, rolling and lag features
     value: str
+    seen: dict | None = None  # counters observed while the corrected rows were written
 
     def metrics(self, name: str = "all") -> DataFrame:
-        """Cleaning counters: the raw count, and one aggregate over the capped rows (imputation,
-        nulling and capping keep one row per de-duplicated record and the earlier flags)."""
+        """Cleaning counters. With ``checkpoint`` all but the caps were counted in flight as the
+        corrected rows were written, and the caps are counted on the written rows; else the raw count
+        and one aggregate over the capped rows (imputation, nulling and capping keep one row per
+        de-duplicated record and the earlier flags)."""
         v = self.value
+        if self.seen is not None:
+            return observed_metrics(self.seen, self.capped, f"{v}_is_outlier", name)
         return cleaning_metrics(raw=self.raw, deduped=self.capped,
                                 imputed_flag=(self.capped, f"{v}_is_interpolated"),
                                 impossible_flag=(self.capped, "_impossible"),
@@ -66,14 +71,19 @@ def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts:
     """
     keys = list(keys)
     order = list(order)
-    dd = dedupe_first(raw, subset=dedupe_keys, order=order)
+    dd = dedupe_first(raw, subset=dedupe_keys, order=order, copies="_copies")
     if chunk_seconds is None:
         chunk_seconds = auto_chunk_seconds(raw, ts, keys)
     imp = handle_missing(dd, ts=ts, value=value, keys=keys, order=[ts, *order],
                          chunk_seconds=chunk_seconds)
     cor = impossible_to_null(imp, value, min_val, max_val, flag="_impossible")
+    seen = None
     if checkpoint:
-        cor = cut_lineage(cor)
+        watch = Observation()
+        cor = cut_lineage(cor.observe(watch, F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw"), F.count(F.lit(1)).alias("kept"),
+                                      F.count_if(F.col(f"{value}_is_interpolated")).alias("imputed"), F.count_if("_impossible").alias("impossible")))
+        seen = watch.get
+    dd, imp, cor = (d.drop("_copies") for d in (dd, imp, cor))
     cap = cap_outliers(cor, value, method=method, threshold=threshold, keys=keys,
                        quantile_method=quantile_method)
     value_cols = [value, f"{value}_ffill", f"{value}_is_interpolated", f"{value}_original",
@@ -83,7 +93,7 @@ def clean_series(raw: DataFrame, *, value: str, dedupe_keys: Sequence[str], ts:
     rows_per_hour = 3600 // step_seconds
     clean = series_features(feats, value=value, ts=ts, keys=keys, windows_hours=windows_hours,
                             lags=lags, rows_per_hour=rows_per_hour, step_seconds=step_seconds)
-    return Cleaned(raw, dd, imp, cor, cap, clean, value)
+    return Cleaned(raw, dd, imp, cor, cap, clean, value, seen)
 
 
 def emissions_pipeline(emissions_raw: DataFrame, keys: Sequence[str] = (), **kw) -> Cleaned:

@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltframe.functions.columns import parse_utc, quantize, safe_corr
+from voltframe.functions.columns import parse_utc, present, quantize, safe_corr
 from voltframe.operators import (asof_nearest, attach_events, box_stats, cap_outliers, dedupe_first,
                                  event_windows, handle_missing, histogram, impossible_to_null, quantiles,
                                  resample_mean, series_features, time_gaps, with_default_ids)
+from voltframe.operators.cluster import kmeans, silhouette
 from voltframe.operators.features import temporal_features
+from voltframe.operators.ranks import ranked_values
+from voltframe.operators.runs import duration_summary, threshold_runs
 from voltframe.operators.scaling import normalize_features, scaling_params
 from voltframe.plans import analysis as an
 from voltframe.plans import pipelines as pl
 from voltframe.plans.stage import input_version, stage_key, staged
 from voltframe.session import cut_lineage
 from voltframe.sources import testdata as td
-from voltframe.sources.landing import parse_demand_pages, parse_emissions_responses
+from voltframe.sources.landing import follow_pages, nan_to_null, parse_demand_pages, parse_emissions_responses
 
 S, E, DAYS = td.EVENT_START, td.EVENT_END, td.EVENT_DAYS
 
@@ -263,12 +266,95 @@ def q_event_impact_ranking(spark, sf):
                            event_cols=["event_id"])
     agg = tagged.groupBy("event_id").agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("total_value"),
                                          F.avg("value").alias("mean_value"), F.count(F.lit(1)).alias("n_rows"))
-    from pyspark.sql import Window
-    return agg.withColumn("impact_rank", F.rank().over(Window.orderBy(F.desc("total_value"))))
+    # rank by the count of larger totals (exact ranks by value buckets), not by a one-task window
+    below = ranked_values(agg.select((-F.col("total_value")).alias("_neg")), "_neg")
+    ranks = below.select((-F.col("_neg")).alias("total_value"), (F.col("_below") + 1).cast("int").alias("impact_rank"))
+    return agg.join(ranks, "total_value").select(*agg.columns, "impact_rank")
 
 
 # ---------------------------------------------------------------- chart datasets
 
+# ---------------------------------------------------------------- events and signatures from data
+
+RUN_ABOVE, RUN_GAP = 60.0, 6 * 3600
+
+
+def _runs(spark, sf):
+    return threshold_runs(_em_dedup(spark, sf), ts="timestamp", value="value", above=RUN_ABOVE, keys=["region"],
+                          order=["timestamp", "row_id"], max_gap_seconds=RUN_GAP)
+
+
+def q_event_runs(spark, sf):
+    """Events found in the series - runs of values above a bound, broken by pauses."""
+    return _runs(spark, sf)
+
+
+def q_event_durations(spark, sf):
+    """Distribution of the events' durations by type (the region is the source's event type)."""
+    return duration_summary(_runs(spark, sf), ["region"])
+
+
+SIGNATURE = ("n_rows", "mean_value", "std_value", "peak")
+SEEDS = ((-1.0, -1.0, -1.0, -1.0), (0.0, 0.0, 0.0, 0.0), (1.0, 1.0, 1.0, 1.0))
+LLOYD_STEPS = 6
+
+
+def _signatures(spark, sf):
+    v = present("value")
+    return _em_raw(spark, sf).groupBy("region", F.to_date("timestamp").alias("date")).agg(
+        F.count(v).cast("double").alias("n_rows"), F.avg(v).alias("mean_value"), F.stddev_samp(v).alias("std_value"), F.max(v).alias("peak"))
+
+
+def q_event_clusters(spark, sf):
+    """K-means of daily signatures per region from fixed seeds."""
+    return kmeans(_signatures(spark, sf), SIGNATURE, 3, seeds=SEEDS, steps=LLOYD_STEPS)[0].select("region", "date", "cluster", "distance2")
+
+
+def q_event_cluster_scores(spark, sf):
+    """Size, spread and silhouette of those clusters."""
+    return silhouette(kmeans(_signatures(spark, sf), SIGNATURE, 3, seeds=SEEDS, steps=LLOYD_STEPS)[0])
+
+
+# ---------------------------------------------------------------- missing values that are NaN
+
+def _em_nan(spark, sf):
+    return td.emissions_with_nan(_events(spark, sf))
+
+
+def q_nan_outliers_zscore(spark, sf):
+    c = cap_outliers(_em_nan(spark, sf), "value", "zscore", 2.0, keys=["region"])
+    return nan_to_null(c, ["value", "value_original"])
+
+
+def q_nan_box_stats(spark, sf):
+    return box_stats(_em_nan(spark, sf), "value", keys=["region"])
+
+
+def q_nan_histogram(spark, sf):
+    return histogram(_em_nan(spark, sf), "value", bins=20, keys=["region"])
+
+
+def q_nan_summary(spark, sf):
+    from voltframe.operators.stats import distribution_summary
+    return distribution_summary(_em_nan(spark, sf), "value", ["region"])
+
+
+def q_nan_resample_1h(spark, sf):
+    return resample_mean(_em_nan(spark, sf), ts="timestamp", value_cols=["value"], keys=["region"], step_seconds=3600,
+                         fill_grid=False, drop_empty=True)
+
+
+def q_nan_normalize_minmax(spark, sf):
+    d = _em_nan(spark, sf).select("row_id", "value")
+    return normalize_features(d, ["value"], "minmax")[0].select("row_id", "value_normalized")
+
+
+def q_nan_daily_total(spark, sf):
+    return an.daily(_em_nan(spark, sf), ts="timestamp", value="value", how="sum", out="total", keys=["region"])
+
+
+# ---------------------------------------------------------------- chart data
+
 def q_event_slice(spark, sf):
     return an.event_slice(_e(spark, sf), S, E).select("timestamp", "value")
 
@@ -413,6 +499,17 @@ def q_src_csv_roundtrip(spark, sf):
     return read_csv_typed(spark, path, em.schema, timestamp_format=fmt)
 
 
+def q_src_demand_paging(spark, sf):
+    """Which landed pages a request uses: up to its first short, empty or failed page."""
+    return follow_pages(td.demand_numbered_pages(_events(spark, sf)), keys=["respondent"], page="page", page_size=3).drop("body")
+
+
+def q_src_demand_paged_rows(spark, sf):
+    """The records of the pages in use."""
+    pages = follow_pages(td.demand_numbered_pages(_events(spark, sf)), keys=["respondent"], page="page", page_size=3)
+    return parse_demand_pages(pages.where("used").select("page", "body"), "body")
+
+
 def q_src_bad_bodies(spark, sf):
     """S1 beside its parser: the bodies that give no rows (planted by row id), with the reason."""
     from voltframe.sources.landing import EMISSIONS_RESPONSE, bad_responses

@@ -7,11 +7,15 @@ explicit schema, or parsed from a string column already in a table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.columns import lenient_double, parse_utc
+from voltframe.operators.dedupe import dedupe_first
+from voltframe.operators.sequence import join_keys
 
 EMISSIONS_RESPONSE = T.StructType([
     T.StructField("data", T.ArrayType(T.StructType([
@@ -103,6 +107,28 @@ def read_demand_pages(spark: SparkSession, path: str, respondent: str | None = N
     return _demand_rows(raw.select(F.struct(*raw.columns).alias("_p")), respondent, type_code)
 
 
+def follow_pages(pages: DataFrame, *, keys: Sequence[str], page: str, json_col: str = "body",
+                 page_size: int = 5000) -> DataFrame:
+    """S2's paging rule over landed pages: pages of one request (``keys``) are used in order of ``page``
+    up to the first that is failed, empty or short; a short last page is used, what lies behind is not.
+
+    Adds ``n_records`` (NULL for a failed body), ``status`` (``full``, ``short``, ``empty``, ``failed``)
+    and ``used``; pages behind the end keep their status and are reported with ``used`` false.
+    A page that landed several times counts once (the smallest body). The end per request
+    is a distributed minimum; no request's pages are held in one task.
+    """
+    keys = list(keys)
+    once = dedupe_first(pages.select(*keys, page, json_col), [*keys, page], [json_col])
+    n = F.size(F.from_json(F.col(json_col), DEMAND_PAGE)["response"]["data"])
+    d = once.withColumn("n_records", F.when(n >= 0, n))
+    d = d.withColumn("status", F.when(F.col("n_records").isNull(), "failed").when(F.col("n_records") == 0, "empty")
+                     .when(F.col("n_records") < page_size, "short").otherwise("full"))
+    ends = d.where("status <> 'full'").groupBy(*keys).agg(F.min(page).alias("_end"))
+    d = join_keys(d, ends, keys, "left")
+    used = F.col("_end").isNull() | (F.col(page) < F.col("_end")) | ((F.col(page) == F.col("_end")) & (F.col("status") == "short"))
+    return d.withColumn("used", F.coalesce(used, F.lit(False))).drop("_end")
+
+
 def rename_if_present(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename only the columns that exist."""
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})

@@ -83,6 +83,22 @@ def emissions_response_json(events: DataFrame) -> DataFrame:
     return e.select("row_id", body.alias("body"))
 
 
+def emissions_with_nan(events: DataFrame) -> DataFrame:
+    """The emissions rows with NaN planted in every 31st value."""
+    return emissions_raw(events).withColumn("value", F.when(F.col("row_id") % 31 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+
+
+def demand_numbered_pages(events: DataFrame) -> DataFrame:
+    """Landed pages ``respondent, page, body``: the demand records of 100 source rows each, some bodies
+    replaced by an empty page (page 17 k + 5) or an error (page 23 k + 11)."""
+    r = demand_page_records(events).withColumn("page", F.floor(F.col("row_id") / 100).cast("long"))
+    item = F.struct("row_id", F.struct("period", "respondent", "type", "value").alias("r"))
+    rows = r.groupBy("respondent", "page").agg(F.array_sort(F.collect_list(item)).alias("rows"))
+    data = F.when(F.col("page") % 17 == 5, F.filter("rows", lambda x: F.lit(False))).otherwise(F.col("rows"))
+    body = F.to_json(F.struct(F.struct(F.transform(data, lambda x: x["r"]).alias("data")).alias("response")))
+    return rows.select("respondent", "page", F.when(F.col("page") % 23 == 11, F.lit('{"error": "busy"}')).otherwise(body).alias("body"))
+
+
 def demand_page_json(events: DataFrame) -> DataFrame:
     """One landed demand page per source row: a 'D' record and an 'NG' record."""
     r = demand_page_records(events)
