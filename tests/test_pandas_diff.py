@@ -166,16 +166,44 @@ def test_asof_matches_pandas(spark, seed):
                        right_order=["rid"]).toPandas().sort_values("lid")
     same(list(got.v), list(exp.v))
     got_k = asof_nearest(sl.withColumn("k", F.lit(1)), sr.withColumn("k", F.lit(1)), on="timestamp",
-                         right_cols=["v"], by=["k"], tolerance_seconds=1800, right_order=["rid"], salt=3)
+                         right_cols=["v"], by=["k"], tolerance_seconds=1800, right_order=["rid"], chunk_seconds=3600, hot_rows=40)
     same(list(got_k.toPandas().sort_values("lid").v), list(exp.v))
 
 
-def test_auto_salt_splits_hot_buckets(spark):
-    from voltframe.operators.asof import auto_salt
-    left = spark.createDataFrame([(i, T0 + timedelta(seconds=i % 60)) for i in range(500)],
-                                 "lid long, timestamp timestamp_ntz")
-    assert auto_salt(left, "timestamp", [], 1800 * 1_000_000, target_rows=100) == 5
-    right = spark.createDataFrame([(0, T0, 1.0), (1, T0 + timedelta(minutes=20), 2.0)],
-                                  "rid long, timestamp timestamp_ntz, v double")
-    got = asof_nearest(left, right, on="timestamp", right_cols=["v"], right_order=["rid"], salt=5)
-    assert got.where("v = 1.0").count() == 500
+@pytest.mark.parametrize("dense", ["left", "right", "instant"])
+def test_asof_of_a_dense_stretch(spark, dense):
+    """Both sides may be dense: parts stay small, the result is that of the uncut merge."""
+    many = [(i, T0 + timedelta(seconds=0 if dense == "instant" else i % 97), i / 7) for i in range(3000)]
+    few = [(i, T0 + timedelta(minutes=9 * i - 20), i / 3) for i in range(12)] + [(50, None, 1.0)]
+    l, r = (few, many) if dense == "right" else (many, few)
+    left = spark.createDataFrame(l, "lid long, timestamp timestamp_ntz, w double")
+    right = spark.createDataFrame(r, "rid long, timestamp timestamp_ntz, v double")
+    rows = [sorted(map(repr, asof_nearest(left, right, on="timestamp", right_cols=["v", "rid"], right_order=["rid"], hot_rows=h).collect())) for h in (None, 50)]
+    assert rows[0] == rows[1] and len(rows[0]) == len(l)
+
+
+def test_hot_minute_and_rows_without_a_time(spark):
+    """scan_parts: no part far above its bound, and order-dependent operators give what they give uncut."""
+    from pyspark.sql import Window
+    from voltframe.functions.columns import epoch_micros, slot_index
+    from voltframe.operators import cumulative, handle_missing, seasonal_decompose, time_gaps
+    from voltframe.operators.sequence import dense_positions, scan_parts
+    rows = [(i, T0 + timedelta(minutes=i % 900), float(i % 13)) for i in range(2000)]                              # an even day
+    rows += [(10_000 + i, T0 + timedelta(hours=3, milliseconds=i), float(i % 7) if i % 5 else None) for i in range(4000)]   # a burst
+    rows += [(20_000 + i, T0 + timedelta(hours=9), 1.0) for i in range(4000)]                                      # one instant
+    df = spark.createDataFrame(rows, "row_id long, timestamp timestamp_ntz, value double")
+    null = spark.range(100_000).selectExpr("id + 100000 as row_id", "cast(null as timestamp_ntz) as timestamp", "double(id % 3) as value")
+    df = df.unionByName(null)
+    d, _, part = scan_parts(df, keys=[], time=epoch_micros("timestamp"), chunk=slot_index("timestamp", 86_400), second=F.col("row_id"), hot_rows=1500)
+    sizes = [r["count"] for r in d.groupBy(*part).count().collect()]
+    assert sum(sizes) == 110_000 and max(sizes) <= 1500 and len(sizes) < 1000
+    order = ["timestamp", "row_id"]
+    for op in (lambda h: time_gaps(df, ts="timestamp", order=order, hot_rows=h), lambda h: cumulative(df, ts="timestamp", value="value", order=order, hot_rows=h),
+               lambda h: handle_missing(df, ts="timestamp", value="value", order=order, hot_rows=h),
+               lambda h: dense_positions(df, keys=[], order=order, chunk=slot_index("timestamp", 86_400), pos="p", hot_rows=h)):
+        cut, uncut = op(1500), op(None)
+        assert cut.exceptAll(uncut).count() == 0 and uncut.count() == cut.count() == 110_000
+    want = df.withColumn("p", F.row_number().over(Window.orderBy(F.col("timestamp").asc_nulls_last(), "row_id")) - 1)
+    assert op(1500).join(want.select("row_id", F.col("p").alias("q")), "row_id").where("p <> q").count() == 0
+    once = df.where("row_id < 2000").dropDuplicates(["timestamp"])
+    assert seasonal_decompose(once, ts="timestamp", value="value", hot_rows=100).exceptAll(seasonal_decompose(once, ts="timestamp", value="value", hot_rows=None)).count() == 0

@@ -74,14 +74,28 @@ def test_dedupe_reduces_hot_keys_before_the_shuffle(spark):
     assert any("partial_min_by" in ln for ln in lines[ex:])  # map-side partial aggregate under the exchange
 
 
-def test_asof_is_one_window_shuffle_without_join(spark):
+def test_asof_copies_no_row_and_joins_only_its_summary(spark):
     from voltframe.operators import asof_nearest
     ev = td.load(spark, SF001, "events")
     left = td.emissions_raw(ev)
     right = td.demand_raw(ev).select("timestamp", "demand_MW", "row_id")
-    p = plan(asof_nearest(left, right, on="timestamp", right_cols=["demand_MW"], right_order=["row_id"]))
-    assert "Join" not in p and "CartesianProduct" not in p
-    assert p.count("Exchange hashpartitioning") == 2  # right-duplicate collapse + the (bucket) window
+    out = asof_nearest(left, right, on="timestamp", right_cols=["demand_MW"], right_order=["row_id"])
+    assert plan(out).count("Join") == 1 and "CartesianProduct" not in plan(out)
+    assert "Generate" not in plan(out).replace("Generate explode(array(", "")   # but for a right instant's first and last row
+    out.collect()
+    assert "ReusedExchange" in plan(out)    # both sides are shuffled once
+
+
+def test_jobs_before_the_first_action(spark):
+    """Plan building: probes, the corrected rows, quantile tables - each job is one stage under AQE."""
+    from voltframe.plans import queries as q
+    q.RAW["outliers_iqr"](spark, SF001)
+    tracker, group = spark.sparkContext.statusTracker(), "plan-build"
+    spark.sparkContext.setJobGroup(group, group)
+    q.RAW["outliers_iqr"](spark, SF001)
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 24, jobs
 
 
 @pytest.mark.parametrize("whole_days", [False, True])

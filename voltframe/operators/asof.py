@@ -5,16 +5,15 @@ Rules: distance |t_left - t_right| <= tolerance; on equal distance the backward
 backward match takes the last one and the forward match the first one (in
 ``right_order``).
 
-Plan: time is cut into buckets one tolerance wide. Left rows go to their own
-bucket; right rows are copied into their bucket and the two neighbours, which
-together hold every right row within tolerance. Left and right rows are
-unioned and one window per (key, bucket) finds, for each left row, the last
-right row at or before it and the first right row after it. That is a single
-shuffle with no join fan-out and no row ids. Right rows sharing a timestamp are
-first collapsed to their first and last row by an aggregate (partial, so a hot
-timestamp is reduced map-side). ``salt`` > 1 spreads the left rows of a bucket
-over several partitions, copying the right candidates to each; by default it is
-sized from the busiest left bucket.
+Plan: a merge of both sides by ranges of time. Left and right rows are unioned and
+windowed per (key, time chunk); in each part a left row finds the last right row at or
+before it and the first one at or after it. What lies beyond the part comes from a
+boundary carry: each part gives its first and last right row, a window over the parts
+brings the nearest of them from before and from behind. No row is copied, and one side
+may be as dense as it likes: a part above ``hot_rows`` rows of both sides together is cut
+at quantiles of its times, left rows of one instant by a hash (``sequence.scan_parts``).
+Right rows sharing a timestamp are first collapsed to their first and last row by an
+aggregate (partial, so a hot timestamp is reduced map-side).
 """
 
 from __future__ import annotations
@@ -26,40 +25,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, floor_div, shielded
-from voltframe.operators.sequence import UNB_PREC
-
-
-SALT_TARGET_ROWS = 4_000_000
-
-
-def auto_salt(left: DataFrame, on: str, by: Sequence[str], width_us: int,
-              target_rows: int = SALT_TARGET_ROWS) -> int:
-    """Salt so the busiest (key, bucket) of the left side has ~``target_rows`` per partition.
-
-    One small aggregate (rows per key and bucket; partial aggregation map-side).
-    """
-    per_bucket = left.groupBy(*by, floor_div(epoch_micros(on), width_us).alias("_b")).agg(F.count(F.lit(1)).alias("n"))
-    row = per_bucket.agg(F.max("n")).first()
-    peak = (row[0] or 0) if row else 0
-    return max(1, -(-peak // target_rows))
+from voltframe.operators.sequence import HOT_ROWS, UNB_PREC, join_keys, key_window, last_row, scan_parts
 
 
 @shielded()
 def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequence[str],
                  by: Sequence[str] = (), tolerance_seconds: float = 1800.0,
                  right_order: Sequence[str] | None = None, collapse_duplicates: bool = True,
-                 salt: int | str = "auto") -> DataFrame:
-    """``salt="auto"`` probes the busiest left bucket (one small job); an int fixes it."""
+                 chunk_seconds: int = 86_400, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Left rows with ``right_cols`` of the nearest right row; ``hot_rows=None`` keeps plain time chunks."""
     by = list(by)
     right_cols = list(right_cols)
     tol = int(round(tolerance_seconds * 1_000_000))
     if tol <= 0:
         raise ValueError("tolerance must be positive")
-    width = tol
-    if salt == "auto":
-        salt = auto_salt(left, on, by, width)
-    salt = int(salt)
-
     rt = epoch_micros(on)
     r0 = right.where(F.col(on).isNotNull())
     single = (right_order is not None and len(right_order) == 1
@@ -89,31 +68,31 @@ def asof_nearest(left: DataFrame, right: DataFrame, *, on: str, right_cols: Sequ
                 F.struct(F.lit(0).alias("ro"), F.col("_first").alias("r")),
                 F.struct(F.lit(1).alias("ro"), F.col("_last").alias("r")))).alias("_x")) \
                  .select(*by, "_t", F.col("_x.r").alias("_r"), F.col("_x.ro").alias("_o"))
-    r = r.withColumn("_b", F.explode(F.sequence(floor_div("_t", width) - 1, floor_div("_t", width) + 1)))
-    if salt > 1:
-        r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    r = r.withColumn("_side", F.lit(0))
+    r = r.withColumn("_side", F.lit(0).cast("long"))
 
     lcols = left.columns
-    lt = epoch_micros(on)
-    lft = left.select(*[F.col(k).alias(f"_k_{k}") for k in by],
-                      F.struct(*[F.col(c) for c in lcols]).alias("_l"),
-                      lt.alias("_t"), floor_div(lt, width).alias("_b"), F.lit(1).alias("_side"))
-    lft = lft.select(*[F.col(f"_k_{k}").alias(k) for k in by], "_l", "_t", "_b", "_side")
-    if salt > 1:
-        lft = lft.withColumn("_salt", F.pmod(F.xxhash64("_l"), F.lit(salt)).cast("int"))
-
-    u = lft.unionByName(r, allowMissingColumns=True)
-    part = [*by, "_b"] + (["_salt"] if salt > 1 else [])
+    lft = left.select(*[F.col(k).alias(f"_k_{k}") for k in by], F.struct(*[F.col(c) for c in lcols]).alias("_l"), epoch_micros(on).alias("_t"))
+    # at one instant right rows come first, left rows in any fixed order behind them
+    lft = lft.select(*[F.col(f"_k_{k}").alias(k) for k in by], "_l", "_t", (F.pmod(F.xxhash64("_l"), F.lit(1 << 40)) + 1).alias("_side"))
+    u, cols, part = scan_parts(lft.unionByName(r, allowMissingColumns=True), keys=by, time=F.col("_t"), chunk=floor_div("_t", int(chunk_seconds) * 1_000_000),
+                               second=F.col("_side"), hot_rows=hot_rows)
     w = Window.partitionBy(*part).orderBy("_t", "_side", "_o")
     # Forward match = last candidate in descending order (running frames only; a
     # frame to UNBOUNDED FOLLOWING would be quadratic per partition).
     w_rev = Window.partitionBy(*part).orderBy(F.col("_t").desc(), F.col("_side").desc(), F.col("_o").desc())
     cand = F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_r").alias("r")))
     u = u.withColumns({
+        "_rn": F.row_number().over(w),
         "_bk": F.last(cand, ignorenulls=True).over(w.rowsBetween(UNB_PREC, 0)),
         "_fw": F.last(cand, ignorenulls=True).over(w_rev.rowsBetween(UNB_PREC, 0)),
-    }).where(F.col("_side") == 1)
+    })
+    # the last right row of a part is its last row's backward match, the first its first row's forward match
+    ends = u.groupBy(*part).agg(last_row(u, F.col("_rn"))["_bk"].alias("_last"), last_row(u, -F.col("_rn"))["_fw"].alias("_first"))
+    forth, back = key_window(cols).orderBy("_ch", "_sub"), key_window(cols).orderBy(F.col("_ch").desc(), F.col("_sub").desc())
+    ends = ends.select(*part, F.last("_last", ignorenulls=True).over(forth.rowsBetween(UNB_PREC, -1)).alias("_before"),
+                       F.last("_first", ignorenulls=True).over(back.rowsBetween(UNB_PREC, -1)).alias("_behind"))
+    u = join_keys(u.where("_side > 0"), ends, part, "left")
+    u = u.withColumns({"_bk": F.coalesce("_bk", "_before"), "_fw": F.coalesce("_fw", "_behind")})
     db = F.col("_t") - F.col("_bk.t")
     df_ = F.col("_fw.t") - F.col("_t")
     back_ok = F.col("_bk").isNotNull() & (db <= tol)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.columns import present, shielded, slot_index
-from voltframe.operators.sequence import running_sum
+from voltframe.operators.sequence import HOT_ROWS, running_sum
 
 
 def in_range(ts: str, start: str, end: str) -> Column:
@@ -66,8 +66,8 @@ def daily_peaks(e: DataFrame, d: DataFrame, *, ts: str = "timestamp", e_value: s
 
 @shielded()
 def cumulative(df: DataFrame, *, ts: str, value: str, out: str = "cum_value", keys: Sequence[str] = (),
-               order: Sequence[str] | None = None, chunk_seconds: int = 86_400) -> DataFrame:
+               order: Sequence[str] | None = None, chunk_seconds: int = 86_400, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Running total in time order; a missing value (NULL, NaN) stays
     missing, the total carries on."""
     return running_sum(df, keys=keys, order=list(order) if order else [ts],
-                       chunk=slot_index(ts, chunk_seconds), value=value, out=out)
+                       chunk=slot_index(ts, chunk_seconds), value=value, out=out, hot_rows=hot_rows)

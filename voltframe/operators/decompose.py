@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltframe.functions.columns import finite, slot_index
-from voltframe.operators.sequence import dense_positions, halo_windows, join_small
+from voltframe.operators.sequence import HOT_ROWS, dense_positions, halo_windows, join_small
 
 
 def seasonal_decompose(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] = (), period: int = 24,
-                       chunk_seconds: int = 86_400 * 7, chunk_rows: int = 4096) -> DataFrame:
+                       chunk_seconds: int = 86_400 * 7, chunk_rows: int = 4096,
+                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     keys = list(keys)
     d = df.select(*keys, ts, finite(value).alias(value)).where(F.col(value).isNotNull())   # NaN and infinities are missing
-    d = dense_positions(d, keys=keys, order=[ts], chunk=slot_index(ts, chunk_seconds), pos="pos")
+    d = dense_positions(d, keys=keys, order=[ts], chunk=slot_index(ts, chunk_seconds), pos="pos", hot_rows=hot_rows)
     half = period // 2
     v = F.col(value)
 

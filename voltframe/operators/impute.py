@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltframe.functions.columns import epoch_micros, shielded, slot_index
-from voltframe.operators.sequence import NO_CHUNK, UNB_PREC, join_keys, key_window, last_row, null_free, split_hot_chunks
+from voltframe.operators.sequence import HOT_ROWS, UNB_PREC, join_keys, key_window, last_row, scan_parts, second_of
 
 
 @shielded()
@@ -32,8 +32,8 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
                    order: Sequence[str] | None = None, ffill_limit: int = 2,
                    interp_limit: int = 8, chunk_seconds: int = 86_400,
                    hot_rows: int | None = 4_000_000) -> DataFrame:
-    """``hot_rows``: a (key, chunk) with more rows is split into finer time parts
-    (``sequence.split_hot_chunks``); ``None`` keeps plain time chunks."""
+    """``hot_rows``: a (key, chunk) with more rows is cut finer (``sequence.scan_parts``); ``None``
+    keeps plain time chunks."""
     keys = list(keys)
     order = list(order) if order else [ts]
     if order[0] != ts:
@@ -41,13 +41,7 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
     v = F.col(value)
     # NaN is missing (as in pandas); NULL times sort last (pandas puts NaT last).
     d = df.withColumn(value, F.when(~F.isnan(v), v)) if isinstance(df.schema[value].dataType, T.DoubleType) else df
-    d, keys = null_free(d, keys, slot_index(ts, chunk_seconds))
-    if hot_rows:
-        d = split_hot_chunks(d, keys=keys, ts=ts, chunk="_ch", hot_rows=hot_rows)
-    else:
-        d = d.withColumn("_sub", F.lit(0).cast("long"))
-    d = d.withColumn("_sub", F.coalesce("_sub", F.lit(NO_CHUNK)))
-    part = keys + ["_ch", "_sub"]
+    d, keys, part = scan_parts(d, keys=keys, time=epoch_micros(ts), chunk=slot_index(ts, chunk_seconds), second=second_of(d, order), hot_rows=hot_rows)
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     # "Next valid" is the last valid value in descending order: a running frame,
     # evaluated incrementally (a frame to UNBOUNDED FOLLOWING is quadratic in Spark).
@@ -115,16 +109,15 @@ def handle_missing(df: DataFrame, *, ts: str, value: str, keys: Sequence[str] =
 
 @shielded()
 def time_gaps(df: DataFrame, *, ts: str, keys: Sequence[str] = (), order: Sequence[str] | None = None,
-              chunk_seconds: int = 86_400, out: str = "time_diff") -> DataFrame:
+              chunk_seconds: int = 86_400, out: str = "time_diff", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """W1 alone: seconds since the previous row of the same series."""
     keys = list(keys)
     order = list(order) if order else [ts]
-    d, keys = null_free(df, keys, slot_index(ts, chunk_seconds))
-    part = keys + ["_ch"]
+    d, keys, part = scan_parts(df, keys=keys, time=epoch_micros(ts), chunk=slot_index(ts, chunk_seconds), second=second_of(df, order), hot_rows=hot_rows)
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     d = d.withColumns({"_prev_ts": F.lag(F.col(ts)).over(w), "_rn": F.row_number().over(w)})
     last = d.groupBy(*part).agg(last_row(d, F.col("_rn"))[ts].alias("_last_ts"))
-    last = last.withColumn("_cts", F.lag("_last_ts").over(key_window(keys).orderBy(F.col("_ch").asc_nulls_last())))
+    last = last.withColumn("_cts", F.lag("_last_ts").over(key_window(keys).orderBy("_ch", "_sub")))
     d = join_keys(d, last.select(*part, "_cts"), part, "left")
     prev_ts = F.coalesce(F.col("_prev_ts"), F.col("_cts"))
     return (d.withColumn(out, (epoch_micros(ts) - epoch_micros(prev_ts)) / F.lit(1e6))

@@ -7,7 +7,7 @@ Runs are cut at chunk borders and joined again: rows are windowed per (key, time
 gives its runs' parts; only parts that touch the first or last row of their chunk (at most two per
 chunk) meet in a window over the chunk borders, where a part that goes on from the chunk before
 takes over its number. All other parts are whole runs already. A chunk holding more than
-``hot_rows`` rows is cut finer by time, as for imputation.
+``hot_rows`` rows is cut finer (``sequence.scan_parts``).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from voltframe.functions.columns import epoch_micros, present, shielded, slot_index
 from voltframe.operators.ranks import quantiles
-from voltframe.operators.sequence import UNB_PREC, join_keys, key_window, last_row, null_free, split_hot_chunks
+from voltframe.operators.sequence import UNB_PREC, join_keys, key_window, last_row, scan_parts, second_of
 
 
 @shielded()
@@ -33,12 +33,7 @@ def threshold_runs(df: DataFrame, *, ts: str, value: str, above: float, keys: Se
     order = list(order) if order else [ts]
     order = [ts] + [c for c in order if c != ts]
     d = df.select(*keys, *order, present(value).alias("_v")).where(F.col(ts).isNotNull())
-    d, cols = null_free(d, keys, slot_index(ts, chunk_seconds))
-    if hot_rows:
-        d = split_hot_chunks(d, keys=cols, ts=ts, chunk="_ch", hot_rows=hot_rows)
-    else:
-        d = d.withColumn("_sub", F.lit(0).cast("long"))
-    part = [*cols, "_ch", "_sub"]
+    d, cols, part = scan_parts(d, keys=keys, time=epoch_micros(ts), chunk=slot_index(ts, chunk_seconds), second=second_of(d, order), hot_rows=hot_rows)
     w = Window.partitionBy(*part).orderBy(*order)
     t = epoch_micros(ts)
     late = lambda now, before: F.lit(False) if max_gap_seconds is None else (now - before) > int(max_gap_seconds * 1_000_000)

@@ -12,6 +12,9 @@ bounded partition:
   reaches, the window runs per chunk and only home rows are kept.
 * ``running_sum`` - cumulative sum: per-chunk totals, prefix over chunks, then
   an in-chunk running sum.
+* ``scan_parts`` - the chunks themselves, on two levels: a chunk that holds too many
+  rows is cut at quantiles of its times, an instant (or the rows without a time) by
+  the next order column.
 
 Chunk tables have one row per (key, chunk); they are windowed per key and joined
 back. AQE turns those joins into broadcasts once their real size is known.
@@ -21,10 +24,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voltframe.functions.columns import floor_div, present
+from voltframe.functions.columns import epoch_micros, floor_div, present
 from voltframe.session import cut_lineage
 
 UNB_PREC = Window.unboundedPreceding
@@ -112,43 +116,78 @@ PER_KEY_BYTES = 32 << 20
 
 
 def broadcast_per_key(small: DataFrame, max_bytes: int = PER_KEY_BYTES) -> DataFrame:
-    """A per-key table, written once and measured (a job at plan-build time): hinted for broadcast
-    if its values take at most ``max_bytes``, else left to a shuffle join. Same rows either way."""
-    t = cut_lineage(small, "per-key")
-    width = F.lit(0)
-    for f in t.schema:
+    """A per-key table, written once and measured as it is written (at plan-build time): hinted for
+    broadcast if its values take at most ``max_bytes``, else left to a shuffle join. Same rows either way."""
+    width, watch = F.lit(0), Observation()
+    for f in small.schema:
         c = F.col(f"`{f.name}`")
         kind = f.dataType.typeName()
         width = width + (F.coalesce(F.octet_length(c), F.lit(0)) + 16 if kind in ("string", "binary") else F.coalesce(F.size(c), F.lit(0)) * 8 + 16 if kind == "array" else F.lit(8))
-    return F.broadcast(t) if (t.agg(F.sum(width)).first()[0] or 0) <= max_bytes else t
-
-
-def split_hot_chunks(df: DataFrame, *, keys: Sequence[str], ts: str, chunk: str, hot_rows: int) -> DataFrame:
-    """Add ``_sub``: 0 for ordinary chunks; for a chunk holding more than ``hot_rows``
-    rows, a finer time bucket sized so each part holds about ``hot_rows`` rows.
-
-    One aggregate (rows per key and chunk, partial map-side) finds the hot chunks.
-    There are at most rows / ``hot_rows`` of them, and the list is broadcast only
-    behind a row-count check, so the rows themselves are not shuffled for this.
-    ``(chunk, _sub)`` stays monotone in time (division by a positive width is
-    monotone), so it can replace ``chunk`` as the scan unit. The part width is the
-    chunk's occupied time span x ``hot_rows`` / rows, so a burst filling one minute
-    of a long chunk is still cut into ~``hot_rows`` parts.
+    t = cut_lineage(small.observe(watch, F.sum(width).alias("bytes")), "per-key")
+    return F.broadcast(t) if (watch.get["bytes"] or 0) <= max_bytes else t
+
+
+#: Rows above which a part of a scan is cut finer, cuts made at each of two levels, and rows of
+#: splitters (about 2 KB each) up to which they are broadcast.
+HOT_ROWS, CUTS, HOT_BROADCAST = 4_000_000, 256, 10_000
+
+
+def _hot_splitters(d: DataFrame, part: Sequence[str], by: Column, hot_rows: int, one_value: Column | None = None) -> DataFrame | None:
+    """``part`` and ``_cuts`` (sampled quantiles of ``by``) of the parts above ``hot_rows`` rows, or None.
+    With ``one_value`` only parts in which it does not vary."""
+    rule = F.count(F.lit(1)) > hot_rows
+    if one_value is not None:
+        rule = rule & F.min(one_value).eqNullSafe(F.max(one_value))
+    marks = [i / CUTS for i in range(1, CUTS)]
+    hot = d.groupBy(*part).agg(rule.alias("_hot")).where("_hot").drop("_hot")
+    if not hot.limit(1).count():
+        return None
+    found = join_keys(d.select(*part, by.alias("_by")), hot.withColumn("_is", F.lit(1)), part)
+    cuts = cut_lineage(found.groupBy(*part).agg(F.percentile_approx("_by", marks, 10_000).alias("_cuts")), "cuts")
+    return F.broadcast(cuts) if cuts.limit(HOT_BROADCAST + 1).count() <= HOT_BROADCAST else cuts
+
+
+def scan_parts(df: DataFrame, *, keys: Sequence[str], time: Column, chunk: Column, second: Column | None = None,
+               name: str = "_ch", hot_rows: int | None = HOT_ROWS) -> tuple[DataFrame, list[str], list[str]]:
+    """The parts of an order-dependent scan: ``name`` (the chunk) and ``_sub``, both free of NULLs and
+    monotone in (``time``, ``second``), so a scan goes through a series in order of (chunk, sub).
+
+    ``_sub`` is 0 unless a chunk holds more than ``hot_rows`` rows. Such a chunk is cut at sampled
+    quantiles of its own times, wherever in it a burst lies, and a single instant, or the rows without
+    a time, that are still above ``hot_rows`` at quantiles of ``second`` (the next column of the order,
+    as a long; where nothing orders rows of one instant, any hash of the row). Probes: one aggregate
+    (partial per task); only if it finds a hot chunk the rows are written once and cut.
+    Returns the rows, the null-free key columns and the columns of a part.
     """
-    from voltframe.functions.columns import epoch_micros
-    from voltframe.operators.event_windows import broadcast_if_small
-    keys = list(keys)
-    t = epoch_micros(ts)
-    counts = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_cn"), F.min(t).alias("_t0"),
-                                          F.max(t).alias("_t1")).where(F.col("_cn") > F.lit(hot_rows))
-    # Width from the rows' own time span in the chunk (a burst may fill only part of it).
-    span = (F.col("_t1") - F.col("_t0") + 1).cast("double")
-    hot = counts.select(*keys, chunk, F.greatest(F.lit(1.0), F.floor(
-        span * F.lit(float(hot_rows)) / F.col("_cn")).cast("double")).alias("_fw"))
-    hot = broadcast_if_small(hot, max_rows=1_000_000)
-    d = join_keys(df, hot, [*keys, chunk], "left")
-    sub = F.floor(epoch_micros(ts).cast("double") / F.col("_fw"))
-    return d.withColumn("_sub", F.when(F.col("_fw").isNull(), F.lit(0)).otherwise(sub).cast("long")).drop("_fw")
+    d, cols = null_free(df, keys, chunk, name)
+    part = [*cols, name]
+    zero = F.lit(0).cast("long")
+    if not hot_rows:
+        return d.withColumn("_sub", zero), cols, [*part, "_sub"]
+    d = d.withColumn("_time", time.cast("long"))
+    if not d.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).limit(1).count():
+        return d.drop("_time").withColumn("_sub", zero), cols, [*part, "_sub"]
+    d = cut_lineage(d, "hot-scan")
+    # even places lie between cuts; a value so frequent that it is several cuts has an odd place, a part of its own
+    place = lambda v: (F.size(F.filter("_cuts", lambda c: c < v)) * 2 + (F.size(F.filter("_cuts", lambda c: c == v)) > 1).cast("int")).cast("long")
+    cuts = _hot_splitters(d, part, F.col("_time"), hot_rows)
+    d = join_keys(d, cuts, part, "left").withColumn("_sub", F.when(F.col("_time").isNull() | F.col("_cuts").isNull(), zero).otherwise(place(F.col("_time")))).drop("_cuts")
+    if second is not None:
+        d = d.withColumn("_second", F.coalesce(second.cast("long"), F.lit(2**63 - 1)))
+        cuts = _hot_splitters(d, [*part, "_sub"], F.col("_second"), hot_rows, F.col("_time"))
+        if cuts is not None:
+            d = join_keys(d, cuts, [*part, "_sub"], "left")
+            d = d.withColumn("_sub", F.col("_sub") * (2 * CUTS + 2) + F.when(F.col("_cuts").isNull(), zero).otherwise(place(F.col("_second")))).drop("_cuts")
+        d = d.drop("_second")
+    return d.drop("_time"), cols, [*part, "_sub"]
+
+
+def second_of(df: DataFrame, order: Sequence[Column | str]) -> Column | None:
+    """What may split rows of one instant: the order's second column if it is integral, a hash of the
+    row if the order has none, else nothing."""
+    if len(order) < 2:
+        return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return F.col(order[1]) if isinstance(order[1], str) and isinstance(df.schema[order[1]].dataType, T.IntegralType) else None
 
 
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -165,18 +204,17 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
 
 
 def dense_positions(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column | str],
-                    chunk: Column, pos: str = "_pos") -> DataFrame:
-    """Add ``pos``: 0-based row position within each key in ``order``.
+                    chunk: Column, pos: str = "_pos", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Add ``pos``: 0-based row position within each key in ``order`` (the time first).
 
     ``chunk`` must be monotone in ``order`` (e.g. a time bucket of the leading
     order column). The order must be total (end it with a unique column).
     """
-    d, keys = null_free(df, list(keys), chunk, "_chunk")
-    part = keys + ["_chunk"]
+    d, keys, part = scan_parts(df, keys=list(keys), time=epoch_micros(order[0]), chunk=chunk, second=second_of(df, order), name="_chunk", hot_rows=hot_rows)
     d = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*_nulls_last(order))))
     counts = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_rn"].alias("_cn"))
     counts = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
+        "_off", F.coalesce(F.sum("_cn").over(key_window(keys).orderBy("_chunk", "_sub")
                                              .rowsBetween(UNB_PREC, -1)), F.lit(0)).cast("long"))
     d = join_keys(d, counts.select(*part, "_off"), part, "left")
     return d.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_rn") - 1).cast("long").alias(pos))
@@ -203,15 +241,14 @@ def halo_windows(df: DataFrame, *, keys: Sequence[str], pos: str, back: int, fwd
 
 
 def running_sum(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column | str],
-                chunk: Column, value: str, out: str) -> DataFrame:
+                chunk: Column, value: str, out: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Cumulative sum of ``value`` in ``order``; rows that are NULL or NaN stay NULL, the sum carries on."""
-    d, keys = null_free(df, list(keys), chunk, "_chunk")
-    part = keys + ["_chunk"]
+    d, keys, part = scan_parts(df, keys=list(keys), time=epoch_micros(order[0]), chunk=chunk, second=second_of(df, order), name="_chunk", hot_rows=hot_rows)
     w = Window.partitionBy(*part).orderBy(*_nulls_last(order))
     v = present(value)
     d = d.withColumns({"_in": F.sum(v).over(w.rowsBetween(UNB_PREC, 0)), "_rn": F.row_number().over(w)})
     tot = d.groupBy(*part).agg(last_row(d, F.col("_rn"))["_in"].alias("_ct"))
-    tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy(F.col("_chunk").asc_nulls_last())
+    tot = tot.withColumn("_before", F.sum("_ct").over(key_window(keys).orderBy("_chunk", "_sub")
                                                       .rowsBetween(UNB_PREC, -1)))
     d = join_keys(d, tot.select(*part, "_before"), part, "left")
     run = F.when(F.col("_in").isNull(), F.col("_before")).otherwise(
