@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as ent
 from tests.conftest import SF001
 from tests.llm.test_operators import DOCS, odd_rows
-from voltframe.llm import divergence, tokenalign, topk
+from voltframe.llm import divergence, jaccard, language, pii, quality, tokenalign, topk, urlfilter
 
 
 @pytest.fixture(scope="module")
@@ -195,3 +196,63 @@ def test_top_k_of_huge_components(spark):
 
 def test_top_k_of_one_vector(spark):
     assert topk.search(spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<double>"), F.col("vec_id") % 5 == 0).count() == 0
+
+
+# ------------------------------------------------------------------ earlier operators: no caps, no prefixes, linear time
+
+def test_words_of_the_thue_morse_kind_stay_apart(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rest = " one two three four five"
+    docs = spark.createDataFrame([(1, word), (2, other), (3, word + rest), (4, other + rest), (5, word.upper())], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs).collect()}
+    one = jaccard.Shingler()
+    assert one(word).tolist() != one(other).tolist() and one(word).tolist() == one(word.upper()).tolist()
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_shingle_hashes_of_random_words_differ():
+    rng = random.Random(1)
+    words = {"".join(rng.choice("abcdeé日") for _ in range(rng.randint(1, 40))) for _ in range(20_000)}
+    one = jaccard.Shingler(1)
+    assert len(one(" ".join(words))) == len(words)
+    assert sorted(h for w in list(words)[:200] for h in one(w)) == sorted(one(" ".join(list(words)[:200])).tolist())
+
+
+def test_shapes_are_read_whole_and_tokens_in_linear_time():
+    assert quality.codes("a1" * 7 + "B")[1] != quality.codes("a1" * 7 + "-")[1]
+    assert quality.codes("--Word!!")[0] == quality.codes("word")[0] and quality.codes("...") == quality.codes("...")
+    start = time.time()
+    quality.codes("x" + "." * 1_000_000 + "y")
+    quality.codes("." * 1_000_000)
+    pii.protect("key " + "a-" * 500_000)
+    assert time.time() - start < 3
+
+
+def test_secrets_keep_their_prefixes():
+    m = pii._SECRET.search("my-api_key=abc1234567")
+    assert m and m["body"] == "abc1234567"
+
+
+def test_many_languages_and_few_ids(spark):
+    ent._prepare(spark)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join((letters[k % 26] + letters[(k * 7 + 3) % 26] + letters[k // 26]) * 2 for _ in range(6)), f"lang{k:03d}") for k in range(250) for i in range(2 * k, 2 * k + 2)]
+    rows += [(i % 3, f"same few ids {'xyz'[i % 3]} text {i}", "few") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model["langs"]) == 251
+    found = language.predict([r[1] for r in rows[:500]], model)[0]
+    assert np.mean([f == r[2] for f, r in zip(found, rows)]) > 0.5
+    small = language.fit(docs.where("lang = 'few'").unionByName(docs.where("lang = 'few'")), rows_per_lang=50)
+    assert small["langs"] == ["few"]
+
+
+def test_deep_paths_keep_their_branches(spark):
+    deep = "/a/b/c/d/e/f/g/h/i/j/"
+    rows = [("h", f"{deep}good/x{i}", 0.0, 1.0) for i in range(20)] + [("h", f"{deep}bad/12{i}", 1.0, 0.0) for i in range(20)]
+    got = urlfilter.templates(spark.createDataFrame(rows, "host string, path string, bad double, good double")).collect()
+    assert {tuple(r.template) for r in got if "bad" in r.path} == {tuple("abcdefghij") + ("bad", "*")}
+    assert all(len(r.template) == 12 for r in got)

@@ -48,18 +48,25 @@ GROUPS, LEAF, FANOUT, TILE = 512, 16, 8, 256
 SKETCH_BITS = 18
 
 _rng = np.random.default_rng(8)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
-_BYTE[65:91] = _BYTE[97:123]                                  # A-Z count as a-z
+#: Words are hashed by polynomials modulo two primes: modulo a power of two, whatever the base, words of
+#: the Thue-Morse kind would meet.
+_PRIMES = (2**31 - 1, 2**31 - 19)
+_BASES = tuple(int(_rng.integers(2**20, p - 1)) for p in _PRIMES)
+_BYTES = tuple(_rng.integers(1, p, 256, dtype=np.uint64) for p in _PRIMES)
+for _b in _BYTES:
+    _b[65:91] = _b[97:123]                                    # A-Z count as a-z
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_BASE = 0x9E3779B97F4A7C15
 _PLACE = _rng.integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    p = np.full(n, base, dtype=np.uint64)
-    p[0] = 1
-    return np.cumprod(p, dtype=np.uint64)
+def _powers(n: int, base: int, prime: int) -> np.ndarray:
+    out, size = np.ones(n, dtype=np.uint64), 1
+    while size < n:
+        part = out[size:2 * size]
+        part[:] = out[:len(part)] * np.uint64(pow(base, size, prime)) % np.uint64(prime)
+        size *= 2
+    return out
 
 
 class Shingler:
@@ -70,17 +77,25 @@ class Shingler:
         self._grow(1 << 14)
 
     def _grow(self, n: int) -> None:
-        self.up, self.down = _powers(n, _BASE), _powers(n, pow(_BASE, -1, 2**64))
+        self.length = n
+        self.powers = [(_powers(n, base, p), _powers(n, pow(base, -1, p), p)) for base, p in zip(_BASES, _PRIMES)]
+
+    def words(self, b: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the words ``start:end`` of the bytes ``b``."""
+        halves = []
+        for (up, down), value, prime in zip(self.powers, _BYTES, map(np.uint64, _PRIMES)):
+            total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(value[b] * up[:len(b)] % prime, dtype=np.uint64)])
+            halves.append((total[end] - total[start]) % prime * down[start] % prime)
+        return _mix(halves[0] | halves[1] << np.uint64(32))
 
     def __call__(self, text: str | None) -> np.ndarray:
         b = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-        if len(b) >= len(self.up):
+        if len(b) >= self.length:
             self._grow(2 * len(b))
         blank = np.concatenate([[True], _BLANK[b], [True]])
         edge = np.flatnonzero(blank[1:] != blank[:-1])
         start, end = edge[::2], edge[1::2]
-        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_BYTE[b] * self.up[:len(b)], dtype=np.uint64)])
-        words = _mix((total[end] - total[start]) * self.down[start])
+        words = self.words(b, start, end)
         k = min(self.size, len(words))
         if k == 0:
             return words

@@ -7,9 +7,9 @@ summed logistic loss, and a near tie of the two best is flagged as ambiguous.
 Features: the whole lower-cased text, every run of other characters than letters folded to
 one space; 1- to 3-grams hashed into ``BUCKETS`` counts, square-rooted, unit length.
 
-The classifiers are fitted on about ``ROWS_PER_LANG`` rows of each language, chosen by a hash of
-the id; the languages learned are all non-null values (the ``MAX_LANGS`` most frequent, ties to
-the smaller name).
+The classifiers are fitted on about ``ROWS_PER_LANG`` different rows of each language, chosen by a
+hash of id and text, and on at least one; with so many languages that these would be more than
+``TRAIN_ROWS``, on fewer of each. All non-null languages that have a row with a letter are learned.
 
 Defined results: text that is NULL or has no letter is ``und`` with score 0; without any labelled
 row all rows are ``und``; with one language every text with a letter gets it; rows with a NULL id
@@ -25,9 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import crc_mod, map_batches, pick, table, uniform
+from voltframe.llm.common import broadcast_if_light, crc_mod, cut_lineage, map_batches, pick, table, uniform
 
-BUCKETS, ROWS_PER_LANG, MAX_LANGS = 2048, 400, 200
+#: Feature buckets; sampled rows per language, and in all: more languages have fewer rows each.
+BUCKETS, ROWS_PER_LANG, TRAIN_ROWS = 2048, 400, 20_000
 #: A text is ambiguous if the best codeword's probability leads the second's by less.
 AMBIGUOUS = 0.02
 UNDEFINED = "und"
@@ -86,13 +87,14 @@ def decode(margins: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def fit(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> dict:
-    """Model from ``docs(doc_id, text, lang)``."""
-    usable = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not counts:
-        return {"langs": []}
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], rows_per_lang / r["count"])])
-    chosen = usable.where(uniform(F.col("doc_id"), seed=5) < F.element_at(share, F.col("lang")) if len(counts) else F.lit(False))
+    """Model from ``docs(doc_id, text, lang)``: about ``rows_per_lang`` different rows of every language
+    (fewer each where all would be more than ``TRAIN_ROWS``), at least one of each that has letters."""
+    usable = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    usable = usable.withColumn("draw", uniform(F.col("doc_id"), F.col("text"), seed=5))
+    sizes = cut_lineage(usable.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"), F.min("draw").alias("least")), "languages")
+    rows_per_lang = min(rows_per_lang, max(1, TRAIN_ROWS // max(1, sizes.count())))
+    chosen = usable.join(broadcast_if_light(sizes), "lang").where((F.col("draw") < rows_per_lang / F.col("n")) | (F.col("draw") == F.col("least")))
+    chosen = chosen.dropDuplicates(["lang", "doc_id", "text"])
 
     def run(b: pa.RecordBatch) -> dict:
         got = [(i, features(t)) for i, t in enumerate(b.column("text").to_pylist()) if _LETTER.search(t)]

@@ -53,7 +53,7 @@ _IBAN_LENGTH = {c: int(n) for n, cs in (x.split(":") for x in (
     "30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for c in cs.split(",")}
 _SECRET_HINTS = ("AKIA", "ASIA", "password", "passwd", "token", "secret", "key", "Password", "PASSWORD", "Token", "TOKEN", "Secret", "SECRET", "Key", "KEY")
 _SECRET = re.compile(r"""(?P<head>(?<![A-Za-z0-9])(?:AKIA|ASIA)(?=[A-Z0-9]{16}(?![A-Za-z0-9]))
- |(?i:(?<![A-Za-z0-9])(?:[a-z]+[_-])*(?:password|passwd|token|secret|key)["']?[ ]?[=:][ ]?["']?(?=[^\s"']*[0-9])))(?P<body>[^\s"',;]{6,})""", re.X)
+ |(?i:(?<![A-Za-z0-9])(?:password|passwd|token|secret|key)["']?[ ]?[=:][ ]?["']?(?=[^\s"']*[0-9])))(?P<body>[^\s"',;]{6,})""", re.X)
 
 _FIRST, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 

@@ -38,14 +38,15 @@ THRESHOLD = 0.3
 _CHUNK = 1024
 _CACHE_WORDS = 200_000
 
-_EDGE = re.compile(r"^\W+|\W+$")
+_WORD = re.compile(r"\w")
 _UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[^\W\d_A]+"), re.compile(r"\d+")
 
 
 def codes(token: str) -> tuple[int, int]:
     """Buckets of a token's core and of its shape."""
-    core = _EDGE.sub("", token).lower()
-    shape = _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", token)))[:12]
+    first = _WORD.search(token)
+    core = token[first.start():len(token) - _WORD.search(token[::-1]).start()].lower() if first else ""
+    shape = _DIGIT.sub("0", _LOWER.sub("a", _UPPER.sub("A", token)))
     return zlib.crc32(core.encode()) % VOCAB, zlib.crc32(b"\0" + shape.encode()) % VOCAB
 
 
@@ -187,7 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
     chosen = bounded_sample(labels.where("doc_id IS NOT NULL AND label IS NOT NULL"), ["doc_id"], train_rows, seed=1)
     chosen = chosen.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     # at most about train_rows rows of 12 bytes: a proven bound for the broadcast
-    sample = cut_lineage(docs.join(F.broadcast(chosen), "doc_id"), "quality-sample")
+    sample = cut_lineage(docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"]), "quality-sample")
+    sample = bounded_sample(sample, ["doc_id", "text"], train_rows, seed=2)   # an id may have many texts
     vectors, index = word_vectors(sample), index_vectors()
 
     def features(b: pa.RecordBatch) -> dict:

@@ -13,7 +13,7 @@ allow rule fits is good; any other counts as good with weight ``UNLABELLED``.
 
 Everything is a DataFrame aggregate per (host, template, segment): rows are first summed per
 (host, path), so a host or path that holds a third of all rows meets in partial sums, and
-decisions come back by joins that AQE can split. The levels below ``DEPTH`` share one wildcard.
+decisions come back by joins that AQE can split. Segments below ``DEPTH`` become wildcards by their form only.
 
 Defined results: a NULL url or one without ``://`` has an empty host and path and is judged by
 the method (its own host ``''``); a NULL page_id stays NULL; repeated rows get a row each; an empty
@@ -76,7 +76,9 @@ def templates(urls: DataFrame) -> DataFrame:
                  .withColumn("template", F.when(F.col("seg").isNotNull(), F.concat("template", F.array("seg"))).otherwise(F.col("template")))
                  .select("host", "path", "bad", "good", "segs", "template"))
         paths = cut_lineage(paths, "templates")
-    return paths.withColumn("template", F.when(F.size("segs") > DEPTH, F.concat("template", F.array(F.lit("**")))).otherwise(F.col("template"))).drop("segs")
+    # deeper segments keep their forms: no level is dropped, but below DEPTH names are not widened by their number
+    deeper = F.transform(F.slice("segs", F.lit(DEPTH + 1), F.greatest(F.size("segs") - DEPTH, F.lit(0))), _form)
+    return paths.withColumn("template", F.concat("template", deeper)).drop("segs")
 
 
 def purities(paths: DataFrame) -> DataFrame:
