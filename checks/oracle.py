@@ -593,6 +593,8 @@ def _q():
         *E_CHAIN(["region"]), f"cm AS (SELECT region, {aggs} FROM e WHERE "
         + " AND ".join(f"{c} IS NOT NULL" for c in fcols) + " GROUP BY region)") + sel)
     q["src_csv_roundtrip"] = rnd(["value"], with_(EM_RAW) + 'SELECT row_id, "timestamp", region, value FROM em_raw')
+    q["src_csv_bad_rows"] = rnd(["value"], with_(EM_RAW) + (
+        "SELECT row_id, region, CASE WHEN value < 0 THEN NULL ELSE value END AS value, CASE WHEN value < 0 THEN 'value' END AS bad_fields FROM em_raw"))
     q["src_bad_bodies"] = with_(EM_RAW) + (
         "SELECT * FROM (SELECT row_id, CASE WHEN row_id % 17 = 0 THEN 'no data' WHEN row_id % 19 = 0 THEN 'malformed' "
         "WHEN row_id % 23 = 0 THEN 'empty' END AS reason FROM em_raw) WHERE reason IS NOT NULL")

@@ -115,3 +115,17 @@ def test_kde_skips_singular_groups(spark):
     assert set(out.g) == {"b"}
     assert (out.n == 2).all()
     same(list(out.density_common), list(out.density * 2 / 5))
+
+
+def test_kde_meets_near_grid_points_only_and_keeps_the_whole_grid(spark):
+    rng = np.random.default_rng(8)
+    data = np.concatenate([rng.normal(0, 1, 3000), [1e4]])   # one far value: most of the grid is far from all
+    out = kde_curves(spark.createDataFrame(pd.DataFrame({"x": data, "g": "a"})), ["x"], "g").toPandas().sort_values("i")
+    bw = data.std(ddof=1) * len(data) ** -0.2
+    grid = np.linspace(data.min() - 3 * bw, data.max() + 3 * bw, 200)
+    dens = np.exp(-0.5 * ((grid[:, None] - data[None, :]) / bw) ** 2).sum(1) / (len(data) * bw * math.sqrt(2 * math.pi))
+    assert list(out.i) == list(range(200)) and np.abs(out.density.to_numpy() - dens).max() < 2.0 ** -50
+    assert (out.density == 0).any()
+    normal = rng.normal(0, 1, 100_000)
+    bw = normal.std(ddof=1) * len(normal) ** -0.2
+    assert 18 * bw / ((normal.max() - normal.min() + 6 * bw) / 199) < 50   # grid points a value meets

@@ -113,3 +113,28 @@ def test_event_window_bounds_reach_the_scan(spark, whole_days):
     pairs = e.crossJoin(cat.select("region", "window_lo", "window_hi")).where(cond)   # three windows
     assert out.count() == pairs.count() > 0
     assert attach_events(e, cat.limit(0), **kw).count() == 0
+
+
+@pytest.mark.parametrize("max_rows", [200_000, 0])
+@pytest.mark.parametrize("whole_days", [False, True])
+def test_windows_of_any_length_have_at_most_two_index_rows(spark, whole_days, max_rows):
+    from voltframe.operators.event_windows import attach_events, window_index
+    win = spark.sql("""SELECT * FROM VALUES
+        ('ten years', 'a', TIMESTAMP_NTZ '2015-03-01 06:00:00', TIMESTAMP_NTZ '2025-03-01 05:00:00'),
+        ('before 1970', 'a', TIMESTAMP_NTZ '1969-12-30 12:00:00', TIMESTAMP_NTZ '1970-01-02 00:00:00'),
+        ('instant', 'b', TIMESTAMP_NTZ '2024-01-01 00:00:00', TIMESTAMP_NTZ '2024-01-01 00:00:00'),
+        ('week', 'b', TIMESTAMP_NTZ '2024-01-01 06:00:00', TIMESTAMP_NTZ '2024-01-08 07:00:00'),
+        ('reversed', 'b', TIMESTAMP_NTZ '2024-01-08 06:00:00', TIMESTAMP_NTZ '2024-01-01 07:00:00'),
+        ('open', 'b', TIMESTAMP_NTZ '2024-01-08 06:00:00', NULL) AS t(event_id, region, window_lo, window_hi)""")
+    per = {r.event_id: r["count"] for r in window_index(win).groupBy("event_id").count().collect()}
+    assert set(per) == {"ten years", "before 1970", "instant", "week"} and max(per.values()) <= 2
+    series = spark.sql("""SELECT id, IF(id % 2 = 0, 'a', 'b') AS region, t AS timestamp FROM (
+        SELECT 2 * id + k AS id, timestampadd(HOUR, 3 * k, timestampadd(DAY, CAST(CASE WHEN id < 40 THEN id - 20 ELSE 16000 + id * 23 END AS INT), TIMESTAMP_NTZ '1970-01-01 00:00:00')) AS t
+        FROM range(300) LATERAL VIEW explode(sequence(0, 7)) AS k)
+        UNION ALL SELECT -1, 'b', TIMESTAMP_NTZ '2024-01-01 00:00:00' UNION ALL SELECT -2, 'b', TIMESTAMP_NTZ '2024-01-08 07:00:00' UNION ALL SELECT -3, 'b', NULL""")
+    out = attach_events(series, win, ts="timestamp", series_key="region", window_key="region", whole_days=whole_days, broadcast_max_rows=max_rows)
+    cut = (lambda t: t.date()) if whole_days else (lambda t: t)
+    wins = [w for w in win.collect() if w.window_lo and w.window_hi and w.window_lo <= w.window_hi]
+    want = sorted((r.id, w.event_id) for r in series.collect() for w in wins
+                  if r.timestamp and r.region == w.region and cut(w.window_lo) <= cut(r.timestamp) <= cut(w.window_hi))
+    assert sorted((r.id, r.event_id) for r in out.collect()) == want and len({e for _, e in want}) == 4

@@ -113,3 +113,17 @@ def test_chart_datasets_all_run(spark):
     assert len(charts) == 22
     for name, df in charts.items():
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_bad_csv_fields_are_reported(spark, tmp_path):
+    from voltframe.sources.files import read_csv_checked
+    (tmp_path / "in.csv").write_text("timestamp,region,value\n2024-01-01T00:00:00,a,1.5\n2024-01-01T01:00:00,b,oops\nnever,c,2\n"
+                                     "2024-01-01T02:00:00,,\n2024-01-01T03:00:00,d\n2024-01-01T04:00:00,e,1,2\nbad,f,bad\n")
+    schema = T.StructType().add("timestamp", "timestamp_ntz").add("region", "string").add("value", "double")
+    good, bad = read_csv_checked(spark, str(tmp_path), schema)
+    assert sorted((r.region or "", r.value) for r in good.collect()) == [("", None), ("a", 1.5)]
+    assert good.count() == 2 and good.columns == ["timestamp", "region", "value"]
+    told = {r.line: (r.file, r.bad_fields) for r in bad.collect()}
+    assert told == {"2024-01-01T01:00:00,b,oops": ("in.csv", ["value"]), "never,c,2": ("in.csv", ["timestamp"]),
+                    "2024-01-01T03:00:00,d": ("in.csv", []), "2024-01-01T04:00:00,e,1,2": ("in.csv", []), "bad,f,bad": ("in.csv", ["timestamp", "value"])}
+    assert bad.select("line").count() == 5

@@ -499,6 +499,20 @@ def q_src_csv_roundtrip(spark, sf):
     return read_csv_typed(spark, path, em.schema, timestamp_format=fmt)
 
 
+def q_src_csv_bad_rows(spark, sf):
+    """S3: a CSV in which the sensor wrote a word for each negative value: the rows that do not fit the
+    schema are told with the fields at fault, the others read as usual."""
+    from voltframe.plans.stage import stage_path
+    from voltframe.sources.files import read_csv_checked, write_table
+    em = _em_raw(spark, sf).select("row_id", "region", "value")
+    path = stage_path(spark, stage_key("emissions_words_csv", sf))
+    write_table(em.withColumn("value", F.when(F.col("value") < 0, "below zero").otherwise(F.col("value").cast("string"))), path, fmt="csv")
+    good, bad = read_csv_checked(spark, path, em.schema)
+    told = bad.select(F.split("line", ",")[0].cast("long").alias("row_id"), F.split("line", ",")[1].alias("region"),
+                      F.lit(None).cast("double").alias("value"), F.array_join("bad_fields", ",").alias("bad_fields"))
+    return good.withColumn("bad_fields", F.lit(None).cast("string")).unionByName(told)
+
+
 def q_src_demand_paging(spark, sf):
     """Which landed pages a request uses: up to its first short, empty or failed page."""
     return follow_pages(td.demand_numbered_pages(_events(spark, sf)), keys=["respondent"], page="page", page_size=3).drop("body")
