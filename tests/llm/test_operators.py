@@ -1,7 +1,10 @@
 """Every operator on awkward rows, and against brute force, an exact round trip or held-out accuracy."""
 
+import math
 import random
 import re
+import time
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -478,6 +481,94 @@ def test_url_templates(spark):
     assert len({got[p].template for p in got if p.startswith("/u/")}) == 1 and got["/news/3.html"].verdict == "allow"
 
 
+def test_url_branches_of_one_host(spark):
+    """One host with accepted and rejected branches, by words, pages without substance, copies and other hosts."""
+    text = "<p>" + "some words of a page that tells a story " * 8
+    rows = [(f"http://mixed.org/news/{i}", f"<html>{text}{i}</html>") for i in range(30)]
+    rows += [(f"http://mixed.org/casino/{i}", f"<html>{text}c{i}</html>") for i in range(30)]
+    rows += [(f"http://mixed.org/links/{i}", "<html>" + "<a href='/x'>a link</a> " * 20 + f"{i}</html>") for i in range(30)]
+    rows += [(f"http://mixed.org/bare/{i}", f"<html><script>{'x' * 500}</script>{i}</html>") for i in range(30)]
+    rows += [(f"http://mixed.org/print/{i}", f"<html>{text}{i}</html>") for i in range(30)]     # the html of /news/
+    rows += [("http://mixed.org/es/1", f"<html>{text}es</html>"), ("http://mixed.org/it/1", f"<html>{text}it</html>")]
+    rows += [(f"http://h{k}.net/es/{i}", f"<html>{text}n{k}.{i}</html>") for k in range(9) for i in range(5)]        # blocked by a rule
+    got = {}
+    for r in urlfilter.judge(spark.createDataFrame(rows * 2, "url string, html string"), ["url"]).collect():
+        if r.host == "mixed.org":
+            got.setdefault(r.path.split("/")[1], set()).add(r.verdict)
+    assert got == {"news": {"allow"}, "casino": {"block"}, "links": {"block"}, "bare": {"block"}, "print": {"block"}, "es": {"block"}, "it": {"allow"}}
+
+
+def test_page_evidence_is_linear(spark):
+    for html in ("<" * 1_000_000, "<script>" * 125_000, "<a href=x>" * 100_000, " " * 1_000_000 + "x", "<a" * 500_000):
+        t = time.time()
+        assert spark.createDataFrame([(html,)], "html string").select(urlfilter.without_substance(F.col("html"))).first()[0] is True
+        assert time.time() - t < 20
+
+
+def _brute_urls(urls):
+    """(host, path) -> (branch, purity) of (host, path, bad, good, told) rows: the method in plain Python."""
+    form = lambda s: re.sub(r"(?s)^(?:[0-9]+|[0-9]{2,4}(?:[-_][0-9]{1,2}){1,2}|(?=.*[0-9])[0-9a-fA-F-]{8,}|(?=.*[0-9]).{16,})$", "*", s)
+    segs = {(h, p): [form(x) for x in p.split("/") if x] for h, p, *_ in urls}
+    made = {k: [] for k in segs}
+    for level in range(max(map(len, segs.values()))):
+        nodes = {}
+        for k, v in segs.items():
+            if len(v) > level:
+                nodes.setdefault((k[0], tuple(made[k])), []).append(v[level])
+        for k, v in segs.items():
+            if len(v) > level:
+                n = Counter(nodes[k[0], tuple(made[k])])
+                wide = len(n) >= urlfilter.MANY and sum(c == 1 for c in n.values()) >= urlfilter.SINGLES * len(n)
+                made[k] = made[k] + ["*" if wide and n[v[level]] == 1 else v[level]]
+    leaf = {}
+    for h, p, bad, good, told in urls:
+        x = leaf.setdefault((h, tuple(made[h, p])), [0.0] * 4)
+        for i, v in enumerate((bad, good, bad * told, good * told)):
+            x[i] += v
+    smooth = lambda b, g, prior: (b + urlfilter.STRENGTH * prior) / (b + g + urlfilter.STRENGTH)
+    total = lambda pick: [sum(x[i] for k, x in leaf.items() if pick(k)) for i in range(4)]
+    branch = {}
+    for (h, t), x in leaf.items():
+        f = total(lambda k: k[0] == h and k[1][:-1] == t[:-1])
+        rate = f[0] / (f[0] + f[1])
+        spread = math.sqrt(rate * (1 - rate) * (1 / (x[0] + x[1]) + 1 / (f[0] + f[1])))
+        branch[h, t] = (*t[:-1], "+") if abs(x[0] / (x[0] + x[1]) - rate) <= urlfilter.Z * spread else t
+    out = {}
+    for (h, t), b in branch.items():
+        mine = total(lambda k: k[0] == h and branch[k] == b)
+        home = total(lambda k: k[0] == h)
+        shapes = [t2 for (h2, t2) in leaf if h2 == h and branch[h, t2] == b]
+        other = [sum(x[i] for k, x in leaf.items() if k[0] != h and k[1] == t2) for i in (2, 3) for t2 in shapes]
+        other = sum(other[:len(shapes)]), sum(other[len(shapes):])
+        prior = (smooth(home[0], home[1], urlfilter.PRIOR) + smooth(*other, urlfilter.PRIOR)) / 2
+        out[h, t] = "/" + "/".join(b), smooth(mine[0], mine[1], prior)
+    return {(h, p): out[h, tuple(made[h, p])] for h, p, *_ in urls}
+
+
+def test_url_tree_against_brute_force(spark):
+    rng = random.Random(9)
+    names = [f"n{chr(97 + i)}{chr(97 + j)}" for i in range(9) for j in range(6)]
+    urls = {}
+    for host in ("a.org", "b.org", "c.com"):
+        for _ in range(150):
+            depth = rng.choice((0, 1, 2, 3, 6, 12))
+            path = "".join("/" + (rng.choice(("en", "de")) if i < 4 else rng.choice(names) if i % 2 else str(rng.randrange(10**6))) for i in range(depth))
+            told = rng.random() < 0.4
+            bad = float(rng.random() < (0.8 if "/de" in path else 0.2))
+            urls[host, path] = (host, path, bad if told else bad / 4, 1 - bad if told else (1 - bad) / 4, told)
+    # below six fixed segments: a wide node that only a tree of every level can find
+    urls |= {("deep.org", f"/a/b/c/d/e/f/{n}/z"): ("deep.org", f"/a/b/c/d/e/f/{n}/z", 0.25, 0.0, False) for n in names}
+    df = spark.createDataFrame(list(urls.values()), "host string, path string, bad double, good double, told boolean")
+    paths = urlfilter.templates(df)
+    got = paths.join(urlfilter.purities(paths), ["host", "template"]).collect()
+    want = _brute_urls(list(urls.values()))
+    assert len(got) == len(want)
+    for r in got:
+        branch, purity = want[r.host, r.path]
+        assert "/" + "/".join(r.branch) == branch and abs(r.purity - purity) < 1e-12, r
+    assert {tuple(r.template) for r in got if r.host == "deep.org"} == {tuple("abcdef") + ("*", "z")}
+
+
 # ------------------------------------------------------------------ 10 WARC
 
 def test_warc_round_trip(spark):
