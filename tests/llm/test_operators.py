@@ -588,6 +588,8 @@ def test_warc_round_trip(spark):
 
 def test_warc_index_blocks(spark, monkeypatch):
     monkeypatch.setattr(warc, "PER_BLOCK", 7)
+    monkeypatch.setattr(warc, "SEGMENT_BITS", 2)     # the directory's search in two steps, and its ranges
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 40)
     df = spark.createDataFrame([(i, f"http://h{i % 13}.example/{i}", f"page {i % 40}") for i in range(300)], "page_id long, url string, html string")
     archive = warc.write(df, least_bytes=100)
     blocks, directory = warc.index(spark, archive)
@@ -596,6 +598,37 @@ def test_warc_index_blocks(spark, monkeypatch):
     assert sorted(r.page_id for r in got) == list(range(0, 300, 3)) and {r.record_type for r in got} == {"response"}
 
 
+def test_warc_file_sizes(spark):
+    """Small pages beside large ones: no file holds more than the bound, but for a single record."""
+    import os
+    df = spark.range(8000).selectExpr("id AS page_id", "concat('http://h/', id) AS url", "concat('page ', id) AS html").unionByName(
+        spark.range(12).selectExpr("id + 10000 AS page_id", "concat('http://big/', id) AS url", "concat(id, repeat('x', 1000000)) AS html")).unionByName(
+        spark.range(2).selectExpr("id + 20000 AS page_id", "NULL AS url", "concat(id, repeat('y', 9000000)) AS html")).coalesce(2)
+    archive = warc.write(df)
+    folder = archive.removeprefix("file:")
+    sizes = sorted(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith("part-"))
+    assert sizes[-3] <= warc.PER_FILE + (1 << 20) and sizes[-1] < 9_100_000
+    blocks, directory = warc.index(spark, archive)
+    got = warc.lookup(spark, archive, blocks, directory, warc.keys_of(df)).select("page_id", F.octet_length("payload").alias("n")).collect()
+    assert len(got) == 8014 and sum(r.n for r in got) == df.agg(F.sum(F.octet_length("html"))).first()[0]
+
+
+@pytest.mark.parametrize("name", ["op9", "op10"])
+def test_pages_with_clashing_columns_and_long_urls(spark, name):
+    """Extra columns named like internal ones, a very long URL, and NULLs, change nothing."""
+    rows = [(1, "http://a.org/" + "x/" * 300 + "?q=" + "y" * 200_000, "<p>one", 1, "d"), (2, "http://" + "h" * 100_000 + "/p", None, 2, None), (3, None, "<p>three", None, "e"), (3, None, "<p>three", None, "e")]
+    full = spark.createDataFrame(rows, "page_id long, url string, html string, size int, digest string").withColumns({"host": F.lit("z"), "path": F.lit("z"), "bad": F.lit(1), "key": F.lit("k"), "kind": F.lit(9), "template": F.lit("t")})
+    plain = full.select("page_id", "url", "html")
+    if name == "op9":
+        run = lambda d: urlfilter.judge(urlfilter.pick(d, page_id="long", url="string", html="string"), ["page_id"]).select("page_id", "host", "path", "rule", "verdict")
+    else:
+        def run(d):
+            archive = warc.write(d)
+            return warc.lookup(spark, archive, *warc.index(spark, archive), warc.keys_of(d)).select("page_id", "url", "payload", "refers_to")
+    sort = lambda d: sorted(map(repr, d.collect()))
+    assert sort(run(full)) == sort(run(plain)) and len(sort(run(full))) == 4
+
+
 def test_folds_are_crc32(spark):
     import zlib
     got = spark.range(50).select("id", crc_mod(F.col("id"), 5).alias("m")).collect()

@@ -1,15 +1,18 @@
 """Operator 10: WARC archives with a two-level capture index.
 
 Writing: every page becomes one WARC/1.1 record; Spark's text writer writes the records of a task
-to archive files (``PER_FILE`` bytes each on average), the record separator being its line
-separator, so a failed task's files are never committed. Of records with equal payloads of at
+to archive files, the record separator being its line separator, so a failed task's files are never
+committed. Pages are written by classes of size (``CLASSES``), each with as many records per file as fit
+``PER_FILE`` bytes at the class's largest size, so no file's payloads exceed ``PER_FILE`` bytes unless
+it is a single record. Of records with equal payloads of at
 least ``least_bytes`` bytes the one with the largest page id is the response, the others are
 revisit records without the payload; found by one aggregate over digests.
 
 Index: the archives are scanned; each record's entry (reversed-host URL key, page id, file, offset,
 length, type) is range-sorted by key; ``PER_BLOCK`` entries at a time are compressed into a block,
-and a sparse directory keeps each block's first and last key. A lookup searches the directory
-binarily, decompresses just the blocks it names, searches in them binarily, and reads just the
+and a sparse directory keeps each block's first and last key. A lookup deals its keys to segments of
+the directory (``PER_SEGMENT`` blocks; only the segments' first and last keys pass the driver, a row per
+``PER_SEGMENT * PER_BLOCK`` captures), searches each segment binarily in the tasks, decompresses just the blocks it names, searches in them binarily, and reads just the
 byte ranges found. (Spark's file readers give Python whole files, so in the bulk read a range is cut
 from an archive file, whose size is bounded.)
 
@@ -32,10 +35,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltframe.llm.common import BROADCAST_ROWS, broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
+from voltframe.llm.common import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, cut_lineage, map_batches, map_sorted_groups, pick, table
 from voltframe.session import table_path
 
-PER_FILE, PER_BLOCK = 4 << 20, 256
+PER_FILE, PER_BLOCK, SEGMENT_BITS = 4 << 20, 256, 9
+PER_SEGMENT = 1 << SEGMENT_BITS
+#: Largest payload of each class of size; what is larger has a file of its own.
+CLASSES = (4 << 10, 64 << 10, 1 << 20, PER_FILE)
 LEAST_BYTES = 0
 WARC_DATE = "2024-01-01T00:00:00Z"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -79,7 +85,10 @@ def write(pages: DataFrame, least_bytes: int = LEAST_BYTES, path: str | None = N
     body = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", _plain(F.col("url")).alias("url"), body.alias("html"), base32_sha1(body.cast("binary")).alias("digest"), F.octet_length(body).cast("long").alias("size"))
     seen = cut_lineage(rows.groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n")), "digests")
-    size = seen.agg(F.sum(F.col("size") * F.col("n")).alias("bytes"), F.sum("n").alias("n")).first()
+    kind = F.lit(0)
+    for c in CLASSES:
+        kind = kind + (F.col("size") > c).cast("int")
+    kinds = sorted(r.kind for r in seen.select(kind.alias("kind")).distinct().collect()) or [0]
     again = broadcast_if_small(cut_lineage(seen.where((F.col("n") > 1) & (F.col("size") >= least_bytes)).select("digest", "size", "first"), "repeated"), BROADCAST_ROWS // 8)
     rows = rows.join(again, ["digest", "size"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
@@ -94,8 +103,10 @@ def write(pages: DataFrame, least_bytes: int = LEAST_BYTES, path: str | None = N
         header("X-Page-Id", F.col("page_id")), header("X-Payload-Length", F.col("size")), header("X-Refers-To-Page-Id", F.when(revisit, F.col("first"))),
         header("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
         header("Content-Length", F.octet_length(block)), F.lit("\r\n"), block)
-    per_file = max(1, PER_FILE // max(1, int(size.bytes or 0) // max(1, int(size.n or 0))))
-    rows.select(record.alias("value")).write.option("lineSep", _END).option("maxRecordsPerFile", per_file).text(path)
+    out = rows.select(kind.alias("kind"), record.alias("value"))
+    for k in kinds:
+        per_file = PER_FILE // CLASSES[k] if k < len(CLASSES) else 1
+        out.where(F.col("kind") == k).select("value").write.mode("append").option("lineSep", _END).option("maxRecordsPerFile", per_file).text(path)
     return path
 
 
@@ -155,36 +166,55 @@ def index(spark: SparkSession, archive: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _searched(wanted: DataFrame, directory: list, exact: bool) -> DataFrame:
-    """(block, key) for the blocks of a sorted directory (at most BROADCAST_ROWS rows) that may
+    """(segment, key) for the segments of a sorted directory (at most BROADCAST_ROWS rows) that may
     hold each wanted key, or a key that begins with it."""
-    first, last, ids = [r["first"] for r in directory], [r["last"] for r in directory], [r["block"] for r in directory]
+    first, last, ids = [r["first"] for r in directory], [r["last"] for r in directory], [r["segment"] for r in directory]
     shared = wanted.sparkSession.sparkContext.broadcast((first, last, ids))
 
     def run(b: pa.RecordBatch) -> dict:
         first, last, ids = shared.value
-        key, block = [], []
+        key, segment = [], []
         for k in b.column("key").to_pylist():
             for i in range(bisect_left(last, k), bisect_right(first, k if exact else k + "\U0010ffff")):
                 key.append(k)
-                block.append(ids[i])
-        return {"key": key, "block": block}
+                segment.append(ids[i])
+        return {"key": key, "segment": segment}
 
-    return map_batches(wanted, run, "key string, block long")
+    return map_batches(wanted, run, "key string, segment long")
+
+
+def _blocks_of(directory: DataFrame, wanted: DataFrame, exact: bool) -> DataFrame:
+    """(block, key) for the blocks that may hold each of ``wanted(key)``, found in two steps: the keys are
+    dealt to segments of the directory, then each segment is searched beside its keys."""
+    segment = F.shiftright("block", SEGMENT_BITS)    # blocks are numbered within a range of keys, so a segment's follow one another
+    tops = cut_lineage(directory.groupBy(segment.alias("segment")).agg(F.min("first").alias("first"), F.max("last").alias("last")), "index-segments")
+    wanted, step, parts = wanted.select("key").distinct(), BROADCAST_ROWS // 8, []
+    n = tops.count()
+    # segments are searched in ranges of a fixed number of rows, so what is sent out is bounded
+    cuts = tops.stat.approxQuantile("segment", [i * step / n for i in range(1, -(-n // step))], 0.0) if n > step else []
+    for low, high in zip([-1, *cuts], [*cuts, 2**63 - 1]):
+        rows = tops.where((F.col("segment") > int(low)) & (F.col("segment") <= int(high))).orderBy("first", "segment").collect()
+        parts.append(_searched(wanted, rows, exact))
+    dealt = parts[0]
+    for p in parts[1:]:
+        dealt = dealt.unionByName(p)
+    both = directory.select(segment.alias("segment"), "block", "first", "last").unionByName(dealt, allowMissingColumns=True)
+
+    def find(t: pa.Table) -> dict | None:
+        rows = t.to_pylist()
+        keys = [r["key"] for r in rows if r["block"] is None]
+        held = sorted((r["first"], r["block"], r["last"]) for r in rows if r["block"] is not None)
+        first, last = [r[0] for r in held], [r[2] for r in held]
+        got = [(held[i][1], k) for k in keys for i in range(bisect_left(last, k), bisect_right(first, k if exact else k + "\U0010ffff"))]
+        return dict(zip(("block", "key"), map(list, zip(*got)))) if got else None
+
+    return map_sorted_groups(both, ["segment"], find, "block long, key string")
 
 
 def lookup(spark: SparkSession, archive: str, blocks: DataFrame, directory: DataFrame, wanted: DataFrame, exact: bool = True) -> DataFrame:
     """Records of ``archive`` for ``wanted(key)``: exact index keys, or (``exact=False``) URL sort
     keys. -> key, page_id, url, record_type, refers_to, payload_length, payload, digest (as read)."""
-    step, parts = BROADCAST_ROWS // 8, []
-    n = directory.count()
-    # the directory is searched in ranges of a fixed number of rows, so what is sent out is bounded
-    cuts = directory.stat.approxQuantile("block", [i * step / n for i in range(1, -(-n // step))], 0.0) if n > step else []
-    for low, high in zip([-1, *cuts], [*cuts, 2**63 - 1]):
-        rows = directory.where((F.col("block") > int(low)) & (F.col("block") <= int(high))).orderBy("first", "block").collect()
-        parts.append(_searched(wanted.select("key").distinct(), rows, exact))
-    asked = parts[0]
-    for p in parts[1:]:
-        asked = asked.unionByName(p)
+    asked = _blocks_of(directory, wanted, exact)
     # a block travels once, beside the keys asked of it
     asked = blocks.select("block", "data", F.lit(None).cast("string").alias("key")).unionByName(asked.select("block", F.lit(None).cast("binary").alias("data"), "key"))
 
@@ -200,8 +230,9 @@ def lookup(spark: SparkSession, archive: str, blocks: DataFrame, directory: Data
         return {"file": [names[lines[i][1]] for i in at], "at": [lines[i][2] for i in at], "length": [lines[i][3] for i in at], "key": [lines[i][0] for i in at]} if at else None
 
     ranges = map_sorted_groups(asked, ["block"], find, "file string, at long, length long, key string").distinct()
-    per_file = cut_lineage(ranges.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", "length", "key"))).alias("ranges"), F.count("*").alias("n")), "ranges")
-    small = (per_file.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] or 0) <= BROADCAST_ROWS // 4
+    per_file = cut_lineage(ranges.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", "length", "key"))).alias("ranges"), (F.sum(F.octet_length("key") + 32)).alias("bytes")), "ranges")
+    small = (per_file.agg(F.sum("bytes")).first()[0] or 0) <= BROADCAST_BYTES
+    per_file = per_file.select("file", "ranges")
     files = _files(spark, archive).join(F.broadcast(per_file) if small else per_file, F.col("path") == F.col("file"))
 
     def read(b: pa.RecordBatch) -> dict:
