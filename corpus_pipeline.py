@@ -35,11 +35,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Text replaced; ``n_chars``, where there is one, follows a changed length."""
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str, key: bytes = pii.KEY) -> DataFrame:
+    """Text replaced under ``key``; ``n_chars``, where there is one, follows a changed length."""
     bounded_batches(spark)
     was = docs.withColumn("_voltframe_length", F.length("text"))
-    out = pii.pseudonymise(was, prefix="_voltframe_")
+    out = pii.pseudonymise(was, key, prefix="_voltframe_")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.length("text") != F.col("_voltframe_length"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
@@ -63,8 +63,11 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, key: bytes = pii.KEY) -> DataFrame:
+    """The mixed corpus. ``key`` decides the pseudonyms; whoever has it can reverse them. The default is the
+    public key of the checks: give your own for data that leave your hands."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), f"stage-{name}")
+        keyed = {"key": key} if name == "pii" else {}
+        docs = cut_lineage(stage(spark, docs, sf_dir, **keyed), f"stage-{name}")
     return docs
