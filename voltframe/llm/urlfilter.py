@@ -100,14 +100,15 @@ def templates(urls: DataFrame) -> DataFrame:
     paths = cut_lineage(urls.withColumn("segs", F.transform(segs, _form)).withColumn("template", F.array().cast("array<string>")), "paths")
     level = 0
     while True:
-        paths = paths.withColumn("seg", F.get("segs", F.lit(level)))
-        child = paths.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(F.count("*").alias("n"))
+        # a segment seen once has one path, so its mark joins it exactly, and common segments are dealt by path
+        paths = paths.withColumn("seg", F.get("segs", F.lit(level))).withColumn("mark", F.xxhash64("path"))
+        child = paths.where("seg IS NOT NULL").groupBy("host", "template", "seg").agg(F.count("*").alias("n"), F.min("mark").alias("mark"))
         node = child.groupBy("host", "template").agg(F.sum("n").alias("below"), F.count("*").alias("children"), F.count_if(F.col("n") == 1).alias("once"))
         node = cut_lineage(node.where(F.col("below") >= MANY).select(F.col("host").alias("_h"), F.col("template").alias("_t"), ((F.col("children") >= MANY) & (F.col("once") >= SINGLES * F.col("children"))).alias("wide")), "nodes")
         if node.isEmpty():
             break
-        many = child.join(node.where("wide"), (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t"))).where("n = 1").select("_h", "_t", F.col("seg").alias("_s"), "wide")
-        paths = (paths.join(many, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("seg") == F.col("_s")), "left")
+        many = child.join(node.where("wide"), (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t"))).where("n = 1").select("_h", "_t", F.col("seg").alias("_s"), F.col("mark").alias("_m"), "wide")
+        paths = (paths.join(many, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("seg") == F.col("_s")) & (F.col("mark") == F.col("_m")), "left")
                  .withColumn("seg", F.when(F.col("seg").isNotNull() & F.col("wide").isNotNull(), F.lit("*")).otherwise(F.col("seg")))
                  .withColumn("template", F.when(F.col("seg").isNotNull(), F.concat("template", F.array("seg"))).otherwise(F.col("template")))
                  .select(*names, "segs", "template"))
