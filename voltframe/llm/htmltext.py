@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import defaultdict
 from html import escape, unescape
 
 import numpy as np
@@ -51,6 +52,8 @@ SVG_TEXT = frozenset(("svg", "text", "foreignobject", "desc", "a"))
 #: MathML: no nodes, their text is that of the node around.
 MATH = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody tfoot thead tr ul caption".split())
+#: What an implied end looks at.
+FENCES = BLOCKS | {"td", "th"}
 #: An opening tag closes an open element of these first, up to the nearest of the second set.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "tbody": ({"thead", "tbody", "tfoot"}, {"table"})}
@@ -77,10 +80,15 @@ class Page:
 
     def __init__(self, html: str | None):
         self.tag, self.parent, self.depth, self.tokens, self.told = ["#"], [-1], [0], [()], [None]
+        self.end = [1]                                # behind the last node below
         self.text: list[tuple[int, int, str]] = []    # node, block, piece
         self.block = 0
+        self.stack: list[int] = [0]                   # the open nodes
+        self.places: dict[str, list[int]] = defaultdict(list)      # where in it each tag stands
+        self.fences: list[int] = []                   # where in it blocks and cells stand
         if html:
             self._read(html)
+            self._cut(0)
 
     def _open(self, tag: str, attributes: str, at: int) -> int:
         told, tokens = None, []
@@ -96,8 +104,25 @@ class Page:
         self.depth.append(self.depth[at] + 1)
         self.tokens.append(tuple(tokens))
         self.told.append(told)
+        self.end.append(len(self.tag))
         return len(self.tag) - 1
 
+    def _push(self, node: int, tag: str) -> None:
+        self.places[tag].append(len(self.stack))
+        if tag in FENCES:
+            self.fences.append(len(self.stack))
+        self.stack.append(node)
+
+    def _cut(self, at: int) -> None:
+        """Close the open nodes from place ``at`` on."""
+        for place in range(len(self.stack) - 1, at - 1, -1):
+            node = self.stack.pop()
+            self.end[node] = len(self.tag)
+            if place:
+                self.places[self.tag[node]].pop()
+                if self.tag[node] in FENCES:
+                    self.fences.pop()
+
     @staticmethod
     def _pairs(html: str, pos: int) -> dict[int, int]:
         """From behind the opening tag to behind the end tag, for each PAIRED element from ``pos`` on
@@ -117,7 +142,7 @@ class Page:
         return found
 
     def _read(self, html: str) -> None:
-        stack, pos, pairs = [0], 0, None
+        stack, pos, pairs = self.stack, 0, None
         while True:
             m = _MARKUP.search(html, pos)
             piece = html[pos:m.start() if m else len(html)]
@@ -130,9 +155,9 @@ class Page:
                 continue
             tag = m[2].lower()
             if m[1]:
-                self._close(tag, stack)
+                self._close(tag)
             else:
-                self._implied(tag, stack)
+                self._implied(tag)
                 if tag in BLOCKS:
                     self.block += 1
                 elif tag in ("br", "td", "th"):
@@ -140,7 +165,7 @@ class Page:
                 if tag in VOID or tag in MATH:
                     continue
                 if tag in RAW:
-                    if not (m[3].endswith("/") and any(self.tag[i] == "svg" for i in stack)):     # within svg a tag may close itself
+                    if not (m[3].endswith("/") and self.places["svg"]):     # within svg a tag may close itself
                         pos = _raw_end(html, tag, pos)
                     continue
                 if self.tag[stack[-1]] == "svg" and tag not in SVG_TEXT and tag not in BLOCKS:
@@ -153,35 +178,28 @@ class Page:
                         continue
                 node = self._open(tag, m[3], stack[-1])
                 if not m[3].endswith("/") or tag in BLOCKS:
-                    stack.append(node)
-
-    def _implied(self, tag: str, stack: list[int]) -> None:
-        if tag in BLOCKS:      # a block ends an open paragraph
-            for i in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[i]] == "p":
-                    del stack[i:]
+                    self._push(node, tag)
+
+    def _implied(self, tag: str) -> None:
+        if tag in BLOCKS:      # a block ends an open paragraph, and an open choice
+            while self.fences:
+                at = self.fences[-1]
+                open_tag = self.tag[self.stack[at]]
+                if open_tag != "p" and (open_tag not in CHOICES or tag in CHOICES):
                     break
-                if self.tag[stack[i]] in CHOICES and tag not in CHOICES:      # and an open choice
-                    del stack[i:]
-                    continue
-                if self.tag[stack[i]] in BLOCKS or self.tag[stack[i]] in ("td", "th"):
+                self._cut(at)
+                if open_tag == "p":
                     break
         if tag in CLOSES:
-            ended, limit = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[i]] in ended:
-                    del stack[i:]
-                    break
-                if self.tag[stack[i]] in limit:
-                    break
+            ended, limit = (max((self.places[t][-1] for t in kinds if self.places[t]), default=0) for kinds in CLOSES[tag])
+            if ended > limit:
+                self._cut(ended)
 
-    def _close(self, tag: str, stack: list[int]) -> None:
+    def _close(self, tag: str) -> None:
         if tag in BLOCKS:
             self.block += 1
-        for i in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[i]] == tag:
-                del stack[i:]
-                return
+        if self.places[tag]:
+            self._cut(self.places[tag][-1])
 
     def blocks(self, kept) -> str:
         """Text of the kept nodes, block by block."""
@@ -197,42 +215,44 @@ class Page:
 
 
 class Forest:
-    """Node arrays of many pages, one after the other; sums and decisions by depth level."""
+    """Node arrays of many pages, one after the other. Nodes are in page order, so what lies below
+    a node is a range: sums below and along the way up are differences of running sums (exact, as
+    all are of whole numbers), at a cost that does not depend on the depth."""
 
     def __init__(self, pages: list[Page]):
         self.start = np.cumsum([0] + [len(p.tag) for p in pages])
         self.parent = np.concatenate([np.array(p.parent) + s for p, s in zip(pages, self.start)])
+        self.end = np.concatenate([np.array(p.end) + s for p, s in zip(pages, self.start)])
         self.depth = np.concatenate([p.depth for p in pages])
         self.page = np.repeat(np.arange(len(pages)), np.diff(self.start))
-        order = np.argsort(self.depth, kind="stable")
-        self.levels = np.split(order, np.searchsorted(self.depth[order], np.arange(1, self.depth.max() + 1)))
         self.n = len(self.parent)
 
     def sums(self, own: np.ndarray) -> np.ndarray:
         """Own values plus those of all nodes below."""
-        out = own.astype(np.float64).copy()
-        for level in self.levels[:0:-1]:
-            np.add.at(out, self.parent[level], out[level])
-        return out
+        total = np.concatenate([[0.0], np.cumsum(own, dtype=np.float64)])
+        return total[self.end] - total[:-1]
 
     def inherited(self, own: np.ndarray) -> np.ndarray:
         """How many proper ancestors have the mark."""
-        out = np.zeros(self.n)
-        for level in self.levels[1:]:
-            up = self.parent[level]
-            out[level] = out[up] + own[up]
-        return out
+        change = np.zeros(self.n + 1)
+        change[1:] += own
+        np.subtract.at(change, self.end, own)
+        return np.cumsum(change[:-1])
 
     def decode(self, odds: np.ndarray) -> np.ndarray:
         """Most likely labelling in which nothing under a dropped node is kept."""
-        keep, drop = -np.logaddexp(0, -odds), -np.logaddexp(0, odds)
-        for level in self.levels[:0:-1]:
-            np.add.at(keep, self.parent[level], np.maximum(keep[level], drop[level]))
-            np.add.at(drop, self.parent[level], drop[level])
-        out = np.ones(self.n, dtype=bool)
-        for level in self.levels[1:]:
-            out[level] = out[self.parent[level]] & (keep[level] >= drop[level])
-        return out
+        keep, drop = (-np.logaddexp(0, -odds)).tolist(), (-np.logaddexp(0, odds)).tolist()
+        parent, roots = self.parent.tolist(), set(self.start.tolist())
+        for i in range(self.n - 1, 0, -1):
+            if i not in roots:
+                up = parent[i]
+                keep[up] += max(keep[i], drop[i])
+                drop[up] += drop[i]
+        out = [True] * self.n
+        for i in range(self.n):
+            if i not in roots:
+                out[i] = out[parent[i]] and keep[i] >= drop[i]
+        return np.array(out, dtype=bool)
 
 
 def features(pages: list[Page], forest: Forest) -> np.ndarray:
