@@ -340,6 +340,67 @@ def test_html_many_unclosed_elements(boosted):
     assert out[1] == out[2] == _WHOLE
 
 
+_PARTS = ["Northern towns are planning for a long winter, with stores of grain, salt and oil.", "The council met on Tuesday to hear from farmers; most said that the harvest was poor.",
+          "Nobody expects the roads to stay open after the first heavy snow, so people buy early.", "A second report will follow in the spring, once the figures for all districts are in."]
+_PS, _STORY = "".join(f"<p>{p}</p>" for p in _PARTS), "\n\n".join(["Winter stores", *_PARTS])
+_MENU, _FOOT = '<ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li><li><a href="/c">Sport</a></li></ul>', "&copy; 2020 The Paper. All rights reserved."
+
+
+@pytest.mark.parametrize("name", ["social-story", "related-post", "comment-article", "share-box", "header-story", "promo story", "widget"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_html_names_that_speak_against_the_article(boosted, name, tag):
+    html = f'<html><body><nav>{_MENU}</nav><{tag} class="{name}"><h1>Winter stores</h1>{_PS}</{tag}><footer>{_FOOT}</footer></body></html>'
+    assert htmltext.extract([html], boosted) == [_STORY]
+
+
+@pytest.mark.parametrize("story", [f"<div><h1>Winter stores</h1>{_PS}</div>", f"<div><h1>Winter stores</h1></div><div>{_PS}</div>", f"<div><div><h1>Winter stores</h1><div>{_PS}</div></div></div>",
+                                   "<h1>Winter stores</h1>" + "".join(f"<div>{p}</div>" for p in _PARTS)])
+def test_html_without_article_or_names(boosted, story):
+    assert htmltext.extract([f"<html><body><div>{_MENU}</div>{story}<div>{_FOOT}</div></body></html>"], boosted) == [_STORY]
+
+
+def test_html_headline_in_a_header_and_comments_in_main(boosted):
+    talk = '<div class="comments"><h3>Comments</h3><div class="comment"><p>I do not agree with this at all, dear friends of winter.</p></div></div>'
+    html = f'<html><body><main><div class="page-header"><h1>Winter stores</h1></div><div class="content">{_PS}</div>{talk}</main></body></html>'
+    assert htmltext.extract([html], boosted) == [_STORY]
+
+
+def test_html_marks_of_rebuilt_pages():
+    """No mark is lost to a wrong end tag: the words of comments, notices and sidebars are never marked as content."""
+    rng = random.Random(5)
+    for _ in range(200):
+        page = htmltext.Page(htmltext.rebuilt(htmltext.Page(PAGE), rng))
+        y = htmltext.told_labels(page)
+        assert not any(y[i] and {"comments", "reply", "replies", "sponsored"}.intersection(page.tokens[i]) and page.told[i] == 0 for i in range(len(y)))
+        assert not any(y[i] and "comment" in page.tokens[i] and page.told[page.parent[i]] == 0 for i in range(len(y)))
+
+
+@pytest.mark.parametrize("html", ["<p>" + "</b>" * 250_000, "<b>" * 250_000, "<div>" * 5_000 + "</i>" * 200_000, "<li><ul>" + "<div>" * 80_000 + "<li></li>" * 60_000, "<p><td>" + "<b>" * 100_000 + "<div></div>" * 60_000])
+def test_html_of_a_megabyte_in_linear_time(html):
+    start = time.process_time()
+    page = htmltext.Page(html)
+    forest = htmltext.Forest([page])
+    forest.decode(htmltext.features([page], forest)[:, 0])
+    assert time.process_time() - start < 10          # quadratic: minutes
+
+
+def test_html_ranges_against_walks():
+    """Ends, sums below and marks above against walks along the parents, on random markup."""
+    rng = random.Random(9)
+    bits = "<p> <div> </div> <li> <ul> </ul> </p> <b> </b> <td> <tr> <table> </table> <option> <svg> </svg> word <a> </a> <dt> <dd>".split()
+    pages = [htmltext.Page("".join(rng.choice(bits) for _ in range(rng.randint(0, 80)))) for _ in range(200)]
+    forest = htmltext.Forest(pages)
+    own = np.random.default_rng(2).integers(0, 5, forest.n)
+    below, above, roots = own.astype(float), np.zeros(forest.n), set(forest.start)
+    for i in range(forest.n - 1, -1, -1):
+        if i not in roots:
+            below[forest.parent[i]] += below[i]
+    for i in range(forest.n):
+        if i not in roots:
+            above[i] = above[forest.parent[i]] + own[forest.parent[i]]
+    assert (forest.sums(own) == below).all() and (forest.inherited(own) == above).all()
+
+
 def test_html_query(spark, tmp_path, boosted):
     pages = spark.createDataFrame([(1, "http://a/", PAGE), (1, "http://a/", PAGE), (None, None, None), (3, "http://b/", "")], "page_id long, url string, html string")
     got = htmltext.query(spark, folder(spark, tmp_path, pages=pages)).collect()

@@ -62,12 +62,15 @@ GOOD_TOKENS = frozenset("article body content entry main post story text hentry
 BAD_TOKENS = frozenset("ad ads advert advertisement adverts aside banner bottombar breadcrumb breadcrumbs button byline comment comments consent cookie cookies copyright disqus footer form gdpr header login masthead menu meta modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted related recommended replies reply respond search share sharing sidebar signup skip skyscraper social sponsor sponsored subscribe tags toolbar topbar widget".split())
 GOOD_TAGS, BAD_TAGS = frozenset(("article", "main")), frozenset(("nav", "footer", "aside", "form", "header", "menu", "button", "dialog", "fieldset", "search"))
 _TAGS = ("p", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul", "ol", "li", "a", "table", "td", "span", "body", "html", "head", "blockquote", "pre", "b", "button")
+_BAD_NAMES = tuple(sorted(BAD_TOKENS))
+_HAS_BLOCK = re.compile(r"<(?:%s)\b" % "|".join(sorted(BLOCKS)))
 _HEADS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>="']++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[A-Za-z]+|[0-9]+")
 _POINTS = re.compile(r"[.,;:!?]")
+_RIGHTS = re.compile(r"\u00a9|copyright|rights reserved", re.I)
 
 
 def _raw_end(html: str, tag: str, pos: int) -> int:
@@ -257,13 +260,14 @@ class Forest:
 
 def features(pages: list[Page], forest: Forest) -> np.ndarray:
     n = forest.n
-    own, points, linked = np.zeros(n), np.zeros(n), np.zeros(n)
+    own, points, rights = np.zeros(n), np.zeros(n), np.zeros(n)
     for p, s in zip(pages, forest.start):
         for node, _, piece in p.text:
             size = len(piece.split()) and len(piece.strip())
             if size:
                 own[s + node] += size
                 points[s + node] += len(_POINTS.findall(piece))
+                rights[s + node] += _RIGHTS.search(piece) is not None
     tags = np.array([t for p in pages for t in p.tag])
     tokens = [t for p in pages for t in p.tokens]
     good, bad = np.array([len(GOOD_TOKENS.intersection(t)) for t in tokens]), np.array([len(BAD_TOKENS.intersection(t)) for t in tokens])
@@ -287,13 +291,17 @@ def features(pages: list[Page], forest: Forest) -> np.ndarray:
             forest.depth, count, np.log1p(paragraphs), per(long_text, text), brothers, place, per(place, brothers), np.log1p(around), (np.arange(n) - forest.start[forest.page]) / np.diff(forest.start)[forest.page],
             good, bad, good_tag, bad_tag, forest.inherited(good), forest.inherited(bad), forest.inherited(good_tag), forest.inherited(bad_tag), good[up], bad[up],
             forest.sums(good) - good, forest.sums(bad) - bad, forest.sums(good_tag) - good_tag, np.isin(tags, list(_HEADS)).astype(float), in_link, per(links[up], text[up]), np.log1p(text[up])]
+    headed = forest.sums(tags == "h1") > 0
+    small_bad = ((bad > 0) & ~headed).astype(float)
+    cols += [rights, per(forest.sums(rights), text), headed, small_bad, forest.inherited(small_bad), forest.inherited(headed.astype(float)), per(long_text, long_text[forest.start[forest.page]]), per(long_text, long_text[up])]
     cols += [(tags == t).astype(float) for t in _TAGS] + [(tags[up] == t).astype(float) for t in ("body", "div", "li", "article", "p", "td")]
     return np.stack(cols, axis=1).astype(np.float32)
 
 
 def told_labels(page: Page) -> np.ndarray | None:
     """Labels of a rebuilt page (its parts are marked), or of a page with an article or main
-    element by its tags and tokens; None if nothing tells."""
+    element by its tags and tokens; None if nothing tells. No token speaks against what holds the
+    headline (h1): an article of class social-story is an article."""
     n = len(page.tag)
     y = np.zeros(n, dtype=np.int64)
     if any(t is not None for t in page.told):
@@ -303,9 +311,10 @@ def told_labels(page: Page) -> np.ndarray | None:
     else:
         if not GOOD_TAGS.intersection(page.tag):
             return None
-        inside = np.zeros(n, dtype=bool)
+        inside, heads = np.zeros(n, dtype=bool), np.cumsum([0, *(t == "h1" for t in page.tag)])
         for i in range(1, n):
-            bad = page.tag[i] in BAD_TAGS and page.tag[i] != "header" or BAD_TOKENS.intersection(page.tokens[i])
+            headed = heads[page.end[i]] > heads[i]
+            bad = page.tag[i] in BAD_TAGS and page.tag[i] != "header" or not headed and BAD_TOKENS.intersection(page.tokens[i])
             inside[i] = (inside[page.parent[i]] or page.tag[i] in GOOD_TAGS) and not bad
     y = inside.astype(np.int64)
     for i in range(n - 1, 0, -1):      # what holds content is content
@@ -315,7 +324,9 @@ def told_labels(page: Page) -> np.ndarray | None:
 
 
 def rebuilt(page: Page, rng: random.Random) -> str:
-    """A page of a random layout, made of this page's texts; each part is marked with its label."""
+    """A page of a random layout, made of this page's texts; each part is marked with its label. A part
+    of the layouts are ``bare``: nothing but div and span, without a name; in a part of the others the
+    article's own names speak against it."""
     y = told_labels(page)
     body = page.blocks(y if y is not None else np.ones(len(page.tag), dtype=bool)).split("\n\n")
     rest = page.blocks(~(y > 0) if y is not None else np.zeros(len(page.tag), dtype=bool)).split("\n\n")
@@ -332,7 +343,7 @@ def rebuilt(page: Page, rng: random.Random) -> str:
 
     link = lambda: f'<a href="/{rng.randint(0, 99)}">{some(1, 3)}</a>'
     links = lambda a, b: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(a, b))) + "</ul>"
-    named = lambda tokens, inner: f'<{(t := rng.choice(("div", "div", "section", "p")))} class="{rng.choice(tokens)}" data-y="0">{inner}</{t}>'
+    named = lambda tokens, inner: f'<{(t := rng.choice(("div", "div", "section", "div" if _HAS_BLOCK.search(inner) else "p")))} class="{rng.choice(tokens)}" data-y="0">{inner}</{t}>'
     menu = lambda: tagged(rng.choice(("nav", "div", "ul")), ("nav", "menu", "navbar", "navigation"), rng.choice((links(3, 12), " | ".join(link() for _ in range(rng.randint(3, 9))))), 0)
     top = lambda: tagged(rng.choice(("header", "div")), ("header", "masthead", "topbar", "banner"), f"<a href='/'>{some(1, 3)}</a> {some(0, 8)}" + rng.choice(("", menu())), 0) if rng.random() < 0.5 else tagged("header", ("header",), f"<h2>{some(1, 4)}</h2><p>{some(2, 12)}</p>", 0)
     foot = lambda: tagged("footer", ("footer",), rng.choice(("&copy; ", "")) + some(3, 25) + rng.choice(("", links(2, 6))), 0) if rng.random() < 0.6 else named(("footer", "copyright", "site-footer", "bottombar"), "&copy; " + some(3, 25))
@@ -341,8 +352,11 @@ def rebuilt(page: Page, rng: random.Random) -> str:
     notice = lambda: named(("cookie-notice", "notice", "consent", "gdpr", "newsletter", "popup", "subscribe"), rng.choice((some(5, 40), f"<p>{some(5, 40)}</p><button>{some(1, 2)}</button>")))
     form = lambda: tagged("form", ("search", "login", "signup"), f"<label>{some(1, 4)}</label><input name='q'><button>{some(1, 2)}</button><p>{some(0, 12)}</p>", 0)
     share = lambda: named(("share", "social", "tags", "breadcrumbs", "byline", "pagination"), " ".join(link() for _ in range(rng.randint(2, 5))))
-    comments = lambda: named(("comments", "comment-list", "replies", "disqus"), f"<h3>{some(1, 3)}</h3>" + "".join(f'<{rng.choice(("div", "li", "article"))} class="{rng.choice(("comment", "reply", "c"))}"><b>{some(1, 2)}</b><p>{some(4, 50)}</p></div>' for _ in range(rng.randint(1, 6))))
-    parts = [f"<h1>{title}</h1>"] if rng.random() < 0.85 else []
+    comments = lambda: named(("comments", "comment-list", "replies", "disqus"), f"<h3>{some(1, 3)}</h3>" + "".join(f'<{(t := rng.choice(("div", "li", "article")))} class="{rng.choice(("comment", "reply", "c"))}"><b>{some(1, 2)}</b><p>{some(4, 50)}</p></{t}>' for _ in range(rng.randint(1, 6))))
+    bare = rng.random() < 0.3
+    head = rng.choice((f"<h1>{title}</h1>",) * 4 + (f"<div><h1>{title}</h1></div>", f'<div class="{rng.choice(_BAD_NAMES)}"><h1>{title}</h1></div>', f'<header class="{some(1, 1)}-header"><h1>{title}</h1></header>'))
+    parts = [head] if rng.random() < 0.85 else []
+    wraps = ("<div>{}</div>",) if bare and rng.random() < 0.3 else ("<p>{}</p>", "<p>{}</p>", "<p>{}", "<p><b>{}<br>", "<blockquote><p>{}</p></blockquote>", "<p><em>{}</em></p>")
     for p in paragraphs:
         kind = rng.random()
         if kind < 0.06:
@@ -350,20 +364,46 @@ def rebuilt(page: Page, rng: random.Random) -> str:
         if kind > 0.94:
             parts.append("<ul>" + "".join(f"<li>{some(3, 15)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
         p = p.replace(" ", f' <a href="/y">{some(1, 3)}</a> ', 1) if rng.random() < 0.15 else p
-        parts.append(rng.choice((f"<p>{p}</p>", f"<p>{p}</p>", f"<p>{p}", f"<p><b>{p}<br>", f"<blockquote><p>{p}</p></blockquote>", f"<p><em>{p}</em></p>")))
+        parts.append(rng.choice(wraps).replace("{}", p))
+    if bare:
+        owned = lambda: f'<div data-y="0">{rng.choice(("&copy; ", "Copyright ", "&copy; 2020 "))}{some(1, 8)}{rng.choice((".", ". All rights reserved."))}{rng.choice(("", links(2, 6)))}</div>'
+        return _bare_page(title, parts, menu, owned, share, form, rng)
     for piece in (advert, share, side, form, notice):
         if rng.random() < 0.25:
             parts.insert(rng.randint(0, len(parts)), piece())
     if rng.random() < 0.2:
         parts.append(comments())
     inner = "".join(parts)
-    main = tagged(rng.choice(("article", "article", "main", "div", "div", "section")), ("article", "content", "post", "entry-content", "story", "main", "col", "x"), inner, 1)
+    main = tagged(rng.choice(("article", "article", "main", "div", "div", "section")), _main_names(rng), inner, 1)
     if rng.random() < 0.3:
         main = tagged(rng.choice(("main", "div", "section")), ("main", "content", "wrapper", "container", "page"), rng.choice(("", advert(), side(), share())) + main + rng.choice(("", side(), comments(), form())), 1)
     outer = [piece() for piece in (top, menu, notice, advert, form) if rng.random() < 0.5] + [main] + [piece() for piece in (side, comments, advert, notice, share, menu) if rng.random() < 0.35] + ([foot()] if rng.random() < 0.9 else [])
     return f'<!DOCTYPE html><html><head><title>{title}</title></head><body>{"".join(outer)}</body></html>'
 
 
+def _main_names(rng: random.Random) -> tuple[str, ...]:
+    """Names for the article's element: telling ones, or one that speaks against it."""
+    if rng.random() < 0.75:
+        return ("article", "content", "post", "entry-content", "story", "main", "col", "x")
+    bad = rng.choice(_BAD_NAMES)
+    return (bad, f"{bad}-{rng.choice(sorted(GOOD_TOKENS))}", f"{rng.choice(sorted(GOOD_TOKENS))} {bad}")
+
+
+def _bare_page(title: str, parts: list[str], menu, foot, share, form, rng: random.Random) -> str:
+    """A page of div elements without names; only what its links, its place or its fields tell is beside the article."""
+    cut = rng.choice((0, 0, 1))                                     # the headline may stand apart
+    inner = "".join(parts)
+    main = rng.choice(("", '<div data-y="1">' + "".join(parts[:cut]) + "</div>")) + '<div data-y="1">' + "".join(parts[cut:]) + "</div>" if cut else rng.choice((
+        f'<div data-y="1">{inner}</div>', f'<div data-y="1"><div>{inner}</div></div>', f'<div data-y="1"><div>{inner}</div><div data-y="0">{share()}</div></div>'))
+    if rng.random() < 0.25:                                         # or all of it right in the body
+        main = "".join(re.sub(r"^<(\w+)", r'<\1 data-y="1"', p) for p in parts)
+    outer = [piece() for piece in (menu, menu, form) if rng.random() < 0.6] + [main] + [piece() for piece in (share, menu) if rng.random() < 0.6]
+    if rng.random() < 0.8:
+        outer.append(foot())
+    plain = re.sub(r"<(/?)(?:nav|header|footer|aside|section|article|main)\b", r"<\1div", "".join(outer))
+    return f"<html><head><title>{title}</title></head><body>{re.sub(r' (?:class|id)="[^"]*"', '', plain)}</body></html>"
+
+
 def training_nodes(html: str | None, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, labels and weights of one sampled page and its rebuilt variants (each page weighs the same)."""
     rng, given = random.Random(seed), Page(html)
