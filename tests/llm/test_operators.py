@@ -508,6 +508,39 @@ def test_jaccard_tiles(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def brute_links(rows):
+    sets = [{tuple(w[i:i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set()) for w in (words_of(t) for _, t in rows)]
+    out = []
+    for i, (r, s) in enumerate(zip(rows, sets)):
+        out.append(sum(1 for j, t in enumerate(sets) if i != j and s and t and 100 * len(s & t) >= 85 * len(s | t)))
+    return sorted([(d, n, c, k) for (d, n, c), k in zip(_component_rows(rows), out)], key=str)
+
+
+def _component_rows(rows):
+    """brute_components in the order of ``rows``."""
+    numbered = [(i, t) for i, (_, t) in enumerate(rows)]
+    by = {d: (n, c) for d, n, c in brute_components(numbered)}
+    members = {}
+    for i, (d, _) in enumerate(rows):
+        members.setdefault(by[i][1], []).append(d)
+    least = {c: min([d for d in ids if d is not None], default=None) for c, ids in members.items()}
+    return [(d, by[i][0], least[by[i][1]] if by[i][0] else d) for i, (d, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("tile", [4, 256])
+def test_jaccard_link_counts_against_brute_force(spark, monkeypatch, tile):
+    """Every link counted once, though sets meet in several blocks and tiles; copies and repeated rows count each."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rows = near_copies(11) + [(None, "a b c d e"), (None, "A  b\tc d E"), (5000, None), (5001, ""), (5002, "a b c"), (5003, "x"), (5004, "X"), (5003, "x")]
+    got = sorted((tuple(r) for r in jaccard.link_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_links(rows)
+    assert {d: k for d, _, _, k in got if d == 5003} == {5003: 2} and sum(k for *_, k in got) > 500
+
+
+def test_jaccard_link_counts_of_nothing(spark, no_docs):
+    assert jaccard.link_counts(no_docs.select("doc_id", "text")).count() == 0
+
+
 def test_one_of_each(spark, docs):
     left = jaccard.one_of_each(docs)
     assert left.columns == docs.columns

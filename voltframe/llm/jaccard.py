@@ -22,6 +22,10 @@ connected with the lead meet the whole block, again in groups of two tiles. With
 already connected are skipped. So a large group of near copies is shipped once or twice and linked by a
 few comparisons each, instead of all pairs.
 
+``link_counts`` tells each row's number of links as well. There every tile of a block meets every
+other, and a pair is counted in the one block whose lead is the least that both are dealt to; what
+leaves a task is a sum per set, no pair. It costs a comparison per pair of near sets.
+
 Nodes and shingles are 64-bit hashes (blake2b of the sorted set; a mixed polynomial of the
 words' bytes).
 
@@ -167,16 +171,50 @@ class CountTree:
                 stack.extend((depth - 1, x, y) for y in range(max(x, j * FANOUT) if i == j else j * FANOUT, min((j + 1) * FANOUT, below)))
 
 
-def link(sets: list[np.ndarray], percent: int = PERCENT, known: list[int] | None = None) -> list[tuple[int, int]]:
-    """Linked pairs (positions) that connect all links among ``sets`` (a spanning forest); sets
-    with the same ``known`` root count as connected."""
+def _points(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Group counts and sizes."""
     m = len(sets)
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     owner = np.repeat(np.arange(m), sizes)
     group = (np.concatenate(sets) & np.uint64(GROUPS - 1)).astype(np.int64)
-    counts = np.bincount(owner * GROUPS + group, minlength=m * GROUPS).reshape(m, GROUPS).astype(np.int32)
+    return np.bincount(owner * GROUPS + group, minlength=m * GROUPS).reshape(m, GROUPS).astype(np.int32), sizes
+
+
+def _verified(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    if len(s) > len(t):
+        s, t = t, s
+    at = np.minimum(np.searchsorted(t, s), len(t) - 1)
+    return linked(int((t[at] == s).sum()), len(s), len(t), percent)
+
+
+def count_links(sets: list[np.ndarray], tile: list[int], leads: list[list[int]], copies: list[int], lead: int, percent: int = PERCENT) -> np.ndarray:
+    """For each set how many rows of others it is linked with, over the pairs that are counted
+    here: of two different tiles (of one, if there is only one) and with ``lead`` as the least
+    of the leads of both."""
+    counts, sizes = _points(sets)
+    side, of = np.array(tile), [set(x) for x in leads]
+    one, out, tree = len(set(tile)) == 1, np.zeros(len(sets), dtype=np.int64), CountTree(counts, sizes)
+    for i, j in tree.leaf_pairs(percent):
+        a, b = tree.order[i * LEAF:(i + 1) * LEAF], tree.order[j * LEAF:(j + 1) * LEAF]
+        ok = (100 + percent) * np.minimum(counts[a][:, None], counts[b][None]).sum(axis=2) >= percent * (sizes[a][:, None] + sizes[b][None])
+        if not one:
+            ok &= side[a][:, None] != side[b][None]
+        if i == j:
+            ok &= np.triu(np.ones_like(ok), 1)
+        for x, y in zip(*np.nonzero(ok)):
+            p, q = int(a[x]), int(b[y])
+            if min(of[p] & of[q]) == lead and _verified(sets[p], sets[q], percent):
+                out[p] += copies[q]
+                out[q] += copies[p]
+    return out
+
+
+def link(sets: list[np.ndarray], percent: int = PERCENT, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """Linked pairs (positions) that connect all links among ``sets`` (a spanning forest); sets
+    with the same ``known`` root count as connected."""
+    counts, sizes = _points(sets)
     at_root: dict[int, int] = {}
-    parent = [at_root.setdefault(r, i) for i, r in enumerate(known or range(m))]
+    parent = [at_root.setdefault(r, i) for i, r in enumerate(known or range(len(sets)))]
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -196,9 +234,7 @@ def link(sets: list[np.ndarray], percent: int = PERCENT, known: list[int] | None
             p, q = int(a[x]), int(b[y])
             if find(p) == find(q):
                 continue
-            s, t = (sets[p], sets[q]) if sizes[p] <= sizes[q] else (sets[q], sets[p])
-            at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-            if linked(int((t[at] == s).sum()), len(s), len(t), percent):
+            if _verified(sets[p], sets[q], percent):
                 parent[find(p)] = find(q)
                 out.append((p, q))
     return out
@@ -238,9 +274,9 @@ def _sharing(live: DataFrame, need: DataFrame, prune: bool = False) -> DataFrame
     return kept.select("token", "node")
 
 
-def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs(doc_id, text)`` -> a row per row: doc_id, a, b (two hashes of the text), n, root
-    (the component's id among nodes; NULL for an empty set)."""
+def _blocks(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: a row per row of ``docs`` (doc_id, a, b, node, n), the members of the blocks
+    (lead, node), the sets of these (node, shingles). Two linked sets share a block."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), "text")
     counts = docs.sparkSession.sparkContext.broadcast(_sketch(keyed, size))
 
@@ -274,10 +310,20 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
         return {"node": [node_of(s) for s in got], "shingles": [s.tobytes() for s in got]}
 
     sets = cut_lineage(map_batches(keyed.join(where, ["a", "b"]).select("text"), again, "node long, shingles binary").dropDuplicates(["node"]), "block-sets")
-    # a block is dealt in tiles, each with the block's lead
+    return rows, member, sets
+
+
+def _tiles(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """How many tiles each block of more than one has, and each member's tile (lead, node, i, tiles)."""
     tiles = broadcast_if_small(cut_lineage(member.groupBy("lead").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1"), "tiles"))
     tile = F.when(F.col("tiles").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), F.col("tiles"))).cast("int")
-    home = member.join(tiles, "lead", "left").select("lead", "node", tile.alias("i"), "tiles")
+    return tiles, member.join(tiles, "lead", "left").select("lead", "node", tile.alias("i"), "tiles")
+
+
+def _components(rows: DataFrame, member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``rows`` of ``_blocks`` with the component's root."""
+    # a block is dealt in tiles, each with the block's lead
+    tiles, home = _tiles(member)
     leads = tiles.select("lead", F.col("lead").alias("node"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"))
     first = home.select("lead", "node", "i").unionByName(leads).distinct().withColumn("root", F.col("node"))
 
@@ -305,15 +351,55 @@ def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PER
         edges = edges.unionByName(links(asked.unionByName(whole).distinct(), ["lead", "i", "j"]))
         roots = cut_lineage(components(edges), "roots")
     roots = broadcast_if_small(roots)
-    return rows.select("doc_id", "a", "b", "node", "n").join(roots, "node", "left").select("doc_id", "a", "b", "n", F.coalesce("root", "node").alias("root"))
+    return rows.select("doc_id", "a", "b", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def sets_and_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs(doc_id, text)`` -> a row per row: doc_id, a, b (two hashes of the text), n, root
+    (the component's id among nodes; NULL for an empty set)."""
+    return _components(*_blocks(docs, size, percent), percent).select("doc_id", "a", "b", "n", "root")
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, n_shingles, component_id, a row per row."""
-    rows = cut_lineage(sets_and_components(docs, size, percent), "components")
+    return _named(cut_lineage(sets_and_components(docs, size, percent), "components"))
+
+
+def link_counts(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs(doc_id, text)`` -> doc_id, n_shingles, component_id and n_links, a row per row: how many
+    other rows it is linked with (equal texts and repeated rows count each; 0 for an empty set)."""
+    rows, member, sets = _blocks(docs, size, percent)
+    rooted = cut_lineage(_components(rows, member, sets, percent), "components")
+    copies = cut_lineage(rows.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies")), "copies")
+    leads = member.groupBy("node").agg(F.collect_list("lead").alias("leads"))      # no more than its prefix has shingles
+    full = cut_lineage(sets.join(leads, "node").join(copies, "node"), "counted-sets")
+    _, home = _tiles(member)
+    many = F.coalesce("tiles", F.lit(1))
+    # tiles i < j meet as (i, j), and a tile meets itself as (i, i)
+    dealt = home.select("lead", "node", F.col("i").alias("tile"), F.explode(F.sequence(F.lit(0), many - 1)).alias("other"))
+    dealt = dealt.select("lead", "node", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+
+    def count_group(t: pa.Table) -> dict | None:
+        nodes = t.column("node").to_pylist()
+        if len(nodes) < 2 or (t.column("i")[0] != t.column("j")[0] and len(set(t.column("tile").to_pylist())) < 2):
+            return None
+        got = count_links([np.frombuffer(x, dtype=np.uint64) for x in t.column("shingles").to_pylist()], t.column("tile").to_pylist(),
+                          t.column("leads").to_pylist(), t.column("copies").to_pylist(), t.column("lead")[0].as_py(), percent)
+        at = np.flatnonzero(got)
+        return {"node": [nodes[k] for k in at], "links": got[at]} if len(at) else None
+
+    found = map_sorted_groups(dealt.join(full, "node"), ["lead", "i", "j"], count_group, "node long, links long")
+    total = cut_lineage(copies.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
+                        .select("node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")).where("n_links > 0"), "link-counts")
+    with_links = rooted.join(broadcast_if_small(total), "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
+    return _named(with_links, "n_links")
+
+
+def _named(rows: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_shingles, component_id (and ``more``) of rows with their component's root."""
     least = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").select("root", "least")
     least = broadcast_if_small(cut_lineage(least, "least-ids"))      # a row alone in its component is its own least
-    return rows.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return rows.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), *more)
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
