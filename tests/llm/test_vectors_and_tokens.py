@@ -6,6 +6,7 @@ import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +140,63 @@ def brute_audit(rows, least, top):
     return sorted(out)
 
 
+def plain_counts(rows):
+    """(lang, source, term) -> occurrences and documents, text by text; a None term per group."""
+    n, docs = Counter(), Counter()
+    for lang, s, text in rows:
+        n[lang, s, None] += 0
+        docs[lang, s, None] += 0
+        w = divergence.terms(text)
+        n.update((lang, s, t) for t in w)
+        docs.update((lang, s, t) for t in set(w))
+    return n, docs
+
+
+def batch_of(rows):
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 3, names=["lang", "source", "text"])
+
+
+@pytest.mark.parametrize("held", [1, 200, 8 << 20])
+def test_terms_counted_over_many_texts(monkeypatch, held):
+    monkeypatch.setattr(divergence, "HELD", held)
+    texts = ["", "a", "Aa aA", "a", "", "", "1 2 3", "b1b", "Z[@`{zZ\x7f\x00é", "é", "\u0080\U0001F642 x", " lead", "trail ", "ÉPÉE épée Épée", "it's", "x" * 300, "x", "-"]
+    rng = random.Random(5)
+    texts += ["".join(rng.choices("aAzZ@[`{09 \té\U00010000\n", k=rng.randint(0, 30))) for _ in range(300)]
+    rows = [(rng.choice(["en", "de", ""]), rng.choice(["s1", "", "en", "\uffee"]), t) for t in texts]
+    batches = [batch_of(rows[:1]), batch_of([]), batch_of(rows[1:30]), batch_of(rows).slice(30, 200), batch_of(rows[230:])]
+    n, docs = Counter(), Counter()
+    for out in divergence.count_batches(iter(batches)):
+        for lang, s, t, c, d in zip(*[x.to_pylist() for x in out.columns]):
+            n[lang, s, t] += c
+            docs[lang, s, t] += d
+    assert (dict(n), dict(docs)) == tuple(map(dict, plain_counts(rows)))
+    assert list(divergence.count_batches(iter([batch_of([])]))) == []
+    only = list(divergence.count_batches(iter([batch_of([("en", "s", ""), ("en", "s", "1")])])))
+    assert [b.to_pylist() for b in only if held > 1] in ([], [[{"lang": "en", "source": "s", "term": None, "n": 0, "docs": 0}]])
+
+
+def test_terms_counted_faster_than_text_by_text():
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäß", k=rng.randint(2, 12))) for _ in range(20_000)]
+    rows = [(rng.choice(["en", "de"]), f"s{rng.randrange(20)}", " ".join(rng.choices(vocabulary, k=300)).title()) for _ in range(3_000)]
+    batches = [batch_of(rows[i:i + 1000]) for i in range(0, len(rows), 1000)]
+
+    def text_by_text():
+        n, docs = defaultdict(Counter), defaultdict(Counter)
+        for lang, s, text in rows:
+            w = divergence.terms(text)
+            n[lang, s].update(w)
+            docs[lang, s].update(set(w))
+
+    def cpu(work):
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    whole = min(cpu(lambda: list(divergence.count_batches(iter(batches)))) for _ in range(2))
+    assert whole < 0.6 * cpu(text_by_text)
+
+
 @pytest.mark.parametrize("size", [{}, {"range_size": 3, "cells": 4}, {"range_size": 7, "cells": 1000}])
 def test_audit_against_brute_force(spark, size):
     ent._prepare(spark)

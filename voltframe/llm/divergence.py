@@ -17,8 +17,8 @@ sets of terms used
 
 and the first two sums come from each group's sorted p. The accumulators of all ranges are added up
 by an aggregate. A language of many sources is cut by rows too, so that a task's accumulators stay
-within ``CELLS``. A hot source or language is spread by the hash of the term; counts are summed in
-each batch and map task before any shuffle.
+within ``CELLS``. A hot source or language is spread by the hash of the term; terms are cut and
+counted over the bytes of many texts at once, and summed in each map task before any shuffle.
 
 Defined results: NULL text, lang and source are ''; rows that repeat count each; a language without
 a kept term has pairs with value 0 and no terms; a language with one source has no pairs; an empty
@@ -28,7 +28,6 @@ table gives no rows. Further columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,40 +38,74 @@ from pyspark.sql import functions as F
 from voltframe.llm.common import broadcast_if_light, cut_lineage, map_sorted_groups, pick, table
 
 LEAST_DOCS, ALPHA, ONE, TOP = 30, 5, 1_000_000_000, 50
-#: Counts that a task holds before it emits them, counts that one range of terms holds at least,
-#: about, and places of one task's accumulators.
-HELD, RANGE, CELLS = 200_000, 1 << 16, 1 << 22
+#: Bytes of rows that a task counts at once, counts that one range of terms holds at least, about,
+#: and places of one task's accumulators.
+HELD, RANGE, CELLS = 8 << 20, 1 << 16, 1 << 22
 
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: The same by bytes of UTF-8.
+_LOWER_BYTE = np.arange(256, dtype=np.uint8)
+_LOWER_BYTE[ord("A"):ord("Z") + 1] += 32
+_IN_TERM = (np.arange(256) >= 128) | ((_LOWER_BYTE >= ord("a")) & (_LOWER_BYTE <= ord("z")))
 
 
 def terms(text: str) -> list[str]:
+    """A text's terms, as defined; the queries cut whole batches by ``split``."""
     return _TERM.findall(text.translate(_LOWER))
 
 
-def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents per (lang, source, term), added up over a task's batches and emitted
-    whenever ``HELD`` counts are held; a NULL term per group."""
-    n, docs, held = defaultdict(Counter), defaultdict(Counter), 0
+def split(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The terms of all texts, one after another, and the place of each one's text: as ``terms``, but
+    cut at once, since a term is a run of those bytes in UTF-8 that are a letter's or not ASCII."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+    ends = ends - ends[0]
+    inside = _IN_TERM[raw]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begins = ends[ends < len(raw)]
+    first[begins] = inside[begins]
+    letters = _LOWER_BYTE[raw[inside]]
+    start = np.append(np.flatnonzero(first[inside]), len(letters)).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(start) - 1, pa.py_buffer(start), pa.py_buffer(letters))
+    return words, np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(np.flatnonzero(first), ends)))
+
+
+def count_rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Occurrences and documents per (lang, source, term) of some rows; a NULL term per group. One
+    sort of (group, term, row) brings the occurrences to be counted together."""
+    lang, source, text = (pa.concat_arrays([b.column(c).cast(pa.string()) for b in held]) for c in ("lang", "source", "text"))
+    lang, source, (words, row) = lang.dictionary_encode(), source.dictionary_encode(), split(text)
+    words, sources, rows = words.dictionary_encode(), len(source.dictionary), len(text)
+    size = max(len(words.dictionary), 1)
+    groups, group = np.unique(lang.indices.to_numpy().astype(np.int64) * sources + source.indices.to_numpy(), return_inverse=True)
+
+    seen = np.sort((group[row] * size + words.indices.to_numpy()) * rows + row)
+    of_term = seen // rows
+    first = np.flatnonzero(np.diff(of_term, prepend=-1))
+    n = np.diff(first, append=len(seen))
+    docs = np.add.reduceat(np.diff(seen, prepend=-1) != 0, first, dtype=np.int64)
+    g, t = np.divmod(of_term[first], size)
+    of, none = np.concatenate([groups, groups[g]]), np.zeros(len(groups), np.int64)
+    return pa.RecordBatch.from_arrays([
+        lang.dictionary.take(pa.array(of // sources)), source.dictionary.take(pa.array(of % sources)),
+        pa.concat_arrays([pa.nulls(len(groups), pa.string()), words.dictionary.take(pa.array(t))]),
+        pa.array(np.concatenate([none, n])), pa.array(np.concatenate([none, docs]))], names=["lang", "source", "term", "n", "docs"])
 
-    def emit() -> pa.RecordBatch:
-        rows = [(*g, None, 0, 0) for g in n] + [(*g, t, c, docs[g][t]) for g, of in n.items() for t, c in of.items()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.string()] * 3 + [pa.int64()] * 2)], names=["lang", "source", "term", "n", "docs"])
 
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``count_rows`` over a task's batches, as many at once as ``HELD`` bytes hold, or one."""
+    held, size = [], 0
     for b in batches:
-        for lang, source, text in zip(*[b.column(c).to_pylist() for c in ("lang", "source", "text")]):
-            words, of_group = terms(text), n[lang, source]
-            held -= len(of_group)
-            of_group.update(words)
-            held += len(of_group)
-            docs[lang, source].update(set(words))
-            if held > HELD:
-                yield emit()
-                n.clear(), docs.clear()
-                held = 0
-    if n:
-        yield emit()
+        if held and size + b.nbytes > HELD:
+            yield count_rows(held)
+            held, size = [], 0
+        if b.num_rows:
+            held.append(b)
+            size += b.nbytes
+    if held:
+        yield count_rows(held)
 
 
 def counted(docs: DataFrame) -> DataFrame:
